@@ -220,7 +220,8 @@ def select_html(html: Column, picks: list[Pick]) -> Column:
         rows = [read(markup) for markup in pages]
         return pd.DataFrame(rows, columns=names + ["error"], dtype=object)
 
-    return select(html)
+    # Kept out of pushed-down filters, where the page would be read a second time.
+    return select.asNondeterministic()(html)
 
 
 def decode_page(content: Column) -> Column:

@@ -26,7 +26,7 @@ def _exact_wrap(width: int):
     def wrap_exactly(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: textwrap.wrap(t, width) if isinstance(t, str) else None)
 
-    return wrap_exactly
+    return wrap_exactly.asNondeterministic()
 
 
 def quick_lines(text: Column, width: int = WIDTH) -> Column:

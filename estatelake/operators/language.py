@@ -113,7 +113,7 @@ def chunk_languages(chunk_list: Column, model: LanguageModel) -> Column:
     def label(lists: pd.Series) -> pd.Series:
         return lists.map(lambda items: None if items is None else [model.label(c) for c in items])
 
-    return label(chunk_list)
+    return label.asNondeterministic()(chunk_list)
 
 
 def keep_language(

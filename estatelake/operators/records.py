@@ -102,7 +102,7 @@ def map_with_errors(column: Column, function: Callable, result_type) -> Column:
     def run(items: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([attempt(i) for i in items], columns=["value", "error"], dtype=object)
 
-    return run(column)
+    return run.asNondeterministic()(column)
 
 
 EXTRACTORS = {PROFILE_O.page_name: extract_offers_o, PROFILE_M.page_name: extract_offers_m}

@@ -44,12 +44,13 @@ def difference(spark_df, connection, sql):
     if names != wanted_names:
         return f"columns {names} != {wanted_names}"
     if ours != wanted:
-        extra, missing = ours - wanted, wanted - ours
-        return (
-            f"{sum(ours.values())} rows against {sum(wanted.values())}; "
-            f"{sum(extra.values())} extra such as {str(next(iter(extra), None))[:600]}; "
-            f"{sum(missing.values())} missing such as {str(next(iter(missing), None))[:600]}"
-        )
+        parts = [f"{sum(ours.values())} rows against {sum(wanted.values())}"]
+        for i, name in enumerate(names):
+            a, b = (Counter(row[i] for row in rows.elements()) for rows in (ours, wanted))
+            if a != b:
+                extra, missing = str(next(iter(a - b), "-"))[:200], str(next(iter(b - a), "-"))[:200]
+                parts.append(f"{name}: {extra!r} against {missing!r}")
+        return "; ".join(parts)
     return None if ours else "empty result"
 
 
