@@ -120,6 +120,9 @@ class _Page(HTMLParser):
         self._flush()
         self._add(None, False, data)
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
     # --- reading ---------------------------------------------------------------
 
     def children(self, i):

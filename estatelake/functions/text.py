@@ -12,7 +12,12 @@ SPACES = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
     "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
+# The same characters for the regular expression engine. Common characters are
+# settled by one table look-up and one range test.
+_WIDE_SPACES = r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+SPACE_RUN = r"[\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0" + _WIDE_SPACES + "]+"
+# Spaces the standard word wrap does not break at, and the tab it expands.
+RARE_SPACE = r"[\t\x1c\x1d\x1e\x1f\x85\xa0" + _WIDE_SPACES + "]"
 
 # A decimal literal both Python and the JVM read the same way.
 DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -109,10 +114,11 @@ def nan_to_null(number: Column) -> Column:
 
 def _pair_up(tokens: Column) -> Column:
     def entries(t: Column) -> Column:
-        return F.transform(
+        pairs = F.transform(
             indexes(F.shiftright(F.size(t), 1)),
             lambda i: F.struct(F.get(t, i * 2).alias("key"), F.get(t, i * 2 + 1).alias("value")),
         )
+        return F.when(t.isNotNull(), pairs)
 
     def last_wins(pairs: Column) -> Column:
         def is_last(pair: Column, i: Column) -> Column:
@@ -187,22 +193,16 @@ def additional_info(info: Column, details: Column) -> Column:
 
 # --- long text -----------------------------------------------------------------
 
-CHUNK_WORDS = 6
+CHUNK = "(?:[^ ]+ ){0,5}[^ ]+"  # fixed value: six words
 
 
 def chunk_words(text: Column) -> Column:
     """C17: tokens of a long description, commas and hyphens removed."""
-    return words(F.translate(text, ",-", ""))
+    return words(F.replace(F.replace(text, F.lit(",")), F.lit("-")))
 
 
 def chunks(tokens: Column) -> Column:
     """Consecutive groups of six tokens, lower-cased, in order."""
 
-    def group(t: Column) -> Column:
-        count = F.ceil(F.size(t) / CHUNK_WORDS).cast("int")
-        return F.transform(
-            indexes(count),
-            lambda i: F.lower(F.array_join(F.slice(t, i * CHUNK_WORDS + 1, CHUNK_WORDS), " ")),
-        )
-
-    return bind(tokens, group)
+    line = F.lower(F.array_join(tokens, " "))
+    return F.regexp_extract_all(line, F.lit(CHUNK), F.lit(0))

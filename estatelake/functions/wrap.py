@@ -13,12 +13,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estatelake.functions.text import SPACES, bind, blank_to_null
+from estatelake.functions.text import RARE_SPACE, bind, blank_to_null
 
 WIDTH = 4000
 PIECES = 4
-_PLAIN_SPACES = "\t\n\x0b\x0c\r "
-_RARE_SPACES = "".join(c for c in SPACES if c not in _PLAIN_SPACES)
 
 
 def _exact_wrap(width: int):
@@ -31,7 +29,9 @@ def _exact_wrap(width: int):
 
 def quick_lines(text: Column, width: int = WIDTH) -> Column:
     """Lines of ordinary text; null where only the exact wrapper gives the right breaks."""
-    flat = F.translate(text, "\n\x0b\x0c\r", "    ")
+    flat = text
+    for space in "\n\x0b\x0c\r":
+        flat = F.replace(flat, F.lit(space), F.lit(" "))
     # Each match goes on where the last one ended, fills the line as far as
     # whole words allow and leaves the spaces in between out.
     line = rf"(?s)\G(?:^| +)(.{{0,{width - 1}}}[^ ])(?![^ ])"
@@ -48,9 +48,8 @@ def quick_lines(text: Column, width: int = WIDTH) -> Column:
         lambda lines: F.when(~breaks_hyphen(lines), lines),
     )
     long_word = flat.rlike(rf"[^ ]{{{width + 1}}}|^ {{{width}}}")
-    odd_space = F.translate(text, "\t" + _RARE_SPACES, "") != text
     return F.when(
-        ~odd_space, F.when(F.length(text) <= width, short).otherwise(F.when(~long_word, long))
+        ~text.rlike(RARE_SPACE), F.when(F.length(text) <= width, short).otherwise(F.when(~long_word, long))
     )
 
 

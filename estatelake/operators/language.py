@@ -11,11 +11,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from estatelake.functions.text import bind, chunk_words, chunks, indexes
+from estatelake.functions.text import chunk_words, chunks
 
 GRAM = 3
 GRAMS_PER_LANGUAGE = 400
@@ -25,13 +26,8 @@ TARGET = "pl"  # fixed value: the language that is kept
 
 
 def grams(text: Column) -> Column:
-    """All character trigrams of a text, in order."""
-    return bind(
-        text,
-        lambda t: F.transform(
-            indexes(F.length(t) - (GRAM - 1)), lambda i: F.substring(t, i + 1, F.lit(GRAM))
-        ),
-    )
+    """All character trigrams of a text, in order, overlapping."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
 
 
 def train(
@@ -51,9 +47,8 @@ def train(
     counts = (
         labelled.select(
             F.col(language).alias("language"),
-            F.explode(chunks(chunk_words(F.col(text)))).alias("_chunk"),
+            F.explode(grams(F.lower(F.array_join(chunk_words(F.col(text)), " ")))).alias("gram"),
         )
-        .select("language", F.explode(grams(F.col("_chunk"))).alias("gram"))
         .groupBy("language", "gram")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -73,13 +68,20 @@ def _score(log_odds: Column) -> Column:
     return F.round(log_odds * SCALE).cast("bigint").alias("score")
 
 
+def _gram_codes(text: str) -> np.ndarray:
+    """Each trigram of ``text`` as one number made of its three code points."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    return (points[:-2] << np.uint64(42)) | (points[1:-1] << np.uint64(21)) | points[2:]
+
+
 @dataclass(frozen=True)
 class LanguageModel:
-    """A trained model in the form the executors use: trigram to one score per language."""
+    """A trained model in the form the executors use: sorted trigrams, a score per language."""
 
     languages: tuple[str, ...]
-    base: tuple[int, ...]
-    scores: dict[str, tuple[int, ...]] = field(repr=False)
+    base: np.ndarray
+    codes: np.ndarray = field(repr=False)
+    scores: np.ndarray = field(repr=False)
 
     @classmethod
     def load(cls, model: DataFrame, languages: Iterable[str], per_language: int = GRAMS_PER_LANGUAGE):
@@ -89,21 +91,31 @@ class LanguageModel:
         rows = model.limit(bound + 1).collect()
         if len(rows) > bound:
             raise ValueError(f"language model larger than {bound} rows")
-        at = {name: i for i, name in enumerate(languages)}
-        scores: dict[str, list[int]] = {}
+        known = sorted({row["gram"] for row in rows} - {""})
+        at = {gram: i for i, gram in enumerate(known)}
+        column = {name: i for i, name in enumerate(languages)}
+        base = np.zeros(len(languages), dtype=np.int64)
+        scores = np.zeros((len(known), len(languages)), dtype=np.int64)
         for row in rows:
-            scores.setdefault(row["gram"], [0] * len(languages))[at[row["language"]]] = row["score"]
-        base = scores.pop("", [0] * len(languages))
-        return cls(languages, tuple(base), {gram: tuple(s) for gram, s in scores.items()})
-
-    def label(self, text: str) -> str | None:
-        """The best language, the first by name on ties; None without a known trigram."""
-        length = len(text) - GRAM + 1
-        held = [self.scores[g] for i in range(length) if (g := text[i : i + GRAM]) in self.scores]
-        if not held:
-            return None
-        totals = [b * length + sum(column) for b, column in zip(self.base, zip(*held))]
-        return self.languages[totals.index(max(totals))]
+            target = base if row["gram"] == "" else scores[at[row["gram"]]]
+            target[column[row["language"]]] = row["score"]
+        codes = np.array([_gram_codes(gram)[0] for gram in known], dtype=np.uint64)
+        return cls(languages, base, codes, scores)
+
+    def label(self, texts: list[str]) -> list[str | None]:
+        """The best language of each text, the first by name on ties; None if no trigram is known."""
+        if not texts or not len(self.codes):
+            return [None] * len(texts)
+        owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        inside = owner[: -(GRAM - 1)] == owner[GRAM - 1 :]
+        codes, owner = _gram_codes("".join(texts))[inside], owner[: -(GRAM - 1)][inside]
+        place = np.searchsorted(self.codes, codes) % len(self.codes)
+        hit = self.codes[place] == codes
+        totals = np.bincount(owner, minlength=len(texts))[:, None] * self.base
+        np.add.at(totals, owner[hit], self.scores[place[hit]])
+        known = np.bincount(owner[hit], minlength=len(texts)) > 0
+        best = totals.argmax(axis=1)
+        return [self.languages[b] if k else None for b, k in zip(best, known)]
 
 
 def chunk_languages(chunk_list: Column, model: LanguageModel) -> Column:
@@ -111,7 +123,7 @@ def chunk_languages(chunk_list: Column, model: LanguageModel) -> Column:
 
     @F.pandas_udf("array<string>")
     def label(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda items: None if items is None else [model.label(c) for c in items])
+        return lists.map(lambda items: None if items is None else model.label(list(items)))
 
     return label.asNondeterministic()(chunk_list)
 
