@@ -266,15 +266,13 @@ LANGUAGES = ("de", "en", "es", "fr")
     f"""
 WITH {CHUNKS_SQL},
 grams AS (
-  SELECT doc_id, lang, chunk_no, substr(chunk, CAST(p AS INTEGER), 3) AS gram
-  FROM (SELECT doc_id, lang, chunk_no, chunk, unnest(range(1, length(chunk) - 1)) AS p FROM chunks)),
-lines AS (
-  SELECT doc_id, lang, string_split(lower(array_to_string({TOKENS_SQL}, ' ')), '') AS line FROM documents),
-letters AS (SELECT doc_id, lang, unnest(line) AS c, generate_subscripts(line, 1) AS p FROM lines),
-triples AS (
-  SELECT lang, c || lead(c, 1) OVER w || lead(c, 2) OVER w AS gram FROM letters
-  WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
-counts AS (SELECT lang, gram, count(*) AS n FROM triples WHERE gram IS NOT NULL GROUP BY ALL),
+  SELECT doc_id, chunk_no, substr(padded, CAST(p AS INTEGER), 3) AS gram
+  FROM (SELECT doc_id, i // 6 AS chunk_no, ' ' || lower(w) || ' ' AS padded,
+               unnest(range(1, length(w) + 1)) AS p FROM words)),
+spoken AS (SELECT lang, ' ' || lower(w) || ' ' AS padded, count(*) AS n FROM words GROUP BY ALL),
+counts AS (
+  SELECT lang, substr(padded, CAST(p AS INTEGER), 3) AS gram, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT *, unnest(range(1, length(padded) - 1)) AS p FROM spoken) GROUP BY ALL),
 known AS (
   SELECT lang, gram, CAST(round(ln(n + 1) * 1000) AS BIGINT) AS score
   FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS k FROM counts)

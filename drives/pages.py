@@ -49,7 +49,10 @@ def seed_links(t):
     return links.seed_links(t.supplier, "https://listings.example/rent/", "s_name")
 
 
-@query("SELECT page_id, replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '&amp;', '&') AS heading FROM pages")
+@query(
+    "SELECT page_id, replace(regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '&amp;?', '&', 'g'), "
+    "'&quot;', '\"') AS heading FROM pages"
+)
 def heading_text(t):
     found = select_html(F.col("html"), [Pick("h", "article", output="texts", inner="h1")])
     return t.pages.select("page_id", F.explode(found["h"]).alias("heading"))

@@ -80,12 +80,16 @@ def delete_links(
     site: str | None = None,
     floor: int = HEAVY_ROWS,
     salts: int = SALTS,
+    small: bool = False,
 ) -> DataFrame:
-    """The registry without the removed links, on any site unless one is named."""
+    """The registry without the removed links, on any site unless one is named.
+
+    ``small`` broadcasts ``removed``; set it only after checking its size.
+    """
     if site is None:
-        return keep_unlisted(registry, removed, "link", floor, salts)
+        return keep_unlisted(registry, removed, "link", floor, salts, small)
     own = F.col("page_name") == site
-    kept = keep_unlisted(registry.where(own), removed, "link", floor, salts)
+    kept = keep_unlisted(registry.where(own), removed, "link", floor, salts, small)
     return kept.unionByName(registry.where(~own))
 
 
@@ -97,10 +101,12 @@ def deactivate_offers(
     only_active: bool = False,
     floor: int = HEAVY_ROWS,
     salts: int = SALTS,
+    small: bool = False,
 ) -> DataFrame:
     """Mark every offer row of a removed link inactive as of ``run_date``.
 
     Rows that were inactive before get the new date too, unless ``only_active``.
+    ``small`` broadcasts ``removed``; set it only after checking its size.
     """
     hit = F.col("_gone")
     if site is not None:
@@ -109,7 +115,7 @@ def deactivate_offers(
         hit = hit & (F.col("active") == "Yes")
     run_date = F.lit(run_date) if isinstance(run_date, str) else run_date
     return (
-        mark_listed(offers, removed, "link", "_gone", floor, salts)
+        mark_listed(offers, removed, "link", "_gone", floor, salts, small)
         .withColumn("inactive_date", F.when(hit, run_date).otherwise(F.col("inactive_date")))
         .withColumn("active", F.when(hit, "No").otherwise(F.col("active")))
         .select(*offers.columns)

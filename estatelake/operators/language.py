@@ -1,8 +1,9 @@
 """Keep the chunks of a long description that are in the target language.
 
-The model is a table of character trigrams, counted by Spark over labelled
-text and cut to the most frequent ones per language, which is what a trigram
-profile is. Scores are whole numbers, so sums do not depend on their order.
+The model is a table of character trigrams of words, cut to the most frequent
+ones per language, which is what a trigram profile is. Training counts words
+before it takes them apart, so the shuffle carries distinct words and not
+letters. Scores are whole numbers, so sums do not depend on their order.
 Applying the model is a map over rows: no shuffle and no row key.
 """
 
@@ -18,16 +19,17 @@ from pyspark.sql import functions as F
 
 from estatelake.functions.text import chunk_words, chunks
 
-GRAM = 3
+SPACE = np.uint64(ord(" "))
 GRAMS_PER_LANGUAGE = 400
 SCALE = 1000  # scores are thousandths of a natural logarithm
 LONG_TEXT = 16000  # fixed value: longer descriptions are filtered by language
 TARGET = "pl"  # fixed value: the language that is kept
 
 
-def grams(text: Column) -> Column:
-    """All character trigrams of a text, in order, overlapping."""
-    return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
+def grams(word: Column) -> Column:
+    """The trigrams of a word with a space on either side, one per letter."""
+    padded = F.concat(F.lit(" "), word, F.lit(" "))
+    return F.regexp_extract_all(padded, F.lit("(?s)(?=(...))"), F.lit(1))
 
 
 def train(
@@ -44,13 +46,15 @@ def train(
     each language.
     """
     labelled = corpus.where(F.col(language).isin(list(languages)))
+    spoken = labelled.select(
+        F.col(language).alias("language"), F.explode(chunk_words(F.lower(text))).alias("word")
+    )
     counts = (
-        labelled.select(
-            F.col(language).alias("language"),
-            F.explode(grams(F.lower(F.array_join(chunk_words(F.col(text)), " ")))).alias("gram"),
-        )
-        .groupBy("language", "gram")
+        spoken.groupBy("language", "word")
         .agg(F.count(F.lit(1)).alias("n"))
+        .select("language", F.explode(grams(F.col("word"))).alias("gram"), "n")
+        .groupBy("language", "gram")
+        .agg(F.sum("n").alias("n"))
     )
     ranked = Window.partitionBy("language").orderBy(F.desc("n"), "gram")
     frequent = counts.withColumn("_rank", F.row_number().over(ranked)).where(
@@ -68,9 +72,12 @@ def _score(log_odds: Column) -> Column:
     return F.round(log_odds * SCALE).cast("bigint").alias("score")
 
 
-def _gram_codes(text: str) -> np.ndarray:
-    """Each trigram of ``text`` as one number made of its three code points."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+
+
+def _gram_codes(points: np.ndarray) -> np.ndarray:
+    """Each run of three code points as one number."""
     return (points[:-2] << np.uint64(42)) | (points[1:-1] << np.uint64(21)) | points[2:]
 
 
@@ -99,21 +106,25 @@ class LanguageModel:
         for row in rows:
             target = base if row["gram"] == "" else scores[at[row["gram"]]]
             target[column[row["language"]]] = row["score"]
-        codes = np.array([_gram_codes(gram)[0] for gram in known], dtype=np.uint64)
+        codes = np.array([_gram_codes(_points(gram))[0] for gram in known], dtype=np.uint64)
         return cls(languages, base, codes, scores)
 
     def label(self, texts: list[str]) -> list[str | None]:
         """The best language of each text, the first by name on ties; None if no trigram is known."""
         if not texts or not len(self.codes):
             return [None] * len(texts)
-        owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-        inside = owner[: -(GRAM - 1)] == owner[GRAM - 1 :]
-        codes, owner = _gram_codes("".join(texts))[inside], owner[: -(GRAM - 1)][inside]
+        points = _points("".join(f" {t} " for t in texts))
+        owner = np.repeat(np.arange(len(texts)), [len(t) + 2 for t in texts])
+        # One trigram per letter: those around a space belong to no word.
+        letters = points[1:-1] != SPACE
+        codes, owner = _gram_codes(points)[letters], owner[1:-1][letters]
         place = np.searchsorted(self.codes, codes) % len(self.codes)
         hit = self.codes[place] == codes
+        owner_hit, scores_hit = owner[hit], self.scores[place[hit]]
         totals = np.bincount(owner, minlength=len(texts))[:, None] * self.base
-        np.add.at(totals, owner[hit], self.scores[place[hit]])
-        known = np.bincount(owner[hit], minlength=len(texts)) > 0
+        for i in range(len(self.languages)):
+            totals[:, i] += np.bincount(owner_hit, scores_hit[:, i], len(texts)).astype(np.int64)
+        known = np.bincount(owner_hit, minlength=len(texts)) > 0
         best = totals.argmax(axis=1)
         return [self.languages[b] if k else None for b, k in zip(best, known)]
 

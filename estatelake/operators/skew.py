@@ -41,17 +41,29 @@ def _salted(rows: DataFrame, keys: DataFrame, key: str, floor: int, salts: int):
 
 
 def keep_unlisted(
-    rows: DataFrame, keys: DataFrame, key: str, floor: int = HEAVY_ROWS, salts: int = SALTS
-) -> DataFrame:
-    """The rows whose key is not in ``keys``; rows with a null key stay."""
+    rows: DataFrame, keys: DataFrame, key: str,
+    floor: int = HEAVY_ROWS, salts: int = SALTS, small: bool = False,
+) -> DataFrame:
+    """The rows whose key is not in ``keys``; rows with a null key stay.
+
+    With ``small`` the caller vouches for the size of ``keys``: they are
+    broadcast, and the rows are neither counted nor shuffled.
+    """
+    if small:
+        return rows.join(F.broadcast(keys.select(key)), key, "left_anti").select(*rows.columns)
     left, right = _salted(rows, keys, key, floor, salts)
     return left.join(right, [key, "_salt"], "left_anti").select(*rows.columns)
 
 
 def mark_listed(
-    rows: DataFrame, keys: DataFrame, key: str, flag: str, floor: int = HEAVY_ROWS, salts: int = SALTS
-) -> DataFrame:
-    """All rows with a boolean ``flag``: is the key in ``keys``?"""
-    left, right = _salted(rows, keys, key, floor, salts)
-    marked = left.join(right.withColumn("_hit", F.lit(True)), [key, "_salt"], "left")
+    rows: DataFrame, keys: DataFrame, key: str, flag: str,
+    floor: int = HEAVY_ROWS, salts: int = SALTS, small: bool = False,
+) -> DataFrame:
+    """All rows with a boolean ``flag``: is the key in ``keys``? ``small`` as above."""
+    if small:
+        left, right, on = rows, F.broadcast(keys.select(key).distinct()), [key]
+    else:
+        left, right = _salted(rows, keys, key, floor, salts)
+        on = [key, "_salt"]
+    marked = left.join(right.withColumn("_hit", F.lit(True)), on, "left")
     return marked.select(*rows.columns, F.col("_hit").isNotNull().alias(flag))

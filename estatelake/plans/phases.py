@@ -13,6 +13,10 @@ from estatelake.plans.canonical import canonical_m, canonical_o
 from estatelake.profiles import PROFILE_M, PROFILE_O
 from estatelake.sources.state import State, check_site
 
+# Removed links up to this size are broadcast; the size is measured first.
+BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_BYTES = 64
+
 CANONICAL = {PROFILE_O.page_name: canonical_o, PROFILE_M.page_name: canonical_m}
 
 
@@ -44,8 +48,8 @@ def apply_links(
     """Log the run, diff the snapshot, drop vanished links and retire their offers.
 
     With ``scope='link'`` a vanished link is dropped and retired on every site,
-    with ``'site'`` on its own. Only the site partitions that hold such a link
-    are rewritten. ``max_removed_fraction`` refuses a snapshot that would remove
+    with ``'site'`` on its own. Only the partitions that hold such a link are
+    rewritten. ``max_removed_fraction`` refuses a snapshot that would remove
     more than that share of the site's registry.
     """
     if scope not in ("link", "site"):
@@ -58,34 +62,29 @@ def apply_links(
 
     registry = state.read("active_links", site)
     diff = state.work_table("diff", changes.link_diff(snapshot, registry))
+    # A first run also lets null links through.
+    new = changes.new_links_of(diff, null_too=not state.site_folders("active_links", site))
     removed = changes.removed_links_of(diff, distinct=True)
     if max_removed_fraction is not None:
         _check_removed(diff, max_removed_fraction)
 
+    count, size = removed.agg(F.count(F.lit(1)), F.sum(F.octet_length("link") + ROW_BYTES)).first()
     own_site = site if scope == "site" else None
-    for table in ("active_links", "preprocessing_offers"):
-        sites = _sites_holding(state, table, removed, own_site)
-        if not sites:
+    for table in ("active_links", "preprocessing_offers") if count else ():
+        small = size <= BROADCAST_BYTES
+        parts = state.parts_holding(table, removed, own_site, small)
+        if not parts:
             continue
-        rows = state.read(table).where(F.col("page_name").isin(sites))
+        rows = state.read_parts(table, parts)
         changed = (
-            changes.delete_links(rows, removed)
+            changes.delete_links(rows, removed, small=small)
             if table == "active_links"
-            else changes.deactivate_offers(rows, removed, run_date, only_active=only_active)
+            else changes.deactivate_offers(rows, removed, run_date, only_active=only_active, small=small)
         )
-        published[table] = state.rewrite_sites(table, changed, sites)
-    # A first run also lets null links through.
-    new = changes.new_links_of(diff, null_too=registry.isEmpty())
+        published[table] = state.rewrite_parts(table, changed, parts)
     return LinkPhase(state.publish(published), new, removed)
 
 
-def _sites_holding(state: State, table: str, links: DataFrame, site: str | None) -> list[str]:
-    """The site partitions of a table with at least one of the links (site names only)."""
-    rows = state.read(table, site).select("page_name", "link")
-    hits = rows.join(links, "link", "left_semi").select("page_name").distinct()
-    return sorted(row[0] for row in hits.collect())
-
-
 def _check_removed(diff: DataFrame, limit: float) -> None:
     gone, known = diff.agg(
         F.count_if(F.col("status") == changes.REMOVED), F.count_if(F.col("n_registry") > 0)

@@ -4,26 +4,44 @@ Plain Parquet has no UPDATE or DELETE, so a changed table is written to a new
 folder. A commit is one small JSON file naming the folders that make up every
 table; it is written last, so readers see all of a run or nothing of it, and a
 run that dies half way leaves only folders nobody points to. Appends add a
-folder and rewrite nothing. Offers and registry are partitioned by site.
+folder and rewrite nothing.
+
+Tables with a site are partitioned by it, offers also by the month they were
+read in. A change rewrites only the partitions that hold an affected row;
+listings live for weeks, so retiring them leaves the older months alone.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estatelake.schemas import STATE_TABLES, empty
 
-PARTITIONED = ("active_links", "preprocessing_offers", "to_scrape", "missing_links")
+PARTITIONS = {
+    "active_links": ("page_name",),
+    "preprocessing_offers": ("page_name", "scrape_month"),
+    "to_scrape": ("page_name",),
+    "missing_links": ("page_name",),
+    "process_stage": (),
+}
 SITE_NAME = re.compile(r"[\w .-]+\Z", re.ASCII)
 _COMMITS = "version BIGINT, tables MAP<STRING, ARRAY<STRING>>"
 
 
+def scrape_month() -> Column:
+    """Partition value of an offer; dates of another form share one partition."""
+    date = F.coalesce("scrape_date", F.lit(""))
+    return F.when(date.rlike("^[0-9]{4}-[0-9]{2}-"), F.left(date, F.lit(7))).otherwise("other")
+
+
 def check_site(name: str) -> str:
     """Site names become folder names, so they must not need escaping."""
     if not SITE_NAME.match(name):
@@ -31,6 +49,11 @@ def check_site(name: str) -> str:
     return name
 
 
+def _part(folder: str) -> str:
+    """``table/v=1-ab/page_name=P`` to ``page_name=P``."""
+    return folder.split("/", 2)[-1]
+
+
 class State:
     """One published version of the state tables under ``base``."""
 
@@ -57,11 +80,15 @@ class State:
 
     def read(self, table: str, site: str | None = None) -> DataFrame:
         """A table of this version (A1: only one site's partition when ``site`` is given)."""
-        folders = self.tables[table]
-        if site is not None and table in PARTITIONED:
-            folders = [f for f in folders if f.endswith(f"/page_name={check_site(site)}")]
-        rows = self.read_folders(table, folders)
-        return rows if site is None else rows.where(F.col("page_name") == site)
+        if site is None:
+            return self.read_folders(table, self.tables[table])
+        rows = self.read_folders(table, self.site_folders(table, site))
+        return rows.where(F.col("page_name") == site)
+
+    def site_folders(self, table: str, site: str) -> list[str]:
+        """Folders with rows of a site; every one of them holds at least one row."""
+        wanted = f"page_name={check_site(site)}"
+        return [f for f in self.tables[table] if not PARTITIONS[table] or wanted in f.split("/")]
 
     def read_folders(self, table: str, folders: list[str]) -> DataFrame:
         schema = STATE_TABLES[table]
@@ -70,31 +97,53 @@ class State:
         reader = self.spark.read.schema(schema).option("basePath", f"{self.base}/{table}")
         return reader.parquet(*(f"{self.base}/{f}" for f in folders)).select(*schema.names)
 
+    def partition_of(self, table: str, rows: DataFrame) -> DataFrame:
+        """Rows with their partition columns in place."""
+        if "scrape_month" in PARTITIONS[table]:
+            rows = rows.withColumn("scrape_month", scrape_month())
+        return rows
+
+    def parts_holding(
+        self, table: str, links: DataFrame, site: str | None = None, small: bool = False
+    ) -> list[str]:
+        """The partitions with at least one of the links, as folder endings (no rows).
+
+        Only the link column is read. ``small`` broadcasts links of a checked
+        size; otherwise copies of a link are folded before they are shuffled.
+        """
+        columns = PARTITIONS[table]
+        rows = self.partition_of(table, self.read(table, site)).select("link", *columns)
+        links, rows = (F.broadcast(links), rows) if small else (links, rows.distinct())
+        hits = rows.join(links, "link", "left_semi").select(*columns).distinct().collect()
+        return ["/".join(f"{c}={row[c]}" for c in columns) for row in hits]
+
+    def read_parts(self, table: str, parts: list[str]) -> DataFrame:
+        return self.read_folders(table, [f for f in self.tables[table] if _part(f) in parts])
+
     # --- writing ---------------------------------------------------------------
 
     def _write(self, table: str, rows: DataFrame) -> list[str]:
         # A fresh folder per attempt: nothing being read is ever overwritten.
         folder = f"{table}/v={self.version + 1}-{uuid.uuid4().hex[:8]}"
         path = f"{self.base}/{folder}"
-        schema = STATE_TABLES[table]
-        if table not in PARTITIONED:
+        schema, columns = STATE_TABLES[table], PARTITIONS[table]
+        if not columns:
             rows.select(*schema.names).write.parquet(path)
             return [folder]
-        rows.select(*schema.names).write.partitionBy("page_name").parquet(path)
-        # Which sites got rows: a scan of no data columns, one name per site.
-        written = self.spark.read.schema(schema).parquet(path).select("page_name").distinct()
-        return sorted(f"{folder}/page_name={row[0]}" for row in written.collect())
+        self.partition_of(table, rows.select(*schema.names)).write.partitionBy(*columns).parquet(path)
+        files = self.spark.read.schema(schema).parquet(path).inputFiles()
+        depth = len(columns) + 1
+        return sorted({f"{folder}/" + unquote("/".join(f.split("/")[-depth:-1])) for f in files})
 
     def append(self, table: str, rows: DataFrame, site: str | None = None) -> list[str]:
         """Folders of the table after adding rows, all of one site."""
-        if table in PARTITIONED:
+        if PARTITIONS[table]:
             rows = rows.withColumn("page_name", F.lit(check_site(site)))
         return self.tables[table] + self._write(table, rows)
 
-    def rewrite_sites(self, table: str, rows: DataFrame, sites: list[str]) -> list[str]:
-        """Folders of the table after replacing the given sites; the others stay as they are."""
-        kept = [f for f in self.tables[table] if f.rsplit("=", 1)[1] not in sites]
-        return kept + self._write(table, rows)
+    def rewrite_parts(self, table: str, rows: DataFrame, parts: list[str]) -> list[str]:
+        """Folders of the table after replacing the given partitions; the others stay."""
+        return [f for f in self.tables[table] if _part(f) not in parts] + self._write(table, rows)
 
     def rewrite(self, table: str, rows: DataFrame) -> list[str]:
         """Folders of the table after replacing all of it."""
@@ -106,7 +155,8 @@ class State:
         if latest != self.version:
             raise RuntimeError(f"version {latest} was published after {self.version} was read")
         tables = {**self.tables, **changes}
-        commit = self.spark.createDataFrame([(self.version + 1, tables)], _COMMITS)
+        entry = json.dumps({"version": self.version + 1, "tables": tables})
+        commit = self.spark.range(1).select(F.inline(F.array(F.from_json(F.lit(entry), _COMMITS))))
         commit.coalesce(1).write.mode("append").json(f"{self.base}/commits")
         return State(self.spark, self.base, (self.version + 1, tables))
 

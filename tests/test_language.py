@@ -16,6 +16,10 @@ def corpus(spark):
     return spark.createDataFrame([("pl", POLISH), ("en", ENGLISH), ("xx", "ignored")], "lang string, text string")
 
 
+def grams(text):
+    return [f" {w} "[i : i + 3] for w in text.split() for i in range(len(w))]
+
+
 def test_model_against_brute_force(spark):
     keep = 12
     rows = train(corpus(spark), "text", "lang", ["pl", "en"], per_language=keep).collect()
@@ -24,7 +28,7 @@ def test_model_against_brute_force(spark):
     )
     expected, base = {}, {}
     for lang, text in (("pl", POLISH), ("en", ENGLISH)):
-        counts = Counter(text[i : i + 3] for i in range(len(text) - 2))
+        counts = Counter(grams(text))
         best = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:keep]
         expected[lang] = {g: round(1000 * math.log(n + 1)) for g, n in best}
         base[lang] = round(-1000 * math.log(sum(counts.values()) + keep))
@@ -32,10 +36,10 @@ def test_model_against_brute_force(spark):
     assert found == {(l, g): s for l in expected for g, s in expected[l].items()} | {(l, ""): base[l] for l in base}
 
     def brute(text):
-        grams = [text[i : i + 3] for i in range(len(text) - 2)]
-        if not any(g in expected[l] for g in grams for l in expected):
+        found = grams(text)
+        if not any(g in expected[l] for g in found for l in expected):
             return None
-        score = {l: base[l] * len(grams) + sum(expected[l].get(g, 0) for g in grams) for l in expected}
+        score = {l: base[l] * len(found) + sum(expected[l].get(g, 0) for g in found) for l in expected}
         return max(sorted(score), key=score.get)
 
     tests = ["the view", "park jest", "qqq", "", "ab", "😀😀😀", "mieszkanie", "city", "and the", "ie i"]

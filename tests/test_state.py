@@ -86,10 +86,12 @@ def test_removal_crosses_sites_unless_scoped(spark, state):
         run(state, "b", "P", "2024-01-02")
 
 
-def test_removal_on_every_site_rewrites_only_holders(spark, state):
+@pytest.mark.parametrize("limit", [phases.BROADCAST_BYTES, 0])
+def test_removal_on_every_site_rewrites_only_holders(spark, state, monkeypatch, limit):
+    monkeypatch.setattr(phases, "BROADCAST_BYTES", limit)
     for site, shown in (("P", "a b"), ("Q", "a c"), ("R", "x")):
         state, *_ = run(state, shown, site, "2024-01-01")
-    untouched = [f for f in state.tables["preprocessing_offers"] if f.endswith("=R")]
+    untouched = [f for f in state.tables["preprocessing_offers"] if "page_name=R/" in f]
     state, *_ = run(state, "b", "P", "2024-01-02")
     assert registry(state) == "b c x"
     assert untouched[0] in state.tables["preprocessing_offers"]
@@ -98,6 +100,16 @@ def test_removal_on_every_site_rewrites_only_holders(spark, state):
     assert [r.link for r in state.read("active_links", "R").collect()] == ["x"]
 
 
+def test_older_months_are_not_rewritten(spark, state):
+    state, *_ = run(state, "a b", "P", "2024-01-31")
+    state, *_ = run(state, "a b c", "P", "2024-02-01")
+    january = [f for f in state.tables["preprocessing_offers"] if f.endswith("=2024-01")]
+    state, *_ = run(state, "a b", "P", "2024-02-02")
+    assert len(january) == 1 and january[0] in state.tables["preprocessing_offers"]
+    rows = state.read("preprocessing_offers").select("link", "active").collect()
+    assert sorted(map(tuple, rows)) == [("a", "Yes"), ("b", "Yes"), ("c", "No")]
+
+
 def test_emptying_snapshot(spark, state):
     state, *_ = run(state, "a b", "P", "2024-01-01")
     with pytest.raises(ValueError, match="remove 2 of 2"):
