@@ -8,6 +8,7 @@ XML functions. Decoding and the embedded JSON stay in the JVM.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -68,8 +69,11 @@ class _Page(HTMLParser):
         while self._open:
             self._close_last()
         self._by_tag = defaultdict(list)
+        self._with_attrs = []
         for i, tag in enumerate(self.tag):
             self._by_tag[tag].append(i)
+            if tag is not None and self.attrs[i]:
+                self._with_attrs.append(i)
 
     def _add(self, tag, attrs, text):
         self.tag.append(tag)
@@ -156,8 +160,6 @@ class _Page(HTMLParser):
         return "".join(parts)
 
     def matches(self, i, pick):
-        if self.tag[i] is None:
-            return False
         if pick.attr is None:
             return True
         held = self.attrs[i].get(pick.attr)
@@ -166,7 +168,7 @@ class _Page(HTMLParser):
         return held == pick.value or (pick.attr == "class" and pick.value in held.split())
 
     def take(self, pick):
-        places = range(len(self.tag)) if pick.tag is None else self._by_tag[pick.tag]
+        places = self._with_attrs if pick.tag is None else self._by_tag[pick.tag]
         found = (i for i in places if self.matches(i, pick))
         roots = list(found) if pick.every else [i for i in (next(found, None),) if i is not None]
         if not roots and not pick.every:
@@ -174,7 +176,8 @@ class _Page(HTMLParser):
         if pick.inner is not None:
             reached = []
             for root in roots:
-                below = [i for i in range(root + 1, self.end[root]) if self.tag[i] == pick.inner]
+                same = self._by_tag[pick.inner]
+                below = same[bisect_right(same, root) : bisect_left(same, self.end[root])]
                 reached += below[:1] if pick.inner_first else below
             if not reached and pick.inner_first:
                 return None
@@ -205,6 +208,8 @@ def select_html(html: Column, picks: list[Pick]) -> Column:
     for pick in picks:
         if pick.output not in OUTPUTS:
             raise ValueError(f"unknown output {pick.output!r}")
+        if pick.tag is None and pick.attr is None:
+            raise ValueError(f"pick {pick.name!r} names neither a tag nor an attribute")
     names = [pick.name for pick in picks]
     schema = StructType(
         [StructField(name, ArrayType(StringType())) for name in names]

@@ -137,6 +137,14 @@ def record_failures(state: State, failed: DataFrame, site: str, link_type: str =
     return state.publish({"missing_links": state.append("missing_links", rows, site)})
 
 
+def links_to_retry(state: State, site: str, limit: int = changes.RETRY_ROUNDS) -> DataFrame:
+    """Queued links of a site that failed at least once, gave no offer yet, and have tries left."""
+    failed = state.read("missing_links", site).select("link", F.lit(False).alias("ok"))
+    loaded = state.read("preprocessing_offers", site).select("link", F.lit(True).alias("ok"))
+    pending = changes.pending_links(state.read("to_scrape", site), failed.unionByName(loaded), limit)
+    return pending.where(F.col("attempts") > 0)
+
+
 def load_details(state: State, results: DataFrame, site: str, run_date: str, model=None) -> State:
     """Detail results of a site to canonical offers in the state, failures to the failed table."""
     results = state.work_table("details", results)

@@ -5,7 +5,10 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from estatelake.operators.links import list_offers
+from estatelake.operators.records import details
 from estatelake.plans import phases
+from estatelake.profiles import PROFILE_M
 from estatelake.schemas import OFFERS, PROCESS_STAGE
 from estatelake.session import shared_folder
 from estatelake.sources.state import State, check_site, read_snapshot
@@ -148,3 +151,29 @@ def test_snapshot_reader_and_failures(spark, state, tmp_path):
     assert read_snapshot(spark, str(tmp_path / "snap")).columns == ["link"]
     state = phases.record_failures(state, links(spark, "x y"), "P")
     assert {(r.link, r.link_type) for r in state.read("missing_links").collect()} == {("x", "details"), ("y", "details")}
+
+
+LISTING = "<a class=property_link href='/oferta/{}'>x</a>"
+DETAIL = """<div class="summaryLocation clearfix row"><span>T</span></div>
+<nav class="breadcrumbs"><span>a</span><span>b</span><span>V</span><span>K</span></nav>
+<li class="paramIconPrice"><em>~{}00,5 <b>zł</b></em></li><section class="propertyParams"></section>"""
+
+
+def test_pages_to_offers_with_retry(spark, state):
+    site = PROFILE_M.page_name
+    listing = spark.createDataFrame([(str(i), LISTING.format(i)) for i in range(1, 5)], "link string, html string")
+    phase = phases.apply_links(state, list_offers(listing, PROFILE_M), site, "2024-03-01")
+    state = phases.queue_links(phase.state, phase.new_links, site)
+    stored = [(f"/oferta/{i}", DETAIL.format(i)) for i in (1, 2)] + [("/oferta/3", None), ("/oferta/4", "<p>gone</p>")]
+    stored = spark.createDataFrame(stored, "link string, html string")
+    new_pages = stored.join(phase.new_links.distinct(), "link", "left_semi")
+    state = phases.load_details(state, details(new_pages, site), site, "2024-03-01")
+    assert registry(state) == "/oferta/1 /oferta/2"
+    priced = state.read("preprocessing_offers").select("link", "price", "city").collect()
+    assert sorted(map(tuple, priced)) == [("/oferta/1", 100.5, "K"), ("/oferta/2", 200.5, "K")]
+    assert [tuple(r) for r in phases.links_to_retry(state, site).collect()] == [("/oferta/3", 1)]
+    assert phases.links_to_retry(state, site, limit=1).count() == 0
+    second = spark.createDataFrame([("/oferta/3", DETAIL.format(3))], "link string, html string")
+    state = phases.load_details(state, details(second, site), site, "2024-03-01")
+    assert phases.links_to_retry(state, site).count() == 0
+    assert registry(state) == "/oferta/1 /oferta/2 /oferta/3"
