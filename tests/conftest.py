@@ -15,7 +15,9 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            # Tiny inputs: compiling stages would take longer than running them.
+            "spark.sql.codegen.wholeStage": "false",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from estatelake.operators.links import list_offers, list_pages, list_places
+from estatelake.operators.language import LanguageModel, train
 from estatelake.operators.records import details, extract_offers_m, extract_offers_o, map_with_errors
 from estatelake.plans.canonical import canonical_m, canonical_o, offers_all
 from estatelake.profiles import PROFILE_M, PROFILE_O, REGIONS_O
@@ -48,14 +49,14 @@ def test_profile_m_statuses(spark):
     assert [out[k].status for k in "abcd"] == ["ok", "dead", "failed", "dead"]
     a = out["a"]
     assert (a.price, a.priceM2, a.lat, a.description) == (["~2 500,5", "zł"], None, None, None)
-    offer = canonical_m(details(pages(spark, rows), "Morizon").where("status = 'ok'"), DAY).first()
+    offer = canonical_m(details(pages(spark, rows), PROFILE_M.page_name).where("status = 'ok'"), DAY).first()
     assert (offer.price, offer.currency, offer.city, offer.voivodeship, offer.district) == (2500.5, "zł", "K", "V", None)
-    assert (offer.floor, offer.latitude, offer.page_name) == ("3", None, "Morizon")
+    assert (offer.floor, offer.latitude) == ("3", None)
 
 
 def test_retried_pages_join_the_first_pass(spark):
     first, second = pages(spark, [("a", M_PAGE), ("b", None)]), pages(spark, [("b", M_PAGE)])
-    out = details(first, "Morizon", retried=second).collect()
+    out = details(first, PROFILE_M.page_name, retried=second).collect()
     assert sorted((r.link, r.status) for r in out) == [("a", "ok"), ("b", "ok")]
 
 
@@ -76,7 +77,7 @@ def test_canonical_o_rows_that_used_to_lose_a_batch(spark):
     assert (full.area, full.price, full.currency, full.rooms, full.floor) == (45.5, 2500.0, "zł", "2", "3")
     assert (full.additional_info, full.offer_title, full.latitude, full.headers) == (
         "i, , Liczba pokoi: 2, Piętro: 3", "T", None, None)
-    assert (full.active, full.scrape_date, full.inactive_date, full.page_name) == ("Yes", DAY, "-", "Otodom")
+    assert (full.active, full.scrape_date, full.inactive_date) == ("Yes", DAY, "-")
     assert (full.description_1, full.description_2) == ("x, y", None)
     assert (out["no details"].additional_info, out["no details"].rooms) == ("i", None)
     assert (out["grouped price"].price, out["grouped price"].currency) == (None, None)
@@ -122,3 +123,15 @@ def test_map_with_errors(spark):
     out = df.select(map_with_errors(F.col("link"), int, IntegerType()).alias("r")).collect()
     assert [r.r.value for r in out] == [7, None, None]
     assert out[0].r.error is None and "ValueError" in out[1].r.error and "TypeError" in out[2].r.error
+
+
+def test_long_descriptions_keep_the_target_language(spark):
+    polish, english = "mieszkanie jest bardzo ładne i przestronne", "the apartment is very nice and"
+    corpus = spark.createDataFrame([("pl", polish), ("en", english)], "lang string, text string")
+    model = LanguageModel.load(train(corpus, "text", "lang", ["pl", "en"]), ["pl", "en"])
+    mixed = " ".join([polish, english] * 300)
+    rows = [{"link": "long", "description": [mixed]}, {"link": "short", "description": [mixed[:400]]}]
+    out = {r.link: r for r in canonical_o(raw(spark, RAW_O, *rows), DAY, model=model).collect()}
+    pieces = [out["long"][f"description_{i}"] for i in range(1, 5)]
+    assert " ".join(p for p in pieces if p) == " ".join([polish] * 300)
+    assert out["short"].description_1 == mixed[:400].rstrip()
