@@ -3,6 +3,7 @@
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS the
 local cores. Every query runs in full into a sink that keeps nothing; the best
 of BENCH_RUNS (default 2) runs counts, so one-off code generation does not.
+Whole runs against the state tables (``*_phase``) are timed once.
 """
 
 from __future__ import annotations
