@@ -4,6 +4,7 @@ import pytest
 from compare import difference, duck
 
 import __spark_entry__ as entry
+from drives import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 # Joins on these tables are empty at the smallest size.
@@ -19,11 +20,11 @@ def test_names_match():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     assert len(set(df.columns)) == len(df.columns)
-    problem = difference(df, connection, entry.oracle_sql()[name])
+    problem = difference(df, connection, ORACLES[name])
     assert problem is None or (problem == "empty result" and name in MAY_BE_EMPTY), problem
 
 
