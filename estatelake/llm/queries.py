@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estatelake.llm import chat, exact_dedup, secrets
+from estatelake.llm import chat, exact_dedup, packing, secrets, simhash, token_files, toxicity
+from estatelake.llm.common import scratch, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +104,41 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", many("assign"), many("access"), many("hex"),
         F.sha2(written(base), 256).alias("base_sha256"), written("spans").alias("spans"),
     )
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    place = scratch(spark, "op1")
+    pieces = stored(
+        packing.cut_pieces(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0),
+        f"{place}/pieces",
+    )
+    slim = pieces.select("doc_id", "piece", "start", "length", packing.crc32_of("ids").alias("ids_crc32"))
+    return packing.pack(slim, f"{place}/packing")
+
+
+@query()
+def op7_bit_packed_ids(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = token_files.write_token_files(
+        table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1
+    )
+    return token_files.read_token_files(manifest)
+
+
+@query()
+def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents")).select(
+        "doc_id", simhash.hex_digits().alias("fingerprint"), "component_id"
+    )
+
+
+@query()
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score_documents(docs, toxicity.learn(docs, table(spark, folder, "labels")))
