@@ -61,7 +61,8 @@ def exact_groups(
             counted.where("group_size > 1").withColumn("next_grp", F.monotonically_increasing_id()),
             f"{folder}/groups-{level}",
         )
-        joined = sliced.join(shared, ["grp", "digit"], "left")
+        # One plan at every size: the groups grow with the corpus and are never broadcast.
+        joined = sliced.join(shared.hint("merge"), ["grp", "digit"], "left")
         over = F.col("next_grp").isNull() | (F.length("digit") < width)
         table = stored(
             joined.select(
