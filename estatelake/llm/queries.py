@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estatelake.llm import chat, exact_dedup, packing, secrets, simhash, token_files, toxicity
+from estatelake.llm import (
+    chat,
+    exact_dedup,
+    line_dedup,
+    mixing,
+    neighbours,
+    packing,
+    secrets,
+    simhash,
+    token_files,
+    toxicity,
+)
 from estatelake.llm.common import scratch, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +153,81 @@ def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.score_documents(docs, toxicity.learn(docs, table(spark, folder, "labels")))
+
+
+@query()
+def op8_multi_index_search(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(table(spark, folder, "embeddings"))
+
+
+def raking_sql(mix: mixing.Mix, sweeps: int = 60) -> str:
+    """The mix in SQL: topics, cells, ``sweeps`` raking sweeps and the draw."""
+    dims = ("source", "lang", "topic")
+    targets = ", ".join(f"t_{d} / (SELECT sum(t_{d} * p_{d}) FROM shaped) AS t_{d}" for d in dims)
+    shaped = ", ".join(
+        f"pow(sum(w) OVER (PARTITION BY {d}), {t}) AS t_{d}, w / sum(w) OVER (PARTITION BY {d}) AS p_{d}"
+        for d, t in zip(dims, mix.tempers, strict=True)
+    )
+    pick = "CASE i % 3 WHEN 0 THEN {0}source{1} WHEN 1 THEN {0}lang{1} ELSE {0}topic{1} END"
+    return rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS word FROM documents),
+buckets AS (
+  SELECT doc_id, CAST(('0x' || substr(md5(word), 1, 2)) AS INTEGER) % {mixing.TOPICS} AS topic,
+         count(DISTINCT word) AS n, count(*) AS tokens FROM words GROUP BY ALL),
+topics AS (
+  SELECT doc_id, arg_max(topic, n * 100 - topic) AS topic, sum(tokens) AS tokens FROM buckets GROUP BY doc_id),
+d AS (
+  SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(topic, 0) AS topic,
+         CAST(coalesce(tokens, 0) AS BIGINT) AS tokens FROM documents LEFT JOIN topics USING (doc_id)),
+cells AS (
+  SELECT source, lang, CAST(topic AS VARCHAR) AS topic, CAST(sum(tokens) AS DOUBLE) AS tokens
+  FROM d GROUP BY ALL HAVING sum(tokens) > 0),
+shaped AS (
+  SELECT *, {shaped} FROM (SELECT *, tokens / (SELECT sum(tokens) FROM cells) AS w FROM cells)),
+aimed AS (SELECT source, lang, topic, tokens, w, {targets} FROM shaped),
+ipf(i, source, lang, topic, tokens, w, t_source, t_lang, t_topic) AS (
+  SELECT 0, source, lang, topic, tokens, w, t_source, t_lang, t_topic FROM aimed
+  UNION ALL
+  SELECT i + 1, source, lang, topic, tokens,
+         w * {pick.format("t_", "")} / sum(w) OVER (PARTITION BY {pick.format("", "")}),
+         t_source, t_lang, t_topic
+  FROM ipf WHERE i < {3 * sweeps}),
+ratios AS (
+  SELECT source, lang, topic, w * (SELECT sum(tokens) FROM cells) / tokens AS ratio FROM ipf WHERE i = {3 * sweeps}),
+odds AS (
+  SELECT source, lang, topic, least(1.0, ratio / least((SELECT max(ratio) FROM ratios), {mix.boost})) AS p FROM ratios)
+SELECT doc_id, source, lang, CAST(topic AS INTEGER) AS topic, tokens,
+       round(coalesce(p, 1.0), 4) AS probability,
+       CAST(('0x' || substr(md5('{mix.seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12)) AS BIGINT)
+         / {16**12}.0 < coalesce(p, 1.0) AS kept
+FROM (SELECT *, CAST(topic AS VARCHAR) AS t FROM d) d
+LEFT JOIN odds ON d.source = odds.source AND d.lang = odds.lang AND d.t = odds.topic
+""".replace("SELECT doc_id, source, lang, CAST(topic AS INTEGER)", "SELECT doc_id, d.source, d.lang, CAST(d.topic AS INTEGER)")
+
+
+@query(raking_sql(mixing.Mix()))
+def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(table(spark, folder, "documents")).select(
+        "doc_id",
+        F.coalesce("source", F.lit("")).alias("source"),
+        F.coalesce("lang", F.lit("")).alias("lang"),
+        F.col("_topic").alias("topic"),
+        F.col("_tokens").alias("tokens"),
+        F.round("_probability", 4).alias("probability"),
+        F.col("_kept").alias("kept"),
+    )
+
+
+@query()
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: lines, lines with words that stay, and which."""
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    keep = line_dedup.kept_lines(docs)
+    lines = docs.select("doc_id", F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"))
+    none = F.array().cast("array<int>")
+    return lines.join(keep.withColumnRenamed("doc", "doc_id").hint("merge"), "doc_id", "left").select(
+        "doc_id", "n_lines",
+        F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_kept"),
+        F.array_join(F.transform(F.coalesce("lines", none), lambda x: x.cast("string")), ",").alias("kept_lines"),
+    )

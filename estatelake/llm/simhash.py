@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from estatelake.llm.common import scratch, small_batches, stored, text_of
 from estatelake.llm.components import components
@@ -274,5 +275,75 @@ def near_duplicates(
     return prints.join(named.hint("merge"), "fp").select("doc_id", "text_key", "fp", "component_id")
 
 
+def shingle_set(text: str, words: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, words))
+
+
+def similarity(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two sorted sets of u64; of two empty ones 1."""
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
+
+
+def one_per_group(
+    docs: DataFrame, folder: str | None = None, words: int = 5, least: float = 0.8, bits: int = BITS,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """The rows with all their columns, less the near-duplicates of an earlier document.
+
+    Groups are the components of ``near_duplicates`` over ``words`` words. A
+    document of a group goes if its shingles have a Jaccard similarity of at
+    least ``least`` to those of the group's smallest id, or if a smaller id of
+    the group has the very same shingles. So texts that merely share a
+    fingerprint stay. Rows that repeat id and text are one document. Rows of a
+    null id stay unless a document of the group with an id is that similar.
+    """
+    spark = docs.sparkSession
+    folder = folder or scratch(spark, "one-per-group")
+    names = docs.columns
+    groups = stored(near_duplicates(docs, f"{folder}/groups", words, bits, id_col, text_col), f"{folder}/named")
+    crowded = groups.groupBy("component_id").count().where("count > 1").select("component_id")
+    members = groups.join(crowded.hint("merge"), "component_id").select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("text_key").alias("_key"),
+        F.col("component_id").alias("_group"),
+    ).distinct()
+    keyed = docs.withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).withColumn(
+        "_key", F.xxhash64(text_of(text_col))
+    )
+    joined = keyed.join(members.hint("merge"), ["_id", "_key"], "left").select(*names, "_id", "_group")
+    place, group = names.index(text_col), len(names) + 1
+    small_batches(spark)
+
+    def sets(batches):
+        for batch in batches:
+            pairs = zip(batch.column(place).to_pylist(), batch.column(group).to_pylist(), strict=True)
+            out = [shingle_set(t or "", words).astype("<u8").tobytes() if g is not None else None for t, g in pairs]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "_set"])
+
+    schema = T.StructType([*joined.schema.fields, T.StructField("_set", T.BinaryType())])
+    table = stored(joined.mapInArrow(sets, schema), f"{folder}/sets")
+    own = table.where("_group IS NOT NULL")
+    heads = own.where("_id = _group").groupBy("_group").agg(F.min("_set").alias("_head"))
+    same = own.groupBy("_group", F.xxhash64("_set").alias("_same")).agg(F.min("_id").alias("_first"))
+
+    def judge(batches):
+        for batch in batches:
+            *_, ids, groups_, sets_, heads_, first = batch.columns
+            keep = [
+                i == g or (i == f and similarity(s, h) < least)
+                for i, g, s, h, f in zip(*(c.to_pylist() for c in (ids, groups_, sets_, heads_, first)), strict=True)
+            ]
+            yield batch.filter(pa.array(keep, pa.bool_())).select(names)
+
+    judged = (
+        own.withColumn("_same", F.xxhash64("_set"))
+        .join(heads.hint("merge"), "_group").join(same.hint("merge"), ["_group", "_same"])
+        .select(*names, "_id", "_group", "_set", "_head", "_first")
+        .mapInArrow(judge, docs.schema)
+    )
+    return table.where("_group IS NULL").select(*names).unionByName(judged)
+
+
 def hex_digits(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))

@@ -47,7 +47,7 @@ def corpus(spark, n=400, toxic_word="scoundrel"):
     pick = random.Random(2)
     rows, labels = [], []
     for i in range(n):
-        words = [pick.choice(["alpha", "beta", "gamma", "delta", "omega"]) + str(pick.randint(0, 30)) for _ in range(30)]
+        words = [pick.choice(["alpha", "beta", "gamma", "delta", "omega"]) + str(pick.randint(0, 300)) for _ in range(30)]
         bad = i % 5 == 0
         if bad:
             words[7] = toxic_word if i % 3 else toxic_word.replace("o", "0")
