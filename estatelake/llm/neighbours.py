@@ -31,7 +31,7 @@ class Index:
     centroids: int = 32
     sample: int = 8192
     rounds: int = 15
-    share: float = 0.45
+    share: float = 0.55
     least: int = 4000
     block: int = 4096
 
