@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 from drives.registry import query
 from estatelake.functions import text as T
 from estatelake.functions.html import decode_page
-from estatelake.functions.wrap import description_columns, overflow, with_lines
+from estatelake.functions.wrap import description_columns, description_rest, overflow, with_lines
 from estatelake.operators.contract import contract_report
 from estatelake.operators.keyvalues import attributes_m, attributes_o, kv_keys, widen
-from estatelake.operators.language import LanguageModel, chunk_languages, train
+from estatelake.operators.language import keep_language, label_chunks, train
 
 
 @query("SELECT doc_id, text FROM documents")
@@ -262,23 +262,24 @@ def description_chunks(t):
 LANGUAGES = ("de", "en", "es", "fr")
 
 
-@query(
-    f"""
+# The model learns from one half of the documents and is applied to the other.
+LEARN = "doc_id % 2 = 0"
+
+
+def language_sql(learn, apply):
+    return f"""
 WITH {CHUNKS_SQL},
 grams AS (
   SELECT doc_id, chunk_no, substr(padded, CAST(p AS INTEGER), 3) AS gram
   FROM (SELECT doc_id, i // 6 AS chunk_no, ' ' || lower(w) || ' ' AS padded,
-               unnest(range(1, length(w) + 1)) AS p FROM words)),
-spoken AS (SELECT lang, ' ' || lower(w) || ' ' AS padded, count(*) AS n FROM words GROUP BY ALL),
+               unnest(range(1, length(w) + 1)) AS p FROM words WHERE {apply})),
+spoken AS (SELECT lang, ' ' || lower(w) || ' ' AS padded, count(*) AS n FROM words WHERE {learn} GROUP BY ALL),
 counts AS (
   SELECT lang, substr(padded, CAST(p AS INTEGER), 3) AS gram, CAST(sum(n) AS BIGINT) AS n
   FROM (SELECT *, unnest(range(1, length(padded) - 1)) AS p FROM spoken) GROUP BY ALL),
-known AS (
-  SELECT lang, gram, CAST(round(ln(n + 1) * 1000) AS BIGINT) AS score
-  FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS k FROM counts)
-  WHERE k <= 400),
+known AS (SELECT lang, gram, CAST(round(ln(n + 1) * 1000) AS BIGINT) AS score FROM counts),
 base AS (
-  SELECT lang, CAST(round(-ln(sum(n) + 400) * 1000) AS BIGINT) AS score FROM counts GROUP BY lang),
+  SELECT lang, CAST(round(-ln(sum(n) + count(*)) * 1000) AS BIGINT) AS score FROM counts GROUP BY lang),
 sizes AS (SELECT doc_id, chunk_no, count(*) AS n FROM grams GROUP BY ALL),
 hits AS (
   SELECT g.doc_id, g.chunk_no, k.lang, sum(k.score) AS score
@@ -290,16 +291,38 @@ totals AS (
   LEFT JOIN hits h ON h.doc_id = s.doc_id AND h.chunk_no = s.chunk_no AND h.lang = b.lang),
 best AS (
   SELECT doc_id, chunk_no, lang FROM totals
-  QUALIFY row_number() OVER (PARTITION BY doc_id, chunk_no ORDER BY score DESC, lang) = 1)
+  QUALIFY row_number() OVER (PARTITION BY doc_id, chunk_no ORDER BY score DESC, lang) = 1)"""
+
+
+@query(
+    language_sql("true", "true")
+    + """
 SELECT c.doc_id, CAST(c.chunk_no AS INTEGER) AS chunk_no, b.lang AS language
 FROM chunks c LEFT JOIN best b ON b.doc_id = c.doc_id AND b.chunk_no = c.chunk_no"""
 )
 def language_chunks(t):
-    model = LanguageModel.load(train(t.documents, "text", "lang", LANGUAGES), LANGUAGES)
-    parts = t.documents.select("doc_id", T.chunks(T.chunk_words(F.col("text"))).alias("chunks"))
-    return parts.select(
-        "doc_id", F.posexplode(chunk_languages(F.col("chunks"), model)).alias("chunk_no", "language")
+    model = train(t.documents, "text", "lang", LANGUAGES)
+    parts = t.documents.select(
+        "doc_id", F.posexplode(T.chunks(T.chunk_words(F.col("text")))).alias("chunk_no", "chunk")
     )
+    return label_chunks(parts, model, "doc_id", "chunk_no").select("doc_id", "chunk_no", "language")
+
+
+@query(
+    language_sql(LEARN, f"NOT ({LEARN})")
+    + f"""
+, kept AS (
+  SELECT c.doc_id, string_agg(c.chunk, ' ' ORDER BY c.chunk_no) AS text
+  FROM chunks c LEFT JOIN best b ON b.doc_id = c.doc_id AND b.chunk_no = c.chunk_no
+  WHERE coalesce(b.lang, 'fr') = 'fr' GROUP BY c.doc_id)
+SELECT d.doc_id, CASE WHEN length(d.text) > 2000 THEN coalesce(k.text, '') ELSE d.text END AS text
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id WHERE NOT (d.{LEARN})"""
+)
+def language_filtered(t):
+    """The filter with a model: French chunks of the texts that the model did not learn from."""
+    model = train(t.documents.where(LEARN), "text", "lang", LANGUAGES)
+    others = t.documents.where(f"NOT ({LEARN})").select("doc_id", "text")
+    return keep_language(others, "text", model, target="fr", longer_than=2000)
 
 
 def wrap_sql(source, key, column, names):
@@ -328,6 +351,25 @@ def wrapped_descriptions(t):
     return lines.select("doc_id", *description_columns(F.col("lines")))
 
 
+CUT = "CASE WHEN length(rest) <= 4000 THEN length(rest) ELSE 4001 - strpos(reverse(substr(rest, 1, 4001)), ' ') END"
+
+
+@query(
+    f"""
+WITH RECURSIVE {wrap_sql('documents', 'doc_id', 'text', DESCRIPTIONS)},
+more AS (
+  SELECT doc_id, 4 AS piece_no, CAST(NULL AS VARCHAR) AS text, rest FROM w4 WHERE rest IS NOT NULL
+  UNION ALL
+  SELECT doc_id, piece_no + 1, rtrim(substr(rest, 1, {CUT}), ' '), nullif(ltrim(substr(rest, {CUT} + 1), ' '), '')
+  FROM more WHERE rest IS NOT NULL)
+SELECT doc_id, piece_no, text FROM more WHERE piece_no > 4"""
+)
+def description_rest_pieces(t):
+    """What the four columns do not hold: with them it is the whole text."""
+    lines = with_lines(t.documents.select("doc_id", "text"), "text", "lines")
+    return description_rest(lines, "lines", "doc_id")
+
+
 @query(
     f"WITH {wrap_sql('documents', 'doc_id', 'text', DESCRIPTIONS)}\n"
     "SELECT doc_id FROM w4 WHERE rest IS NOT NULL"

@@ -1,8 +1,9 @@
 """Change capture.
 
-The registry holds one listing per order placed before 2000, spread over five
-sites. The snapshot lists every line shipped since mid 1996, so popular
-listings repeat.
+The registry holds one listing per order, named after the order and its status
+and spread over five sites. The snapshot lists every line under its order and
+the status its return flag stands for, so popular listings repeat, some are new
+and some have vanished.
 """
 
 from pyspark.sql import functions as F
@@ -18,24 +19,25 @@ BASE = "https://listings.example/offer-"
 
 
 def registry(t):
-    return t.orders.where(F.col("o_orderdate") < "2000-01-01").select(
+    return t.orders.select(
         F.concat(F.lit("site-"), F.substring("o_orderpriority", 1, 1)).alias("page_name"),
-        F.concat(F.lit(BASE), F.col("o_orderkey")).alias("link"),
+        F.concat(F.lit(BASE), F.col("o_orderkey"), F.lit("-"), F.col("o_orderstatus")).alias("link"),
     )
 
 
 def snapshot(t):
-    shown = t.lineitem.where(F.col("l_shipdate") >= "1996-06-01")
-    url = F.concat(F.lit(BASE), F.col("l_orderkey"), F.lit(".html?line="), F.col("l_linenumber"))
-    return shown.select(canonical_link(url).alias("link"))
+    status = F.translate("l_returnflag", "ANR", "FOP")
+    url = F.concat(F.lit(BASE), F.col("l_orderkey"), F.lit("-"), status, F.lit(".html?line="), F.col("l_linenumber"))
+    return t.lineitem.select(canonical_link(url).alias("link"))
 
 
 SQL = f"""
 WITH registry AS (
-  SELECT 'site-' || substr(o_orderpriority, 1, 1) AS page_name, '{BASE}' || o_orderkey AS link
-  FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'),
+  SELECT 'site-' || substr(o_orderpriority, 1, 1) AS page_name,
+         '{BASE}' || o_orderkey || '-' || o_orderstatus AS link
+  FROM orders),
 snapshot AS (
-  SELECT '{BASE}' || l_orderkey AS link FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-06-01'),
+  SELECT '{BASE}' || l_orderkey || '-' || translate(l_returnflag, 'ANR', 'FOP') AS link FROM lineitem),
 removed AS (
   SELECT link FROM registry r
   WHERE NOT EXISTS (SELECT 1 FROM snapshot s WHERE s.link = r.link)),
@@ -85,9 +87,9 @@ def registry_after_delete_own_site(t):
 
 
 def offers(t):
-    """Every line is one historical offer row of its order's listing."""
+    """Every line is one historical offer row of its order's listing in the line's status."""
     return t.lineitem.select(
-        F.concat(F.lit(BASE), F.col("l_orderkey")).alias("link"),
+        F.concat(F.lit(BASE), F.col("l_orderkey"), F.lit("-"), F.col("l_linestatus")).alias("link"),
         F.col("l_extendedprice").alias("price"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("scrape_date"),
         F.when(F.col("l_returnflag") == "R", "No").otherwise("Yes").alias("active"),
@@ -96,7 +98,7 @@ def offers(t):
 
 
 OFFERS_SQL = f""", offers AS (
-  SELECT '{BASE}' || l_orderkey AS link, l_extendedprice AS price,
+  SELECT '{BASE}' || l_orderkey || '-' || l_linestatus AS link, l_extendedprice AS price,
          strftime(l_shipdate, '%Y-%m-%d') AS scrape_date,
          CASE WHEN l_returnflag = 'R' THEN 'No' ELSE 'Yes' END AS active,
          CASE WHEN l_returnflag = 'R' THEN '2002-01-01' ELSE '-' END AS inactive_date
@@ -176,6 +178,38 @@ def retry_pending(t):
     return changes.pending_links(queue, attempts, limit=3)
 
 
+# Views queue a page in the hour they happen; later purchases read it, clicks and errors fail.
+RETRY_SQL = f"""
+WITH visits AS (SELECT {USER_DAY_SQL} AS link, event_type, epoch(ts) AS run FROM events),
+queue AS (SELECT link, max(run) AS queued FROM visits WHERE event_type = 'view' GROUP BY link),
+made AS (
+  SELECT q.link, count(a.link) AS attempts, coalesce(bool_or(a.event_type = 'purchase'), false) AS ok
+  FROM queue q LEFT JOIN visits a
+    ON a.link = q.link AND a.run > q.queued AND a.event_type IN ('purchase', 'click', 'error')
+  GROUP BY q.link)
+"""
+
+
+def queue_and_attempts(t):
+    visits = t.events.select(F.expr(USER_DAY).alias("link"), "event_type", F.expr("unix_timestamp(ts)").alias("run"))
+    tried = visits.where("event_type IN ('purchase', 'click', 'error')")
+    return (
+        visits.where("event_type = 'view'").select("link", "run"),
+        tried.select("link", "run", (F.col("event_type") == "purchase").alias("ok")),
+    )
+
+
+@query(RETRY_SQL + "SELECT link, attempts FROM made WHERE NOT ok AND attempts < 2")
+def retry_relisted(t):
+    """Only attempts since a link was last queued count."""
+    return changes.pending_links(*queue_and_attempts(t), limit=2)
+
+
+@query(RETRY_SQL + "SELECT link, attempts FROM made WHERE NOT ok AND attempts >= 2")
+def retry_exhausted(t):
+    return changes.exhausted_links(*queue_and_attempts(t), limit=2)
+
+
 @query(
     f"""
 SELECT {USER_DAY_SQL} AS link,

@@ -1,4 +1,4 @@
-"""Whole offer records: stored pages to raw records to canonical offers.
+"""Whole offer records: stored pages to raw records to canonical offers.
 
 Every document becomes one listing page of each profile; its whole text is the
 description. Spanish profile O pages lack the embedded record, Spanish profile M
@@ -6,14 +6,16 @@ pages lack the breadcrumb, and pages of source 'src7' could not be fetched.
 """
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 
 from drives.cells import DESCRIPTIONS, wrap_sql
 from drives.pages import escaped
 from drives.registry import query
-from estatelake.operators.records import details, map_with_errors, split_by_status
+from estatelake.operators.contract import contract_report
+from estatelake.operators.links import read_listing
+from estatelake.operators.records import details, split_by_status
 from estatelake.plans import canonical
 from estatelake.profiles import PROFILE_M, PROFILE_O
+from estatelake.schemas import LINK_REQUIRED, LINK_WIDTHS, OFFER_WIDTHS
 
 RUN_DATE = "2024-03-01"
 LINK = "concat('https://listings.example/{}/', doc_id)"
@@ -49,7 +51,7 @@ def pages_o(t):
     return t.documents.select(link, F.when(F.expr(FETCHED), html).alias("html"))
 
 
-def pages_m(t):
+def pages_m(t, fetched=FETCHED):
     size = F.col("n_chars")
     crumbs = joined(
         '<nav class="breadcrumbs"><span>start</span>\n<span>rent</span><span>', F.col("lang"),
@@ -71,7 +73,7 @@ def pages_m(t):
         '<div class="GoogleMap" data-lat="', size / 8, '" data-lng="', size / 16, '"></div></html>',
     )
     link = F.expr(LINK.format("m")).alias("link")
-    return t.documents.select(link, F.when(F.expr(FETCHED), html).alias("html"))
+    return t.documents.select(link, F.when(F.expr(fetched), html).alias("html"))
 
 
 def with_retry(t, pages, site):
@@ -131,15 +133,43 @@ def details_m(t):
     )
 
 
-def _long_sql(cleaned):
-    """Descriptions of more than 16000 characters are reduced to their lower-case words."""
-    words = f"string_split_regex(translate({cleaned}, ',-', ''), '\\s+')"
-    return (
-        f"CASE WHEN length({cleaned}) > 16000 "
-        f"THEN lower(array_to_string(list_filter({words}, lambda x: x <> ''), ' ')) ELSE {cleaned} END"
+@query(
+    f"""
+SELECT {LINK_SQL.format('m')} AS link,
+       CASE WHEN NOT {FETCHED} AND doc_id % 2 = 0 THEN 'failed' WHEN lang = 'es' THEN 'dead' ELSE 'ok' END AS status,
+       CASE WHEN {FETCHED} OR doc_id % 2 = 1 THEN 'Offer/' || doc_id END AS title
+FROM documents"""
+)
+def details_retried(t):
+    """Half of the failed pages are tried again and can be read, and so are some that were ok before."""
+    first = pages_m(t)
+    again = pages_m(t, fetched="true").where("link RLIKE '[13579]$'")
+    return details(first, PROFILE_M.page_name, retried=again).select(
+        "link", "status", F.array_join("title", "/").alias("title")
     )
 
 
+@query(
+    """
+WITH d AS (SELECT *, source <> 'src7' AS fetched FROM documents)
+SELECT 'https://listings.example/list/' || doc_id AS link, 'failed' AS status, 'no content' AS error, 0 AS n_links
+FROM d WHERE NOT fetched
+UNION ALL
+SELECT 'https://listings.example/list/' || doc_id, 'ok', NULL, CASE WHEN lang = 'es' THEN 0 ELSE 2 END FROM d WHERE fetched"""
+)
+def listing_failures(t):
+    """Listing pages with their status: pages not fetched are failed, not empty."""
+    mark = F.concat(F.lit("<a class='property_link' href='/oferta/"), F.col("doc_id"), F.lit("'>x</a>"))
+    other = F.concat(F.lit("<a class='property_link' href='/oferta/b"), F.col("doc_id"), F.lit("'>y</a><p>"))
+    html = F.concat(F.when(F.col("lang") == "es", "").otherwise(F.concat(mark, other)), escaped("text"))
+    pages = t.documents.select(
+        F.concat(F.lit("https://listings.example/list/"), F.col("doc_id")).alias("link"),
+        F.when(F.expr(FETCHED), html).alias("html"),
+    )
+    listing = read_listing(pages, PROFILE_M)
+    return listing.select("link", "status", "error", F.size("links").alias("n_links"))
+
+
 TEXT_O = "replace(replace(text, chr(10), ', '), ', ,', ',')"
 TEXT_M = (
     "replace(array_to_string(list_filter(list_transform(string_split(text, chr(10)), "
@@ -148,7 +178,7 @@ TEXT_M = (
 _PIECES = ", ".join(DESCRIPTIONS)
 
 CANONICAL_O = f"""
-WITH d AS (SELECT *, {_long_sql(TEXT_O)} AS description, lang <> 'es' AS found FROM documents WHERE {FETCHED}),
+WITH d AS (SELECT *, {TEXT_O} AS description, lang <> 'es' AS found FROM documents WHERE {FETCHED}),
 {wrap_sql('d', '*', 'description', DESCRIPTIONS)}
 SELECT CASE WHEN found THEN n_chars / 2 END AS area,
        CASE WHEN found THEN n_chars / 8 END AS latitude,
@@ -168,7 +198,7 @@ SELECT CASE WHEN found THEN n_chars / 2 END AS area,
 FROM w4"""
 
 CANONICAL_M = f"""
-WITH d AS (SELECT *, {_long_sql(TEXT_M)} AS description FROM documents WHERE {FETCHED} AND lang <> 'es'),
+WITH d AS (SELECT *, {TEXT_M} AS description FROM documents WHERE {FETCHED} AND lang <> 'es'),
 {wrap_sql('d', '*', 'description', DESCRIPTIONS)}
 SELECT CAST(n_chars AS DOUBLE) AS area, n_chars / 8 AS latitude, n_chars / 16 AS longitude,
        {LINK_SQL.format('m')} AS link, n_chars / 4 AS price, 'zł' AS currency,
@@ -207,16 +237,41 @@ def offers_all(t):
     return canonical.offers_all(offers_o(t), offers_m(t))
 
 
-def listing_number(url):
-    return int(url.rstrip("/").rsplit("/", 1)[1])
-
-
 @query(
     """
 SELECT page_id, TRY_CAST(regexp_extract(url, '/([0-9]+)/?$', 1) AS INTEGER) AS value,
        NOT regexp_matches(url, '/[0-9]+/?$') AS failed FROM pages"""
 )
 def map_links(t):
-    result = map_with_errors(F.col("url"), listing_number, IntegerType())
-    tried = t.pages.select("page_id", result.alias("r"))
-    return tried.select("page_id", "r.value", F.col("r.error").isNotNull().alias("failed"))
+    """The listing number at the end of a url; null and marked where there is none."""
+    number = F.nullif(F.regexp_extract("url", "/([0-9]+)/?$", 1), F.lit("")).try_cast("int")
+    return t.pages.select("page_id", number.alias("value"), (~F.col("url").rlike("/[0-9]+/?$")).alias("failed"))
+
+
+WIDTHS_SQL = "\nUNION ALL\n".join(
+    f"""SELECT '{name}' AS "column", count(*) FILTER (WHERE length({name}) > {width}) AS too_long,
+       count(*) FILTER (WHERE {name} IS NULL) AS nulls, true AS nullable FROM offers"""
+    for name, width in OFFER_WIDTHS.items()
+)
+
+
+@query(
+    f"WITH offers AS (SELECT * FROM ({CANONICAL_O}) UNION ALL BY NAME SELECT * FROM ({CANONICAL_M}))\n{WIDTHS_SQL}"
+)
+def offer_contract(t):
+    """The declared limits of the sink, held against the canonical offers."""
+    return contract_report(canonical.offers_all(offers_o(t), offers_m(t)), OFFER_WIDTHS)
+
+
+@query(
+    f"""
+WITH links AS (SELECT 'site-' || l_shipmode AS page_name, {LINK_SQL.format('c')} AS link FROM
+  (SELECT l_orderkey AS doc_id, l_linestatus AS l_shipmode FROM lineitem))
+SELECT 'page_name' AS "column", count_if(length(page_name) > 128) AS too_long, count_if(page_name IS NULL) AS nulls,
+       false AS nullable FROM links
+UNION ALL SELECT 'link', count_if(length(link) > 256), count_if(link IS NULL), false FROM links"""
+)
+def registry_contract(t):
+    link = F.concat(F.lit("https://listings.example/c/"), F.col("l_orderkey"))
+    site = F.concat(F.lit("site-"), F.col("l_linestatus"))
+    return contract_report(t.lineitem.select(site.alias("page_name"), link.alias("link")), LINK_WIDTHS, LINK_REQUIRED)

@@ -10,7 +10,7 @@ from estatelake.operators import runlog
 from estatelake.plans import phases
 from estatelake.schemas import OFFERS
 from estatelake.session import shared_folder
-from estatelake.sources.state import State
+from estatelake.sources.state import State, read_snapshot
 
 DAY_SQL = "strftime(ts, '%Y-%m-%d')"
 
@@ -57,23 +57,31 @@ def stage_flags(t):
     return runlog.flag_stage(log(t), "scraping_offers").drop("value")
 
 
-# --- whole runs: one site, one snapshot per order year --------------------------
-# Run k sees the listings of all lines shipped in its year; a listing whose line
-# was returned fails to parse and must come back as new in the next run.
+# --- whole runs: one site, one snapshot per two order years ----------------------
+# Run k sees the listings of all lines shipped in its years; a listing whose line
+# was returned fails to parse and must come back as new in the next run. Lines
+# before the first and after the last year belong to the first and last run.
 
 BASE = "https://listings.example/lot-"
 SITE = "lots"
-YEARS = (1996, 1997, 1998)
+RUNS = (1, 2, 3, 4)
+RUN_SQL = "least(greatest((year(l_shipdate) - 1995) // 2, 0), 3) + 1"
 
 
-def year_snapshot(t, year):
-    shown = t.lineitem.where(F.year("l_shipdate") == year)
+def run_date(k):
+    return f"{2023 + k}-01-01"
+
+
+def run_snapshot(t, k):
+    number = F.least(F.greatest(F.floor((F.year("l_shipdate") - 1995) / 2), F.lit(0)), F.lit(3)) + 1
     url = F.concat(F.lit(BASE), F.col("l_partkey"), F.lit(".html"))
-    return shown.select(canonical_link(url).alias("link"), "l_returnflag", "l_extendedprice")
+    return t.lineitem.where(number == k).select(
+        canonical_link(url).alias("link"), "l_returnflag", "l_extendedprice"
+    )
 
 
-def parsed_offers(t, year, links, run_date):
-    readable = year_snapshot(t, year).groupBy("link").agg(
+def parsed_offers(t, k, links):
+    readable = run_snapshot(t, k).groupBy("link").agg(
         F.max("l_returnflag").alias("flag"), F.max("l_extendedprice").alias("price")
     )
     offers = readable.where("flag <> 'R'").join(links.distinct(), "link", "left_semi")
@@ -83,31 +91,31 @@ def parsed_offers(t, year, links, run_date):
         "link",
         "price",
         F.lit("Yes").alias("active"),
-        F.lit(run_date).alias("scrape_date"),
+        F.lit(run_date(k)).alias("scrape_date"),
         F.lit("-").alias("inactive_date"),
         F.lit(SITE).alias("page_name"),
     )
 
 
-def play_runs(t):
+def play_runs(t, compact_after=None):
     state = State(t.spark, f"{shared_folder(t.spark)}/runs-{uuid.uuid4().hex}")
-    for year in YEARS:
-        run_date = f"{year + 28}-01-01"
-        links = year_snapshot(t, year).select("link")
-        phase = phases.apply_links(state, links, SITE, run_date)
+    for k in RUNS:
+        links = run_snapshot(t, k).select("link")
+        phase = phases.apply_links(state, links, SITE, run_date(k))
         state = phases.queue_links(phase.state, phase.new_links, SITE)
-        offers = parsed_offers(t, year, phase.new_links, run_date)
-        state = phases.apply_offers(state, offers, SITE)
+        state = phases.apply_offers(state, parsed_offers(t, k, phase.new_links), SITE)
+        if k == compact_after:
+            state = state.compact()
     return state
 
 
 def _runs_sql():
     steps = ["WITH r0 AS (SELECT NULL::VARCHAR AS link WHERE false)"]
-    for k, year in enumerate(YEARS, 1):
+    for k in RUNS:
         shown = f"""
   SELECT '{BASE}' || l_partkey AS link, max(l_returnflag) AS flag, max(l_extendedprice) AS price,
          count(*) AS copies
-  FROM lineitem WHERE year(l_shipdate) = {year} GROUP BY 1"""
+  FROM lineitem WHERE {RUN_SQL} = {k} GROUP BY 1"""
         steps += [
             f"s{k} AS ({shown})",
             f"n{k} AS (SELECT * FROM s{k} WHERE link NOT IN (SELECT link FROM r{k - 1}))",
@@ -123,21 +131,20 @@ RUNS_SQL = _runs_sql()
 
 def _offers_sql():
     parts = []
-    for k, year in enumerate(YEARS, 1):
+    for k in RUNS:
         later = " ".join(
-            f"WHEN link IN (SELECT link FROM g{j}) THEN '{YEARS[j - 1] + 28}-01-01'"
-            for j in range(len(YEARS), k, -1)
+            f"WHEN link IN (SELECT link FROM g{j}) THEN '{run_date(j)}'" for j in range(RUNS[-1], k, -1)
         )
         date = f"CASE {later} ELSE '-' END" if later else "'-'"
         parts.append(
-            f"""SELECT link, price, '{year + 28}-01-01' AS scrape_date, {date} AS inactive_date,
+            f"""SELECT link, price, '{run_date(k)}' AS scrape_date, {date} AS inactive_date,
        CASE WHEN {date} = '-' THEN 'Yes' ELSE 'No' END AS active
 FROM n{k} WHERE flag <> 'R'"""
         )
     return "\nUNION ALL\n".join(parts)
 
 
-@query(RUNS_SQL + f"\nSELECT '{SITE}' AS page_name, link FROM r{len(YEARS)}")
+@query(RUNS_SQL + f"\nSELECT '{SITE}' AS page_name, link FROM r{RUNS[-1]}")
 def link_phase(t):
     return play_runs(t).read("active_links", SITE).select("page_name", "link")
 
@@ -148,13 +155,43 @@ def offer_phase(t):
     return offers.select("link", "price", "scrape_date", "inactive_date", "active")
 
 
+@query(RUNS_SQL + "\n" + _offers_sql())
+def offer_phase_compacted(t):
+    """The same offers where the state was compacted half way."""
+    offers = play_runs(t, compact_after=2).read("preprocessing_offers", SITE)
+    return offers.select("link", "price", "scrape_date", "inactive_date", "active")
+
+
 @query(
     RUNS_SQL
     + "\n"
-    + "\nUNION ALL\n".join(
-        f"SELECT link FROM (SELECT link, unnest(range(copies)) FROM n{k})"
-        for k in range(1, len(YEARS) + 1)
-    )
+    + "\nUNION ALL\n".join(f"SELECT link FROM (SELECT link, unnest(range(copies)) FROM n{k})" for k in RUNS)
 )
 def queue_phase(t):
     return play_runs(t).read("to_scrape", SITE).select("link")
+
+
+@query(
+    "\nUNION ALL\n".join(
+        f"SELECT '{run_date(k)}' AS curr_date, CAST(1 AS INTEGER) AS process_number, '{SITE}' AS page_name, "
+        f"'T' AS scraping_offers, 'T' AS scraping_details, "
+        f"(SELECT count(*) FROM lineitem WHERE {RUN_SQL} = {k}) AS lines"
+        for k in RUNS
+    )
+)
+def run_log_after_runs(t):
+    """The run log as whole runs leave it, next to the lines each run listed."""
+    log = play_runs(t).read("process_stage").drop("process_id")
+    number = F.least(F.greatest(F.floor((F.year("l_shipdate") - 1995) / 2), F.lit(0)), F.lit(3))
+    lines = t.lineitem.groupBy(F.concat((number + 2024).cast("string"), F.lit("-01-01")).alias("curr_date")).agg(
+        F.count(F.lit(1)).alias("lines")
+    )
+    return log.join(lines, "curr_date")
+
+
+@query("SELECT url AS link FROM pages")
+def snapshot_links(t):
+    """A stored snapshot with more columns than its links, read back."""
+    path = f"{shared_folder(t.spark)}/snapshot-{uuid.uuid4().hex}"
+    t.pages.withColumnRenamed("url", "link").write.parquet(path)
+    return read_snapshot(t.spark, path)

@@ -29,6 +29,10 @@ BREAKING_TAGS = frozenset(("a", "p", "div", "h3", "br", "li"))
 OUTPUTS = ("child_strings", "strings", "raw_strings", "texts", "child_texts", "block_texts", "attr")
 
 
+# Elements that keep a paragraph around them open (fixed values of the HTML rules).
+PARAGRAPH_SCOPE = frozenset({"td", "th", "caption", "button", "object", "template", "table"})
+
+
 @dataclass(frozen=True)
 class Pick:
     """What to take from a page.
@@ -95,11 +99,23 @@ class _Page(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self._flush()
+        if tag == "p" and self._open_count["p"]:
+            self._end_paragraph()
         self._add(tag, {name: value or "" for name, value in attrs}, None)
         if tag not in VOID_TAGS:
             self._open.append(len(self.tag) - 1)
             self._open_count[tag] += 1
 
+    def _end_paragraph(self):
+        """A new paragraph ends the open one, unless that lies outside the table cell it begins in."""
+        for i in reversed(self._open):
+            if self.tag[i] in PARAGRAPH_SCOPE:
+                return
+            if self.tag[i] == "p":
+                break
+        while self._close_last() != "p":
+            pass
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID_TAGS:

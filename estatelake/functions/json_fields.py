@@ -54,13 +54,13 @@ def geo_label(record: Column, level: str) -> Column:
 
 
 def feature(record: Column, name: str) -> Column:
-    """A target feature as a list; a scalar becomes a list of one."""
+    """A target feature as a list; a scalar becomes a list of one, also one that begins with a bracket."""
     value = F.try_element_at(record["props"]["pageProps"]["ad"]["target"], F.lit(name))
     return bind(
         value,
-        lambda v: F.when(F.startswith(v, F.lit("[")), F.from_json(v, "ARRAY<STRING>")).when(
-            v.isNotNull(), F.array(v)
-        ),
+        lambda v: F.when(
+            F.startswith(v, F.lit("[")), F.coalesce(F.from_json(v, "ARRAY<STRING>"), F.array(v))
+        ).when(v.isNotNull(), F.array(v)),
     )
 
 

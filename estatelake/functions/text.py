@@ -120,14 +120,27 @@ def _pair_up(tokens: Column) -> Column:
         )
         return F.when(t.isNotNull(), pairs)
 
-    def last_wins(pairs: Column) -> Column:
+    def by_key(pairs: Column) -> Column:
+        numbered = F.transform(
+            pairs, lambda p, i: F.struct(p["key"].alias("key"), i.alias("i"), p["value"].alias("value"))
+        )
+        return F.array_sort(numbered)
+
+    def last_wins(ordered: Column) -> Column:
+        # Sorted by key and place, so the last of a key is followed by another key or by nothing.
         def is_last(pair: Column, i: Column) -> Column:
-            later = F.slice(pairs, i + 2, F.size(pairs))
-            return ~F.exists(later, lambda other: other["key"] == pair["key"])
+            return ~(F.get(ordered, i + 1)["key"].eqNullSafe(pair["key"]) & (i + 1 < F.size(ordered)))
 
-        return F.map_from_entries(F.filter(pairs, is_last))
+        last = F.transform(
+            F.filter(ordered, is_last),
+            lambda p: F.struct(p["i"].alias("i"), p["key"].alias("key"), p["value"].alias("value")),
+        )
+        entries_ = F.transform(
+            F.array_sort(last), lambda p: F.struct(p["key"].alias("key"), p["value"].alias("value"))
+        )
+        return F.map_from_entries(entries_)
 
-    return bind(bind(tokens, entries), last_wins)
+    return bind(bind(bind(tokens, entries), by_key), last_wins)
 
 
 def key_values_o(text: Column) -> Column:

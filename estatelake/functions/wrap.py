@@ -1,4 +1,4 @@
-"""C20: greedy word wrap of descriptions into at most four columns.
+"""C20: greedy word wrap of descriptions into four columns, and a side table for what is longer.
 
 Ordinary text is wrapped by one regular expression in the JVM. Only text whose
 break points need more care (tabs, hyphens at a line end, words longer than a
@@ -71,6 +71,15 @@ def description_columns(lines: Column) -> list[Column]:
     ]
 
 
+def description_rest(df: DataFrame, lines: str, *keys: str) -> DataFrame:
+    """The wrapped pieces that have no column, one row each: keys, ``piece_no`` (from 5), ``text``."""
+    rest = F.slice(F.col(lines), PIECES + 1, F.greatest(F.size(lines) - PIECES, F.lit(0)))
+    beyond = df.where(F.size(lines) > PIECES)
+    return beyond.select(*keys, F.posexplode(rest).alias("_at", "text")).select(
+        *keys, (F.col("_at") + PIECES + 1).alias("piece_no"), "text"
+    )
+
+
 def overflow(lines: Column) -> Column:
     """How many wrapped pieces do not fit the four description columns."""
     return F.greatest(F.size(lines) - PIECES, F.lit(0))

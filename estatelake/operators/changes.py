@@ -14,7 +14,8 @@ from estatelake.operators.skew import HEAVY_ROWS, SALTS, keep_unlisted, mark_lis
 
 NEW, KEPT, REMOVED = "new", "kept", "removed"
 COPIES_PER_ROW = 100_000
-RETRY_ROUNDS = 6  # fixed value: attempts before a link is given up
+RETRY_ROUNDS = 6  # fixed value: tries again after the first attempt
+ATTEMPTS = 1 + RETRY_ROUNDS
 
 
 def link_diff(snapshot: DataFrame, registry: DataFrame) -> DataFrame:
@@ -33,12 +34,21 @@ def link_diff(snapshot: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def _copies(diff: DataFrame, count: str) -> DataFrame:
-    """Each link as often as it was counted, built from bounded slices that spread out."""
+    """Each link as often as it was counted.
+
+    Small counts are written out in place. Larger ones are cut into slices of
+    bounded size, which are spread over tasks first.
+    """
+    def written_out(rows: DataFrame, size: Column) -> DataFrame:
+        return rows.select("link", F.explode(F.sequence(F.lit(1), size.cast("int")))).select("link")
+
+    few = F.col(count) <= COPIES_PER_ROW
     slices = F.sequence(F.lit(0), F.floor((F.col(count) - 1) / COPIES_PER_ROW))
-    sliced = diff.select("link", count, F.explode(slices).alias("_slice"))
+    sliced = diff.where(~few).select("link", count, F.explode(slices).alias("_slice"))
     size = F.least(F.lit(COPIES_PER_ROW), F.col(count) - F.col("_slice") * COPIES_PER_ROW)
-    spread = sliced.repartition("link", "_slice")
-    return spread.select("link", F.explode(F.sequence(F.lit(1), size.cast("int")))).select("link")
+    return written_out(diff.where(few), F.col(count)).unionByName(
+        written_out(sliced.repartition("link", "_slice"), size)
+    )
 
 
 def new_links_of(diff: DataFrame, distinct: bool = False, null_too: Column | bool = False) -> DataFrame:
@@ -122,19 +132,43 @@ def deactivate_offers(
     )
 
 
-def pending_links(queue: DataFrame, attempts: DataFrame, limit: int = RETRY_ROUNDS) -> DataFrame:
-    """Queued links not yet read, with the attempts made, while any are left.
+def link_attempts(queue: DataFrame, attempts: DataFrame) -> DataFrame:
+    """Per queued link: ``attempts`` made since it was last queued, and whether one was ``ok``.
 
-    ``attempts`` has ``link`` and a boolean ``ok``. One shuffle, counted map-side.
+    ``attempts`` has ``link`` and a boolean ``ok``. Where both sides have a
+    ``run``, only attempts of a later run than the link's last queueing count:
+    a link that vanished and was listed again starts anew. Counted map-side per
+    link and run, so a hot link is one row per run.
     """
-    queued = queue.select("link", F.lit(1).alias("_q"), F.lit(0).alias("_a"), F.lit(0).alias("_ok"))
-    tried = attempts.select(
-        "link", F.lit(0).alias("_q"), F.lit(1).alias("_a"), F.col("ok").cast("int").alias("_ok")
-    )
-    per_link = (
+    timed = "run" in queue.columns and "run" in attempts.columns
+    queued = queue.select("link", (F.col("run") if timed else F.lit(0)).cast("long").alias("run"), F.lit(1).alias("_q"),
+                          F.lit(0).alias("_a"), F.lit(0).alias("_ok"))
+    tried = attempts.select("link", (F.col("run") if timed else F.lit(1)).cast("long").alias("run"), F.lit(0).alias("_q"),
+                            F.lit(1).alias("_a"), F.col("ok").cast("int").alias("_ok"))
+    per_run = (
         queued.unionByName(tried)
-        .groupBy("link")
-        .agg(F.max("_q").alias("_q"), F.sum("_a").alias("attempts"), F.max("_ok").alias("_ok"))
+        .groupBy("link", "run")
+        .agg(F.max("_q").alias("_q"), F.sum("_a").alias("_a"), F.max("_ok").alias("_ok"))
     )
-    waiting = (F.col("_q") == 1) & (F.coalesce("_ok", F.lit(0)) == 0) & (F.col("attempts") < limit)
-    return per_link.where(waiting & F.col("link").isNotNull()).select("link", "attempts")
+    per_link = per_run.groupBy("link").agg(
+        F.max(F.when(F.col("_q") == 1, F.col("run"))).alias("_queued"),
+        F.collect_list(F.struct("run", "_a", "_ok")).alias("_runs"),
+    )
+    since = F.filter("_runs", lambda r: r["run"] > F.col("_queued"))
+    return per_link.where(F.col("_queued").isNotNull() & F.col("link").isNotNull()).select(
+        "link",
+        F.aggregate(since, F.lit(0).cast("long"), lambda n, r: n + r["_a"]).alias("attempts"),
+        F.exists(since, lambda r: F.coalesce(r["_ok"], F.lit(0)) == 1).alias("ok"),
+    )
+
+
+def pending_links(queue: DataFrame, attempts: DataFrame, limit: int = ATTEMPTS) -> DataFrame:
+    """Queued links not yet read, with the attempts made, while any are left."""
+    made = link_attempts(queue, attempts)
+    return made.where(~F.col("ok") & (F.col("attempts") < limit)).select("link", "attempts")
+
+
+def exhausted_links(queue: DataFrame, attempts: DataFrame, limit: int = ATTEMPTS) -> DataFrame:
+    """Queued links that no attempt could read and that have no attempts left."""
+    made = link_attempts(queue, attempts)
+    return made.where(~F.col("ok") & (F.col("attempts") >= limit)).select("link", "attempts")

@@ -1,26 +1,22 @@
 """Keep the chunks of a long description that are in the target language.
 
-The model is a table of character trigrams of words, cut to the most frequent
-ones per language, which is what a trigram profile is. Training counts words
-before it takes them apart, so the shuffle carries distinct words and not
-letters. Scores are whole numbers, so sums do not depend on their order.
-Applying the model is a map over rows: no shuffle and no row key.
+The model is the table of all character trigrams of words with a score per
+language. Training counts words before it takes them apart, so the shuffle
+carries distinct words and not letters. Labelling takes chunks apart, joins
+their trigrams with the model (broadcast only if it is measured to be small)
+and adds scores up per chunk, combined before the shuffle. Scores are whole
+numbers, so sums do not depend on their order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, field
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estatelake.functions.text import chunk_words, chunks
 
-SPACE = np.uint64(ord(" "))
-GRAMS_PER_LANGUAGE = 400
 SCALE = 1000  # scores are thousandths of a natural logarithm
 LONG_TEXT = 16000  # fixed value: longer descriptions are filtered by language
 TARGET = "pl"  # fixed value: the language that is kept
@@ -32,18 +28,11 @@ def grams(word: Column) -> Column:
     return F.regexp_extract_all(padded, F.lit("(?s)(?=(...))"), F.lit(1))
 
 
-def train(
-    corpus: DataFrame,
-    text: str,
-    language: str,
-    languages: Iterable[str],
-    per_language: int = GRAMS_PER_LANGUAGE,
-) -> DataFrame:
+def train(corpus: DataFrame, text: str, language: str, languages: Iterable[str]) -> DataFrame:
     """Naive Bayes model rows ``(language, gram, score)`` from labelled text.
 
     The empty gram holds the score of an unlisted trigram, the others what a
-    listed trigram adds to it. There are at most ``per_language + 1`` rows for
-    each language.
+    listed trigram adds to it. Every trigram of the corpus is listed.
     """
     labelled = corpus.where(F.col(language).isin(list(languages)))
     spoken = labelled.select(
@@ -56,15 +45,9 @@ def train(
         .groupBy("language", "gram")
         .agg(F.sum("n").alias("n"))
     )
-    ranked = Window.partitionBy("language").orderBy(F.desc("n"), "gram")
-    frequent = counts.withColumn("_rank", F.row_number().over(ranked)).where(
-        F.col("_rank") <= per_language
-    )
-    known = frequent.select("language", "gram", _score(F.ln(F.col("n") + 1)))
-    totals = counts.groupBy("language").agg(F.sum("n").alias("n"))
-    base = totals.select(
-        "language", F.lit("").alias("gram"), _score(-F.ln(F.col("n") + per_language))
-    )
+    known = counts.select("language", "gram", _score(F.ln(F.col("n") + 1)))
+    totals = counts.groupBy("language").agg((F.sum("n") + F.count(F.lit(1))).alias("n"))
+    base = totals.select("language", F.lit("").alias("gram"), _score(-F.ln("n")))
     return known.unionByName(base)
 
 
@@ -72,92 +55,66 @@ def _score(log_odds: Column) -> Column:
     return F.round(log_odds * SCALE).cast("bigint").alias("score")
 
 
-def _points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
-
-
-def _gram_codes(points: np.ndarray) -> np.ndarray:
-    """Each run of three code points as one number."""
-    return (points[:-2] << np.uint64(42)) | (points[1:-1] << np.uint64(21)) | points[2:]
-
-
-@dataclass(frozen=True)
-class LanguageModel:
-    """A trained model in the form the executors use: sorted trigrams, a score per language."""
-
-    languages: tuple[str, ...]
-    base: np.ndarray
-    codes: np.ndarray = field(repr=False)
-    scores: np.ndarray = field(repr=False)
-
-    @classmethod
-    def load(cls, model: DataFrame, languages: Iterable[str], per_language: int = GRAMS_PER_LANGUAGE):
-        """Read a trained model table; its size is bounded by the training cut."""
-        languages = tuple(sorted(set(languages)))
-        bound = (per_language + 1) * len(languages)
-        rows = model.limit(bound + 1).collect()
-        if len(rows) > bound:
-            raise ValueError(f"language model larger than {bound} rows")
-        known = sorted({row["gram"] for row in rows} - {""})
-        at = {gram: i for i, gram in enumerate(known)}
-        column = {name: i for i, name in enumerate(languages)}
-        base = np.zeros(len(languages), dtype=np.int64)
-        scores = np.zeros((len(known), len(languages)), dtype=np.int64)
-        for row in rows:
-            target = base if row["gram"] == "" else scores[at[row["gram"]]]
-            target[column[row["language"]]] = row["score"]
-        codes = np.array([_gram_codes(_points(gram))[0] for gram in known], dtype=np.uint64)
-        return cls(languages, base, codes, scores)
-
-    def label(self, texts: list[str]) -> list[str | None]:
-        """The best language of each text, the first by name on ties; None if no trigram is known."""
-        if not texts or not len(self.codes):
-            return [None] * len(texts)
-        points = _points("".join(f" {t} " for t in texts))
-        owner = np.repeat(np.arange(len(texts)), [len(t) + 2 for t in texts])
-        # One trigram per letter: those around a space belong to no word.
-        letters = points[1:-1] != SPACE
-        codes, owner = _gram_codes(points)[letters], owner[1:-1][letters]
-        place = np.searchsorted(self.codes, codes) % len(self.codes)
-        hit = self.codes[place] == codes
-        owner_hit, scores_hit = owner[hit], self.scores[place[hit]]
-        totals = np.bincount(owner, minlength=len(texts))[:, None] * self.base
-        for i in range(len(self.languages)):
-            totals[:, i] += np.bincount(owner_hit, scores_hit[:, i], len(texts)).astype(np.int64)
-        known = np.bincount(owner_hit, minlength=len(texts)) > 0
-        best = totals.argmax(axis=1)
-        return [self.languages[b] if k else None for b, k in zip(best, known)]
-
-
-def chunk_languages(chunk_list: Column, model: LanguageModel) -> Column:
-    """The language of every chunk of a list, null where it cannot be told."""
-
-    @F.pandas_udf("array<string>")
-    def label(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda items: None if items is None else model.label(list(items)))
-
-    return label.asNondeterministic()(chunk_list)
+def label_chunks(parts: DataFrame, model: DataFrame, *keys: str) -> DataFrame:
+    """The best language of every row of ``keys`` and ``chunk``: the same columns and ``language``.
+
+    The first language by name wins ties; null where the model lists none of
+    the trigrams. Rows that share their keys must not differ in ``chunk``.
+    """
+    # One row per language of the model.
+    base = {r["language"]: r["score"] for r in model.where("gram = ''").collect()}
+    names = sorted(base)
+    listed = model.where("gram <> ''")
+    wide = listed.groupBy("gram").agg(
+        *[F.max(F.when(F.col("language") == x, F.col("score"))).alias(f"s{i}") for i, x in enumerate(names)],
+        F.lit(True).alias("listed"),
+    )
+    each = F.explode_outer(F.flatten(F.transform(F.split("chunk", " "), grams))).alias("gram")
+    scored = parts.select(*keys, "chunk", each).join(wide, "gram", "left")
+    best = F.array_sort(
+        F.array(*[
+            F.struct(
+                (-(F.sum(F.coalesce(f"s{i}", F.lit(0))) + F.count("gram") * F.lit(base[x]))).alias("score"),
+                F.lit(x).alias("language"),
+            )
+            for i, x in enumerate(names)
+        ])
+    ) if names else F.array()
+    told = F.get(best, F.lit(0))["language"] if names else F.lit(None).cast("string")
+    return scored.groupBy(*keys).agg(
+        F.max("chunk").alias("chunk"), F.when(F.bool_or("listed"), told).alias("language")
+    )
 
 
 def keep_language(
     df: DataFrame,
     text: str,
-    model: LanguageModel | None,
+    model: DataFrame | None,
     target: str = TARGET,
     longer_than: int = LONG_TEXT,
 ) -> DataFrame:
     """Reduce long texts to their chunks in the target language, joined by spaces.
 
-    Chunks whose language cannot be told are kept; without a model that is all.
-    Texts up to ``longer_than`` characters stay as they are.
+    Chunks whose language cannot be told are kept. Texts up to ``longer_than``
+    characters, and all texts without a model, stay as they are. What a text
+    becomes depends on the text only, so equal long texts are labelled once.
     """
-    is_long = F.length(text) > longer_than
-    df = df.withColumn("_chunks", F.when(is_long, chunks(chunk_words(F.col(text)))))
-    kept = F.col("_chunks")
-    if model is not None:
-        df = df.withColumn("_labels", chunk_languages(F.col("_chunks"), model))
-        told = F.zip_with("_chunks", "_labels", lambda c, l: F.struct(c.alias("c"), l.alias("l")))
-        wanted = F.filter(told, lambda x: F.coalesce(x["l"], F.lit(target)) == target)
-        kept = F.transform(wanted, lambda x: x["c"])
-    reduced = F.when(is_long, F.array_join(kept, " ")).otherwise(F.col(text))
-    return df.withColumn(text, reduced).drop("_chunks", "_labels")
+    if model is None:
+        return df
+    is_long = F.coalesce(F.length(text) > longer_than, F.lit(False))
+    # Short texts get keys that match nothing and are spread over tasks.
+    plain = [c for c, kind in df.dtypes if kind in ("string", "bigint", "int", "double")]
+    key = F.when(is_long, F.sha2(F.col(text), 256)).otherwise(F.hex(F.xxhash64(*plain)))
+    keyed = df.withColumn("_key", key)
+    long = df.where(is_long).groupBy(F.sha2(F.col(text), 256).alias("_key")).agg(F.max(text).alias("_long"))
+    parts = long.select("_key", F.posexplode(chunks(chunk_words(F.col("_long")))).alias("chunk_no", "chunk"))
+    told = label_chunks(parts, model, "_key", "chunk_no")
+    wanted = F.coalesce(F.col("language"), F.lit(target)) == target
+    in_order = F.array_sort(F.collect_list(F.when(wanted, F.struct("chunk_no", "chunk"))))
+    reduced = told.groupBy("_key").agg(
+        F.array_join(F.transform(in_order, lambda x: x["chunk"]), " ").alias("_kept")
+    )
+    joined = keyed.join(reduced, "_key", "left")
+    # A long text without a single word has no chunk at all.
+    shorter = F.when(is_long, F.coalesce("_kept", F.lit(""))).otherwise(F.col(text))
+    return joined.withColumn(text, shorter).select(*df.columns)

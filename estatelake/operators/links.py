@@ -20,10 +20,6 @@ def anchors(html: Column, attr: str, value: str) -> Column:
     return select_html(html, [names, hrefs])
 
 
-def _array(column: str) -> Column:
-    return F.coalesce(F.col(column), F.array().cast("array<string>"))
-
-
 def container_hrefs(
     pages: DataFrame, attr: str, value: str, rewrite: tuple[str, str] | None = None
 ) -> DataFrame:
@@ -51,34 +47,62 @@ def list_places(city_pages: DataFrame, profile: Profile, prefix: str = "") -> Da
     return found.select(F.concat(F.lit(prefix), F.col("href")).alias("link"))
 
 
+PAGES, OFFERS = "pages", "offers"  # fixed values: the kinds of links a listing page can hold
+
+
+def read_listing(pages: DataFrame, profile: Profile, kind: str = OFFERS) -> DataFrame:
+    """One row per stored page, with its links, ``status`` and ``error``.
+
+    A page that was not fetched or cannot be read is ``failed`` and has no
+    links; it is no empty page. Store the result to read every page once.
+    """
+    if kind not in (PAGES, OFFERS):
+        raise ValueError(f"unknown kind {kind!r}")
+    pick = profile.pager if kind == PAGES else profile.offers
+    read = pages.select("link", "html").withColumn("_page", select_html(F.col("html"), [pick]))
+    error = F.when(F.col("html").isNull(), F.lit("no content")).otherwise(F.col("_page.error"))
+    read = read.select("link", error.alias("error"), F.coalesce(f"_page.{pick.name}", F.array().cast("array<string>")).alias("_found"))
+    links = F.col("_found")
+    if kind == PAGES:
+        links = F.transform(page_numbers(F.col("_found")), lambda n: page_link(F.col("link"), n))
+    elif profile.offer_marker is not None:
+        links = F.filter(F.col("_found"), lambda x: F.contains(x, F.lit(profile.offer_marker)))
+    return read.select(
+        "link",
+        F.when(F.col("error").isNull(), "ok").otherwise("failed").alias("status"),
+        "error",
+        F.when(F.col("error").isNull(), links).otherwise(F.array().cast("array<string>")).alias("links"),
+    )
+
+
+def unread_pages(listing: DataFrame) -> DataFrame:
+    """The pages of ``read_listing`` that gave nothing because they could not be read."""
+    return listing.where(F.col("status") == "failed").select("link", "error")
+
+
 def list_pages(seed_pages: DataFrame, profile: Profile) -> DataFrame:
-    """The numbered listing pages behind every stored seed page."""
-    labels = select_html(F.col("html"), [profile.pager])[profile.pager.name]
-    numbered = seed_pages.where(F.col("html").isNotNull()).withColumn("_labels", labels)
-    return numbered.select(
-        "link", F.explode(page_numbers(_array("_labels"))).alias("_n")
-    ).select(page_link(F.col("link"), F.col("_n")).alias("link"))
+    """The numbered listing pages behind every seed page that could be read."""
+    return read_listing(seed_pages, profile, PAGES).select(F.explode("links").alias("link"))
 
 
 def offer_links(listing_pages: DataFrame, profile: Profile) -> DataFrame:
-    """Every offer link on every stored listing page."""
-    found = listing_pages.withColumn(
-        "_offers", select_html(F.col("html"), [profile.offers])[profile.offers.name]
-    )
-    links = found.select(F.explode("_offers").alias("link"))
-    if profile.offer_marker is not None:
-        links = links.where(F.contains(F.col("link"), F.lit(profile.offer_marker)))
-    return links
+    """Every offer link on every listing page that could be read."""
+    return read_listing(listing_pages, profile).select(F.explode("links").alias("link"))
 
 
-def list_offers(listing_pages: DataFrame, profile: Profile) -> DataFrame:
-    """The site's offer links in canonical form, each once."""
-    links = offer_links(listing_pages, profile)
+def offers_listed(listing: DataFrame, profile: Profile) -> DataFrame:
+    """The offer links of a ``read_listing`` result in canonical form, each once."""
+    links = listing.select(F.explode("links").alias("link"))
     if profile.offer_marker is None:
         links = links.select(canonical_link(F.col("link")).alias("link"))
     return links.where(F.col("link").isNotNull()).distinct()
 
 
+def list_offers(listing_pages: DataFrame, profile: Profile) -> DataFrame:
+    """The site's offer links in canonical form, each once. See ``unread_pages`` for the others."""
+    return offers_listed(read_listing(listing_pages, profile), profile)
+
+
 def flatten_links(df: DataFrame, column: str) -> DataFrame:
     """One row per link of a nested link list, order kept within a row."""
     return df.select(F.explode(F.flatten(F.col(column))).alias("link"))

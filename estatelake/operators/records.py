@@ -1,14 +1,12 @@
-"""Offer records from stored detail pages."""
+"""Offer records from stored detail pages."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from estatelake.functions.html import select_html
 from estatelake.functions.json_fields import longest_script, parse_record, record_columns
@@ -85,35 +83,27 @@ def join_retried(first: DataFrame, retried: DataFrame, key: str = "link") -> Dat
     return combine([first, retried]).where(F.col(key).isNotNull())
 
 
-def map_with_errors(column: Column, function: Callable, result_type) -> Column:
-    """``function`` on every value, as ``struct(value, error)``.
-
-    A value the function raises on yields a null ``value`` and the reason.
-    """
-    schema = StructType([StructField("value", result_type), StructField("error", StringType())])
-
-    def attempt(item):
-        try:
-            return function(item), None
-        except Exception as problem:  # one bad link must not stop the job
-            return None, f"{type(problem).__name__}: {problem}"
-
-    @F.pandas_udf(schema)
-    def run(items: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([attempt(i) for i in items], columns=["value", "error"], dtype=object)
-
-    return run.asNondeterministic()(column)
-
-
 EXTRACTORS = {PROFILE_O.page_name: extract_offers_o, PROFILE_M.page_name: extract_offers_m}
 
 
 def details(pages: DataFrame, page_name: str, retried: DataFrame | None = None) -> DataFrame:
-    """Records of a site's detail pages, and of a later attempt at the failed ones.
+    """Records of a site's detail pages, and of a later attempt at some of them.
 
-    A retried page replaces nothing: only links whose first page failed are
-    expected in ``retried``.
+    With ``retried`` there is one row per link of either: the best status first,
+    of equal ones the first attempt. A link that failed and was not tried again
+    stays, as failed; a retry that fails takes nothing away.
     """
     extract = EXTRACTORS[page_name]
     first = extract(pages)
-    return first if retried is None else join_retried(first.where(F.col("status") != FAILED), extract(retried))
+    return first if retried is None else best_attempt(first, extract(retried))
+
+
+def best_attempt(first: DataFrame, retried: DataFrame) -> DataFrame:
+    """One row per link of two attempts: ok before dead before failed, then the first attempt."""
+    rank = F.when(F.col("status") == OK, 2).when(F.col("status") == DEAD, 1).otherwise(0)
+    both = first.withColumn("_try", F.lit(0)).unionByName(retried.withColumn("_try", F.lit(1)))
+    row = F.struct(*first.columns)
+    best = both.where(F.col("link").isNotNull()).groupBy("link").agg(
+        F.max_by(row, F.struct(rank.alias("rank"), (-F.col("_try")).alias("try"))).alias("_best")
+    )
+    return best.select("_best.*")

@@ -1,7 +1,9 @@
 """Raw records of either profile to the 27-column canonical offer.
 
 Both projections are row-wise: no shuffle, and Python only for the few
-descriptions that need the exact word wrap or the language filter.
+descriptions that need the exact word wrap. A language model, where one is
+given, adds joins for the long descriptions. With ``keep_lines`` all wrapped
+pieces of a description come along as ``_lines``.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql.types import ArrayType, StringType
 from estatelake.functions import text as T
 from estatelake.functions.wrap import description_columns, with_lines
 from estatelake.operators.keyvalues import attributes_m, attributes_o
-from estatelake.operators.language import LanguageModel, keep_language
+from estatelake.operators.language import keep_language
 from estatelake.operators.records import combine
 from estatelake.profiles import PROFILE_M, PROFILE_O
 from estatelake.schemas import CANONICAL_COLUMNS, OFFERS
@@ -40,7 +42,7 @@ def _clean_cells(raw: DataFrame, clean_breaks) -> DataFrame:
 
 def _finish(
     df: DataFrame, columns: dict[str, Column], run_date: str, page_name: str,
-    model: LanguageModel | None,
+    model: DataFrame | None, keep_lines: bool = False,
 ) -> DataFrame:
     """C16 to C23 and the fixed column order."""
     df = keep_language(df, "description", model)
@@ -60,12 +62,13 @@ def _finish(
         clean = T.blank_to_null if isinstance(field.dataType, StringType) else T.nan_to_null
         return clean(column).alias(field.name)
 
-    return df.select(*(output(field) for field in OFFERS))
+    lines = ["_lines"] if keep_lines else []
+    return df.select(*(output(field) for field in OFFERS), *lines)
 
 
 def canonical_o(
     raw: DataFrame, run_date: str, page_name: str = PROFILE_O.page_name,
-    model: LanguageModel | None = None,
+    model: DataFrame | None = None, keep_lines: bool = False,
 ) -> DataFrame:
     """Profile O."""
     df = _clean_cells(raw, T.clean_breaks_o).withColumn("_kv", T.key_values_o(F.col("details")))
@@ -81,12 +84,12 @@ def canonical_o(
         "additional_info": T.additional_info(F.col("additional_info"), F.col("details")),
         **{name: F.col(name) for name in ("city", "address", "district", "voivodeship")},
     }
-    return _finish(df, columns, run_date, page_name, model)
+    return _finish(df, columns, run_date, page_name, model, keep_lines)
 
 
 def canonical_m(
     raw: DataFrame, run_date: str, page_name: str = PROFILE_M.page_name,
-    model: LanguageModel | None = None,
+    model: DataFrame | None = None, keep_lines: bool = False,
 ) -> DataFrame:
     """Profile M. Address, currency and numbers are read off the uncleaned lists."""
     path = T.address_m(F.col("localization_path"))
@@ -115,7 +118,7 @@ def canonical_m(
         "district": F.col("_district"),
         "voivodeship": F.col("_voivodeship"),
     }
-    return _finish(df, columns, run_date, page_name, model)
+    return _finish(df, columns, run_date, page_name, model, keep_lines)
 
 
 def offers_all(*offers: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from estatelake.functions.wrap import description_rest
 from estatelake.operators import changes, runlog
 from estatelake.operators.records import split_by_status
 from estatelake.plans.canonical import canonical_m, canonical_o
@@ -16,6 +17,8 @@ from estatelake.sources.state import State, check_site
 # Removed links up to this size are broadcast; the size is measured first.
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_BYTES = 64
+# A registered offer counts as an attempt after any run.
+NEVER = (1 << 63) - 1
 
 CANONICAL = {PROFILE_O.page_name: canonical_o, PROFILE_M.page_name: canonical_m}
 
@@ -44,13 +47,17 @@ def apply_links(
     scope: str = "link",
     only_active: bool = False,
     max_removed_fraction: float | None = None,
+    unread: DataFrame | None = None,
 ) -> LinkPhase:
     """Log the run, diff the snapshot, drop vanished links and retire their offers.
 
     With ``scope='link'`` a vanished link is dropped and retired on every site,
-    with ``'site'`` on its own. Only the partitions that hold such a link are
-    rewritten. ``max_removed_fraction`` refuses a snapshot that would remove
-    more than that share of the site's registry.
+    with ``'site'`` on its own. Only the registry partitions that hold such a
+    link are rewritten; offers are retired by appending the links.
+    ``max_removed_fraction`` refuses a snapshot that would remove more than that
+    share of the site's registry. ``unread`` are the listing pages that could
+    not be read (``link``): if there are any, they are recorded as failed and no
+    link counts as vanished, because it may stand on one of them.
     """
     if scope not in ("link", "site"):
         raise ValueError(f"unknown scope {scope!r}")
@@ -59,29 +66,37 @@ def apply_links(
     published = {
         "process_stage": state.append("process_stage", runlog.log_entry(log, site, run_date))
     }
+    complete = unread is None or unread.isEmpty()
+    if not complete:
+        rows = failure_rows(state, unread, site, "listing")
+        published["missing_links"] = state.append("missing_links", rows, site)
 
     registry = state.read("active_links", site)
     diff = state.work_table("diff", changes.link_diff(snapshot, registry))
     # A first run also lets null links through.
     new = changes.new_links_of(diff, null_too=not state.site_folders("active_links", site))
     removed = changes.removed_links_of(diff, distinct=True)
-    if max_removed_fraction is not None:
+    if not complete:
+        removed = removed.limit(0)
+    elif max_removed_fraction is not None:
         _check_removed(diff, max_removed_fraction)
 
     count, size = removed.agg(F.count(F.lit(1)), F.sum(F.octet_length("link") + ROW_BYTES)).first()
-    own_site = site if scope == "site" else None
-    for table in ("active_links", "preprocessing_offers") if count else ():
+    if count:
         small = size <= BROADCAST_BYTES
-        parts = state.parts_holding(table, removed, own_site, small)
-        if not parts:
-            continue
-        rows = state.read_parts(table, parts)
-        changed = (
-            changes.delete_links(rows, removed, small=small)
-            if table == "active_links"
-            else changes.deactivate_offers(rows, removed, run_date, only_active=only_active, small=small)
+        parts = state.parts_holding("active_links", removed, site if scope == "site" else None, small)
+        if parts:
+            kept = changes.delete_links(state.read_parts("active_links", parts), removed, small=small)
+            published["active_links"] = state.rewrite_parts("active_links", kept, parts)
+        retired = removed.select(
+            F.lit(site).alias("page_name"),
+            "link",
+            F.lit(scope == "link").alias("every_site"),
+            F.lit(only_active).alias("only_active"),
+            F.lit(run_date).alias("run_date"),
+            F.lit(state.version + 1).cast("long").alias("run"),
         )
-        published[table] = state.rewrite_parts(table, changed, parts)
+        published["deactivations"] = state.append("deactivations", retired)
     return LinkPhase(state.publish(published), new, removed)
 
 
@@ -95,7 +110,9 @@ def _check_removed(diff: DataFrame, limit: float) -> None:
 
 def queue_links(state: State, new_links: DataFrame, site: str) -> State:
     """Second half of the link phase: queue the new links (A6) and flag the stage."""
-    queued = link_rows(new_links.where(F.col("link").isNotNull()), site)
+    queued = link_rows(new_links.where(F.col("link").isNotNull()), site).withColumn(
+        "run", F.lit(state.version + 1).cast("long")
+    )
     log = runlog.flag_stage(state.read("process_stage"), "scraping_offers")
     return state.publish(
         {
@@ -105,11 +122,12 @@ def queue_links(state: State, new_links: DataFrame, site: str) -> State:
     )
 
 
-def apply_offers(state: State, offers: DataFrame, site: str) -> State:
+def apply_offers(state: State, offers: DataFrame, site: str, rest: DataFrame | None = None) -> State:
     """Append offers (A4), flag the stage (C38), register the links that gave an offer (A5).
 
-    Links whose page could not be read stay unregistered and come back as new
-    in the next run.
+    ``rest`` are the description pieces beyond the four columns (C20). Links
+    whose page could not be read stay unregistered and come back as new in the
+    next run.
     """
     log = runlog.flag_stage(state.read("process_stage"), "scraping_details")
     folders = state.append("preprocessing_offers", offers, site)
@@ -117,37 +135,65 @@ def apply_offers(state: State, offers: DataFrame, site: str) -> State:
         "preprocessing_offers", [f for f in folders if f not in state.tables["preprocessing_offers"]]
     )
     registered = link_rows(loaded.where(F.col("link").isNotNull()), site)
-    return state.publish(
-        {
-            "preprocessing_offers": folders,
-            "process_stage": state.rewrite("process_stage", log),
-            "active_links": state.append("active_links", registered, site),
-        }
-    )
+    published = {
+        "preprocessing_offers": folders,
+        "process_stage": state.rewrite("process_stage", log),
+        "active_links": state.append("active_links", registered, site),
+    }
+    if rest is not None:
+        published["description_rest"] = state.append("description_rest", rest, site)
+    return state.publish(published)
 
 
-def record_failures(state: State, failed: DataFrame, site: str, link_type: str = "details") -> State:
-    """Keep the links of one attempt that failed, for the retry query."""
-    rows = failed.select(
-        F.xxhash64(F.lit(site), F.col("link"), F.lit(state.version)).alias("missing_id"),
+def failure_rows(state: State, failed: DataFrame, site: str, link_type: str) -> DataFrame:
+    """Rows of the failed table for links that failed in the version being made."""
+    run = state.version + 1
+    return failed.where(F.col("link").isNotNull()).select(
+        F.xxhash64(F.lit(site), F.col("link"), F.lit(run)).alias("missing_id"),
         F.lit(site).alias("page_name"),
         "link",
         F.lit(link_type).alias("link_type"),
+        F.lit(run).cast("long").alias("run"),
     )
+
+
+def record_failures(state: State, failed: DataFrame, site: str, link_type: str = "details") -> State:
+    """Keep the links of one attempt that failed, for the retry query."""
+    rows = failure_rows(state, failed, site, link_type)
     return state.publish({"missing_links": state.append("missing_links", rows, site)})
 
 
-def links_to_retry(state: State, site: str, limit: int = changes.RETRY_ROUNDS) -> DataFrame:
-    """Queued links of a site that failed at least once, gave no offer yet, and have tries left."""
-    failed = state.read("missing_links", site).select("link", F.lit(False).alias("ok"))
-    loaded = state.read("preprocessing_offers", site).select("link", F.lit(True).alias("ok"))
-    pending = changes.pending_links(state.read("to_scrape", site), failed.unionByName(loaded), limit)
+def _queue_and_attempts(state: State, site: str) -> tuple[DataFrame, DataFrame]:
+    """Queued links that no offer is registered for now, and the failures of their detail pages."""
+    queue = state.read("to_scrape", site).select("link", "run")
+    failed = state.read("missing_links", site).where(F.col("link_type") == "details")
+    loaded = state.read("active_links", site).select("link", F.lit(NEVER).alias("run"), F.lit(True).alias("ok"))
+    return queue, failed.select("link", "run", F.lit(False).alias("ok")).unionByName(loaded)
+
+
+def links_to_retry(state: State, site: str, limit: int = changes.ATTEMPTS) -> DataFrame:
+    """Queued links of a site that failed since they were queued, gave no offer, and have tries left.
+
+    A link that vanished and was listed again is queued anew: what happened
+    before that does not count.
+    """
+    pending = changes.pending_links(*_queue_and_attempts(state, site), limit)
     return pending.where(F.col("attempts") > 0)
 
 
-def load_details(state: State, results: DataFrame, site: str, run_date: str, model=None) -> State:
-    """Detail results of a site to canonical offers in the state, failures to the failed table."""
+def links_given_up(state: State, site: str, limit: int = changes.ATTEMPTS) -> DataFrame:
+    """Queued links of a site that have failed as often as they may."""
+    return changes.exhausted_links(*_queue_and_attempts(state, site), limit)
+
+
+def load_details(state: State, results: DataFrame, site: str, run_date: str, model: DataFrame | None = None) -> State:
+    """Detail results of a site to canonical offers in the state, failures to the failed table.
+
+    Description pieces that have no column are published with the offers.
+    """
     results = state.work_table("details", results)
     ok, failed, _ = split_by_status(results)
     state = record_failures(state, failed, site)
-    return apply_offers(state, CANONICAL[site](ok, run_date, model=model), site)
+    wrapped = state.work_table("canonical", CANONICAL[site](ok, run_date, model=model, keep_lines=True))
+    rest = description_rest(wrapped, "_lines", "page_name", "link", "scrape_date")
+    return apply_offers(state, wrapped.drop("_lines"), site, rest)

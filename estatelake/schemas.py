@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     DoubleType,
     IntegerType,
     LongType,
@@ -29,12 +30,26 @@ _TEXT, _LONG, _INT, _REAL, _LIST = (
 ACTIVE_LINKS = _table(
     ("link_id", _LONG, False), ("page_name", _TEXT, False), ("link", _TEXT, False)
 )
-TO_SCRAPE = ACTIVE_LINKS
+# ``run`` is the state version that queued the link or saw it fail.
+TO_SCRAPE = _table(
+    ("link_id", _LONG, False), ("page_name", _TEXT, False), ("link", _TEXT, False), ("run", _LONG, True)
+)
 MISSING_LINKS = _table(
     ("missing_id", _LONG, False),
     ("page_name", _TEXT, False),
     ("link", _TEXT, False),
     ("link_type", _TEXT, False),
+    ("run", _LONG, True),
+)
+# Offers that a run retired: all rows of a link, of one site or any, that the table had before that run.
+DEACTIVATIONS = _table(
+    ("page_name", _TEXT, False), ("link", _TEXT, False), ("every_site", BooleanType(), False),
+    ("only_active", BooleanType(), False), ("run_date", _TEXT, False), ("run", _LONG, False),
+)
+# Wrapped pieces of a description that its four columns do not hold.
+DESCRIPTION_REST = _table(
+    ("page_name", _TEXT, False), ("link", _TEXT, True), ("scrape_date", _TEXT, True),
+    ("piece_no", _INT, False), ("text", _TEXT, True),
 )
 PROCESS_STAGE = _table(
     ("process_id", _LONG, False),
@@ -82,6 +97,8 @@ STATE_TABLES = {
     "to_scrape": TO_SCRAPE,
     "missing_links": MISSING_LINKS,
     "process_stage": PROCESS_STAGE,
+    "deactivations": DEACTIVATIONS,
+    "description_rest": DESCRIPTION_REST,
 }
 
 # Declared text widths of the sink columns and the columns that

@@ -1,14 +1,15 @@
-"""The five state tables as Parquet, with all tables of a run published together.
+"""The state tables as Parquet, with all tables of a run published together.
 
 Plain Parquet has no UPDATE or DELETE, so a changed table is written to a new
 folder. A commit is one small JSON file naming the folders that make up every
 table; it is written last, so readers see all of a run or nothing of it, and a
 run that dies half way leaves only folders nobody points to. Appends add a
-folder and rewrite nothing.
+folder and rewrite nothing. There is one commit file per version, created only
+if no other writer has created it, and readers open the newest one only.
 
 Tables with a site are partitioned by it, offers also by the month they were
-read in. A change rewrites only the partitions that hold an affected row;
-listings live for weeks, so retiring them leaves the older months alone.
+read in. Retired offers are not rewritten: a run appends the links it retires,
+reading offers applies them, and ``compact`` folds them in.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ import uuid
 from collections.abc import Mapping
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +31,13 @@ PARTITIONS = {
     "to_scrape": ("page_name",),
     "missing_links": ("page_name",),
     "process_stage": (),
+    "deactivations": (),
+    "description_rest": ("page_name",),
 }
 SITE_NAME = re.compile(r"[\w .-]+\Z", re.ASCII)
+COMMIT_NAME = re.compile(r"[0-9]{12}[.]json\Z")
+# Files that a compacted partition is spread over at most.
+COMPACT_FILES = 64
 _COMMITS = "version BIGINT, tables MAP<STRING, ARRAY<STRING>>"
 
 
@@ -63,39 +68,75 @@ class State:
         self.version, self.tables = at or self._latest()
 
     def _latest(self) -> tuple[int, dict[str, list[str]]]:
-        try:
-            commits = self.spark.read.schema(_COMMITS).json(f"{self.base}/commits")
-            last = commits.orderBy(F.desc("version")).limit(2).collect()
-        except AnalysisException as problem:
-            if "PATH_NOT_FOUND" not in str(problem):
-                raise
-            last = []
-        if not last:
-            return 0, {name: [] for name in STATE_TABLES}
-        if len(last) == 2 and last[0]["version"] == last[1]["version"]:
-            raise RuntimeError(f"two writers published version {last[0]['version']}")
-        return last[0]["version"], {name: list(last[0]["tables"].get(name) or []) for name in STATE_TABLES}
+        """The newest commit. Only names are listed, and one file is read."""
+        fs, folder = self._files("commits")
+        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        last = max((n for n in names if COMMIT_NAME.match(n)), default=None)
+        none = {name: [] for name in STATE_TABLES}
+        if last is None:
+            return 0, none
+        lines = self.spark.read.schema(_COMMITS).json(f"{self.base}/commits/{last}").collect()
+        return lines[0]["version"], none | {k: list(v) for k, v in lines[0]["tables"].items()}
+
+    def _files(self, place: str):
+        """The file system of the state and a path below it, as the driver's Spark sees them."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{place}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
     # --- reading ---------------------------------------------------------------
 
     def read(self, table: str, site: str | None = None) -> DataFrame:
-        """A table of this version (A1: only one site's partition when ``site`` is given)."""
-        if site is None:
-            return self.read_folders(table, self.tables[table])
-        rows = self.read_folders(table, self.site_folders(table, site))
-        return rows.where(F.col("page_name") == site)
+        """A table of this version (A1: only one site's partition when ``site`` is given).
+
+        Offers come with all later deactivations applied.
+        """
+        folders = self.tables[table] if site is None else self.site_folders(table, site)
+        offers = table == "preprocessing_offers"
+        rows = self.read_folders(table, folders, versions=offers and bool(self.tables["deactivations"]))
+        if "_version" in rows.columns:
+            rows = self._retired(rows).select(*STATE_TABLES[table].names)
+        return rows if site is None else rows.where(F.col("page_name") == site)
+
+    def _retired(self, offers: DataFrame) -> DataFrame:
+        """C31 on read: the deactivations of each link in the order of runs, for rows that are older."""
+        event = F.struct("run", "run_date", "every_site", "only_active", F.col("page_name").alias("site"))
+        events = self.read("deactivations").groupBy("link").agg(F.array_sort(F.collect_set(event)).alias("_events"))
+        begin = F.struct(F.col("active").alias("active"), F.col("inactive_date").alias("inactive_date"))
+
+        def fold(row: Column, e: Column) -> Column:
+            hit = (
+                (e["run"] > F.col("_version"))
+                & (e["every_site"] | e["site"].eqNullSafe(F.col("page_name")))
+                & (~e["only_active"] | F.coalesce(row["active"] == "Yes", F.lit(False)))
+            )
+            return F.struct(
+                F.when(hit, "No").otherwise(row["active"]).alias("active"),
+                F.when(hit, e["run_date"]).otherwise(row["inactive_date"]).alias("inactive_date"),
+            )
+
+        none = F.array().cast(events.schema["_events"].dataType)
+        state = F.aggregate(F.coalesce("_events", none), begin, fold)
+        return (
+            offers.join(events, "link", "left")
+            .withColumn("_state", state)
+            .withColumn("active", F.col("_state.active"))
+            .withColumn("inactive_date", F.col("_state.inactive_date"))
+        )
 
     def site_folders(self, table: str, site: str) -> list[str]:
         """Folders with rows of a site; every one of them holds at least one row."""
         wanted = f"page_name={check_site(site)}"
         return [f for f in self.tables[table] if not PARTITIONS[table] or wanted in f.split("/")]
 
-    def read_folders(self, table: str, folders: list[str]) -> DataFrame:
+    def read_folders(self, table: str, folders: list[str], versions: bool = False) -> DataFrame:
+        """Rows of some folders; with ``versions`` also the version that wrote them, as ``_version``."""
         schema = STATE_TABLES[table]
         if not folders:
             return empty(self.spark, schema)
         reader = self.spark.read.schema(schema).option("basePath", f"{self.base}/{table}")
-        return reader.parquet(*(f"{self.base}/{f}" for f in folders)).select(*schema.names)
+        rows = reader.parquet(*(f"{self.base}/{f}" for f in folders))
+        own = [F.split_part(F.col("v"), F.lit("-"), F.lit(1)).cast("long").alias("_version")] if versions else []
+        return rows.select(*schema.names, *own)
 
     def partition_of(self, table: str, rows: DataFrame) -> DataFrame:
         """Rows with their partition columns in place."""
@@ -112,7 +153,8 @@ class State:
         size; otherwise copies of a link are folded before they are shuffled.
         """
         columns = PARTITIONS[table]
-        rows = self.partition_of(table, self.read(table, site)).select("link", *columns)
+        folders = self.tables[table] if site is None else self.site_folders(table, site)
+        rows = self.partition_of(table, self.read_folders(table, folders)).select("link", *columns)
         links, rows = (F.broadcast(links), rows) if small else (links, rows.distinct())
         hits = rows.join(links, "link", "left_semi").select(*columns).distinct().collect()
         return ["/".join(f"{c}={row[c]}" for c in columns) for row in hits]
@@ -131,9 +173,11 @@ class State:
             rows.select(*schema.names).write.parquet(path)
             return [folder]
         self.partition_of(table, rows.select(*schema.names)).write.partitionBy(*columns).parquet(path)
-        files = self.spark.read.schema(schema).parquet(path).inputFiles()
-        depth = len(columns) + 1
-        return sorted({f"{folder}/" + unquote("/".join(f.split("/")[-depth:-1])) for f in files})
+        # The folders that were written: as many as sites and months in these rows.
+        fs, pattern = self._files("/".join([folder, *(f"{c}=*" for c in columns)]))
+        depth = len(columns)
+        found = [str(f.getPath().toString()) for f in fs.globStatus(pattern) or []]
+        return sorted(f"{folder}/" + unquote("/".join(f.split("/")[-depth:])) for f in found)
 
     def append(self, table: str, rows: DataFrame, site: str | None = None) -> list[str]:
         """Folders of the table after adding rows, all of one site."""
@@ -150,15 +194,47 @@ class State:
         return self._write(table, rows)
 
     def publish(self, changes: Mapping[str, list[str]]) -> State:
-        """Commit the changed tables as the next version and return it."""
+        """Commit the changed tables as the next version and return it.
+
+        The commit file is written aside and renamed to its name only if that
+        name is free, so of two writers of a version the second one fails and
+        readers never see two.
+        """
         latest, _ = self._latest()
         if latest != self.version:
             raise RuntimeError(f"version {latest} was published after {self.version} was read")
-        tables = {**self.tables, **changes}
-        entry = json.dumps({"version": self.version + 1, "tables": tables})
-        commit = self.spark.range(1).select(F.inline(F.array(F.from_json(F.lit(entry), _COMMITS))))
-        commit.coalesce(1).write.mode("append").json(f"{self.base}/commits")
-        return State(self.spark, self.base, (self.version + 1, tables))
+        version, tables = self.version + 1, {**self.tables, **changes}
+        entry = json.dumps({"version": version, "tables": tables})
+        fs, aside = self._files(f"commits/_{uuid.uuid4().hex}")
+        out = fs.create(aside, False)
+        out.write(bytearray(entry.encode()))
+        out.close()
+        _, final = self._files(f"commits/{version:012d}.json")
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        options = self.spark._sc._gateway.new_array(hadoop.Options.Rename, 0)
+        context = hadoop.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        try:
+            context.rename(aside, final, options)
+        except Exception as problem:
+            fs.delete(aside, False)
+            if not fs.exists(final):
+                raise
+            raise RuntimeError(f"another writer published version {version}") from problem
+        return State(self.spark, self.base, (version, tables))
+
+    def compact(self, *names: str) -> State:
+        """Publish tables as one folder per partition, offers with their deactivations folded in."""
+        changed = {}
+        for name in names or [n for n in STATE_TABLES if n != "deactivations"]:
+            rows = self.read(name)
+            columns = PARTITIONS[name]
+            if columns:
+                parts = [F.col(c) if c != "scrape_month" else scrape_month() for c in columns]
+                rows = rows.repartition(*parts, F.pmod(F.xxhash64("link"), F.lit(COMPACT_FILES)))
+            changed[name] = self.rewrite(name, rows)
+            if name == "preprocessing_offers":
+                changed["deactivations"] = []
+        return self.publish(changed)
 
     def work_table(self, name: str, rows: DataFrame) -> DataFrame:
         """Write an intermediate result once and read it back, cutting its lineage."""

@@ -105,10 +105,18 @@ def test_heavy_keys_are_bounded(spark):
 
 
 def test_pending_links(spark):
-    queue = frame(spark, ["new", "failed", "done", "spent", "done", None])
-    tried = [("failed", False)] * 5 + [("done", False), ("done", True)] + [("spent", False)] * 6 + [("other", False)]
+    queue = frame(spark, ["new", "failed", "done", "spent", "done", "last", None])
+    tried = [("failed", False)] * 5 + [("done", False), ("done", True)] + [("spent", False)] * 7 + [("last", False)] * 6 + [("other", False)]
     attempts = spark.createDataFrame(tried, "link string, ok boolean")
-    assert sorted(map(tuple, changes.pending_links(queue, attempts).collect())) == [("failed", 5), ("new", 0)]
+    assert sorted(map(tuple, changes.pending_links(queue, attempts).collect())) == [("failed", 5), ("last", 6), ("new", 0)]
+    assert [tuple(r) for r in changes.exhausted_links(queue, attempts).collect()] == [("spent", 7)]
+
+
+def test_attempts_count_from_the_last_queueing(spark):
+    queue = spark.createDataFrame([("a", 1), ("a", 5), ("b", 1), ("c", 1)], "link string, run long")
+    tried = [("a", 2, False), ("a", 3, True), ("a", 6, False), ("b", 2, True), ("c", 1, True), ("c", 4, False)]
+    attempts = spark.createDataFrame(tried, "link string, run long, ok boolean")
+    assert sorted(map(tuple, changes.pending_links(queue, attempts).collect())) == [("a", 1), ("c", 1)]
 
 
 def test_split_join_and_combine(spark):

@@ -45,9 +45,9 @@ def test_white_space_between_tags_counts_once(evaluate):
 def test_block_texts(evaluate):
     html = "<p>a<br>b<div>c<br>d</div><span>e<li>f</li></span></p>"
     assert pick_one(evaluate, html, tag="p", every=True, output="block_texts") == ["a\n\nbcd\n\nef\n\n"]
-    # An unclosed paragraph holds the next one, whose text then appears twice.
+    # A new paragraph ends an open one.
     nested = pick_one(evaluate, "<p>a<p>b</p>", tag="p", every=True, output="block_texts")
-    assert nested == ["ab\n\n", "b"]
+    assert nested == ["a", "b"]
 
 
 def test_child_texts_and_attributes(evaluate):

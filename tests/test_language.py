@@ -6,7 +6,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from estatelake.functions.text import chunk_words, chunks
-from estatelake.operators.language import LanguageModel, chunk_languages, keep_language, train
+from estatelake.operators.language import keep_language, label_chunks, train
 
 POLISH = "mieszkanie jest bardzo ładne i przestronne z widokiem na park oraz blisko do centrum miasta"
 ENGLISH = "the apartment is very nice and spacious with a view of the park and close to the city centre"
@@ -20,19 +20,20 @@ def grams(text):
     return [f" {w} "[i : i + 3] for w in text.split() for i in range(len(w))]
 
 
+def label(spark, model, texts):
+    parts = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, chunk string")
+    found = {r.i: r.language for r in label_chunks(parts, model, "i").collect()}
+    return [found[i] for i in range(len(texts))]
+
+
 def test_model_against_brute_force(spark):
-    keep = 12
-    rows = train(corpus(spark), "text", "lang", ["pl", "en"], per_language=keep).collect()
-    model = LanguageModel.load(
-        train(corpus(spark), "text", "lang", ["pl", "en"], per_language=keep), ["pl", "en"], keep
-    )
+    model = train(corpus(spark), "text", "lang", ["pl", "en"])
     expected, base = {}, {}
     for lang, text in (("pl", POLISH), ("en", ENGLISH)):
         counts = Counter(grams(text))
-        best = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:keep]
-        expected[lang] = {g: round(1000 * math.log(n + 1)) for g, n in best}
-        base[lang] = round(-1000 * math.log(sum(counts.values()) + keep))
-    found = {(r.language, r.gram): r.score for r in rows}
+        expected[lang] = {g: round(1000 * math.log(n + 1)) for g, n in counts.items()}
+        base[lang] = round(-1000 * math.log(sum(counts.values()) + len(counts)))
+    found = {(r.language, r.gram): r.score for r in model.collect()}
     assert found == {(l, g): s for l in expected for g, s in expected[l].items()} | {(l, ""): base[l] for l in base}
 
     def brute(text):
@@ -43,35 +44,34 @@ def test_model_against_brute_force(spark):
         return max(sorted(score), key=score.get)
 
     tests = ["the view", "park jest", "qqq", "", "ab", "😀😀😀", "mieszkanie", "city", "and the", "ie i"]
-    assert model.label(tests) == [brute(t) for t in tests]
-    assert model.label([]) == []
+    assert label(spark, model, tests) == [brute(t) for t in tests]
 
 
 def test_accuracy_on_labelled_documents(spark):
     languages = ("de", "en", "es", "fr")
     documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    half = documents.where("doc_id < 500")
-    model = LanguageModel.load(train(half, "text", "lang", languages), languages)
-    told = (
-        documents.where("doc_id >= 500")
-        .select("lang", F.explode(chunk_languages(chunks(chunk_words(F.col("text"))), model)).alias("told"))
-        .agg(F.avg((F.col("lang") == F.col("told")).cast("int")).alias("share"))
-        .first()
+    model = train(documents.where("doc_id % 2 = 0"), "text", "lang", languages)
+    parts = documents.where("doc_id % 2 = 1").select(
+        "doc_id", "lang", F.posexplode(chunks(chunk_words(F.col("text")))).alias("n", "chunk")
     )
+    told = label_chunks(parts, model, "doc_id", "lang", "n").agg(
+        F.avg((F.col("lang") == F.col("language")).cast("int")).alias("share")
+    ).first()
     assert told.share > 0.9
 
 
 def test_only_long_texts_are_filtered(spark):
     # Six-word chunks that are all of one language.
     polish, english = "mieszkanie jest bardzo ładne i przestronne", "the apartment is very nice and"
-    model = LanguageModel.load(train(corpus(spark), "text", "lang", ["pl", "en"]), ["pl", "en"])
+    model = train(corpus(spark), "text", "lang", ["pl", "en"])
     df = spark.createDataFrame(
-        [(1, f"{polish} {english} {polish}"), (2, f"{polish} {english}"), (3, None), (4, f"{polish.upper()}, Q-Q 1 2 3 4 5")],
+        [(1, f"{polish} {english} {polish}"), (2, f"{polish} {english}"), (3, None), (4, f"{polish.upper()}, Q-Q 1 2 3 4 5"),
+         (5, f"{polish} {english} {polish}"), (6, " " * 200)],
         "i int, text string",
     )
     limit = len(f"{polish} {english}")
     kept = {r.i: r.text for r in keep_language(df, "text", model, longer_than=limit).collect()}
-    assert kept[1] == f"{polish} {polish}" and kept[2] == f"{polish} {english}" and kept[3] is None
+    assert kept[1] == kept[5] == f"{polish} {polish}" and kept[2] == f"{polish} {english}" and kept[3] is None
+    assert kept[6] == ""
     every = {r.i: r.text for r in keep_language(df, "text", None, longer_than=10).collect()}
-    assert every[1] == f"{polish} {english} {polish}"
-    assert every[4] == f"{polish} qq 1 2 3 4 5"
+    assert every[1] == f"{polish} {english} {polish}" and every[4] == f"{polish.upper()}, Q-Q 1 2 3 4 5"

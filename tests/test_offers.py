@@ -1,11 +1,12 @@
 """Pages to raw records to canonical offers, with the rows that used to break a whole batch."""
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 
-from estatelake.operators.links import list_offers, list_pages, list_places
-from estatelake.operators.language import LanguageModel, train
-from estatelake.operators.records import details, extract_offers_m, extract_offers_o, map_with_errors
+from estatelake.functions.html import Pick, select_html
+from estatelake.functions.json_fields import feature, parse_record
+from estatelake.operators.links import list_offers, list_pages, list_places, read_listing, unread_pages
+from estatelake.operators.language import train
+from estatelake.operators.records import details, extract_offers_m, extract_offers_o
 from estatelake.plans.canonical import canonical_m, canonical_o, offers_all
 from estatelake.profiles import PROFILE_M, PROFILE_O, REGIONS_O
 from estatelake.schemas import CANONICAL_COLUMNS, OFFERS, RAW_M, RAW_O
@@ -118,17 +119,41 @@ def test_listing_links(spark):
     assert len(REGIONS_O) == 15
 
 
-def test_map_with_errors(spark):
-    df = spark.createDataFrame([("7",), ("x",), (None,)], "link string")
-    out = df.select(map_with_errors(F.col("link"), int, IntegerType()).alias("r")).collect()
-    assert [r.r.value for r in out] == [7, None, None]
-    assert out[0].r.error is None and "ValueError" in out[1].r.error and "TypeError" in out[2].r.error
+def test_unread_listing_pages_are_reported(spark):
+    seeds = pages(spark, [("s", "<ul class=pager><a>1</a></ul>"), ("u", None)])
+    listing = read_listing(seeds, PROFILE_O, "pages")
+    assert [tuple(r) for r in unread_pages(listing).collect()] == [("u", "no content")]
+    assert sorted(r.link for r in list_pages(seeds, PROFILE_O).collect()) == ["s?page=1"]
+    broken = spark.createDataFrame([("s", "<![unended")], "link string, html string")
+    assert read_listing(broken, PROFILE_M).first().status in ("ok", "failed")
+
+
+def test_one_row_per_link_of_two_attempts(spark):
+    page = "<div class='summaryLocation clearfix row'><span>{}</span></div><nav class=breadcrumbs><span>a</span></nav><section class='propertyParams box'></section>"
+    first = pages(spark, [("a", page.format("first")), ("b", None), ("c", None), ("d", page.format("d")), (None, page.format("n"))])
+    again = pages(spark, [("b", page.format("second")), ("a", page.format("again")), ("d", None), ("e", "<p>")])
+    out = {r.link: (r.status, r.title) for r in details(first, PROFILE_M.page_name, retried=again).collect()}
+    assert out == {"a": ("ok", ["first"]), "b": ("ok", ["second"]), "c": ("failed", None), "d": ("ok", ["d"]), "e": ("dead", None)}
+
+
+def test_bracketed_scalar_and_unclosed_paragraphs(spark):
+    script = '{"props": {"pageProps": {"ad": {"target": {"Heating": "[gas] central", "Area": ["[x", "y"]}}}}}'
+    row = spark.createDataFrame([(script,)], "s string").select(
+        feature(parse_record(F.col("s")), "Heating").alias("h"), feature(parse_record(F.col("s")), "Area").alias("a")).first()
+    assert (row.h, row.a) == (["[gas] central"], ["[x", "y"])
+    markup = "".join(f"<p>word{i} <b>bold</b>" for i in range(5000))
+    pick = Pick("t", tag="p", every=True, output="block_texts")
+    texts = spark.createDataFrame([(markup,)], "h string").select(select_html(F.col("h"), [pick])["t"].alias("t")).first().t
+    assert len(texts) == 5000 and texts[7] == "word7 bold" and sum(map(len, texts)) < len(markup)
+    cell = "<p>a<table><tr><td><p>b<p>c</td></tr></table>"
+    texts = spark.createDataFrame([(cell,)], "h string").select(select_html(F.col("h"), [pick])["t"].alias("t")).first().t
+    assert texts[1:] == ["b", "c"]
 
 
 def test_long_descriptions_keep_the_target_language(spark):
     polish, english = "mieszkanie jest bardzo ładne i przestronne", "the apartment is very nice and"
     corpus = spark.createDataFrame([("pl", polish), ("en", english)], "lang string, text string")
-    model = LanguageModel.load(train(corpus, "text", "lang", ["pl", "en"]), ["pl", "en"])
+    model = train(corpus, "text", "lang", ["pl", "en"])
     mixed = " ".join([polish, english] * 300)
     rows = [{"link": "long", "description": [mixed]}, {"link": "short", "description": [mixed[:400]]}]
     out = {r.link: r for r in canonical_o(raw(spark, RAW_O, *rows), DAY, model=model).collect()}

@@ -128,13 +128,64 @@ def test_unpublished_writes_stay_invisible(spark, state):
     assert registry(State(spark, state.base)) == "a"
 
 
-def test_two_writers_of_one_version_are_reported(spark, state):
+def test_second_writer_of_a_version_fails_and_readers_go_on(spark, state):
     first, second = State(spark, state.base), State(spark, state.base)
-    first.publish({})
+    first.publish({"active_links": ["x"]})
     second._latest = lambda: (0, {})
-    second.publish({})
-    with pytest.raises(RuntimeError, match="two writers"):
-        State(spark, state.base)
+    with pytest.raises(RuntimeError, match="another writer"):
+        second.publish({"active_links": ["y"]})
+    again = State(spark, state.base)
+    assert (again.version, again.tables["active_links"]) == (1, ["x"])
+    assert again.publish({}).version == 2
+
+
+def test_unread_listing_page_retires_nothing(spark, state):
+    state, *_ = run(state, "a b", "P", "2024-01-01")
+    state, *diff = run(state, "b c", "P", "2024-01-02", unread=links(spark, "page-2"))
+    assert diff == ["c", ""] and registry(state) == "a b c"
+    assert {r.active for r in state.read("preprocessing_offers").collect()} == {"Yes"}
+    assert [(r.link, r.link_type) for r in state.read("missing_links").collect()] == [("page-2", "listing")]
+    state, *diff = run(state, "b c", "P", "2024-01-03", unread=links(spark, ""))
+    assert diff == ["", "a"]
+
+
+def test_relisted_links_are_retried(spark, state):
+    site = PROFILE_M.page_name
+    page = lambda html: spark.createDataFrame([("/a", html)], "link string, html string")
+    for day, shown, html in (("1", "/a", DETAIL.format(1)), ("2", "", None), ("3", "/a", None)):
+        phase = phases.apply_links(state, links(spark, shown), site, f"2024-03-0{day}")
+        state = phases.queue_links(phase.state, phase.new_links, site)
+        if shown:
+            state = phases.load_details(state, details(page(html), site), site, f"2024-03-0{day}")
+    assert [tuple(r) for r in phases.links_to_retry(state, site).collect()] == [("/a", 1)]
+    for _ in range(6):
+        state = phases.record_failures(state, links(spark, "/a"), site)
+    assert phases.links_to_retry(state, site).count() == 0
+    assert [tuple(r) for r in phases.links_given_up(state, site).collect()] == [("/a", 7)]
+
+
+def test_compacted_state_reads_the_same(spark, state):
+    for day, shown in (("1", "a b c"), ("2", "b c"), ("3", "a c"), ("4", "c")):
+        state, *_ = run(state, shown, "P", f"2024-02-0{day}", only_active=day == "4")
+    key = lambda s: sorted(map(tuple, s.read("preprocessing_offers").select("link", "scrape_date", "active", "inactive_date").collect()))
+    before, log, known = key(state), state.read("process_stage").count(), registry(state)
+    state = state.compact()
+    assert key(state) == before and state.read("process_stage").count() == log and registry(state) == known
+    assert state.tables["deactivations"] == [] and len(state.tables["preprocessing_offers"]) == 1
+    state, *diff = run(state, "", "P", "2024-02-05")
+    assert diff == ["", "c"] and {r[3] for r in key(state) if r[0] == "c"} == {"2024-02-05"}
+
+
+def test_long_descriptions_are_published_whole(spark, state):
+    site = PROFILE_M.page_name
+    words = " ".join(f"w{i:05d}" for i in range(3500))
+    html = DETAIL.format(1) + f"<div class='description'><p>{words}</p></div>"
+    pages_ = spark.createDataFrame([("/a", html), ("/b", DETAIL.format(2))], "link string, html string")
+    state = phases.load_details(state, details(pages_, site), site, "2024-03-01")
+    (row,) = state.read("preprocessing_offers").where("link = '/a'").collect()
+    rest = state.read("description_rest").orderBy("piece_no").collect()
+    assert [(r.link, r.scrape_date, r.piece_no) for r in rest] == [("/a", "2024-03-01", 5), ("/a", "2024-03-01", 6), ("/a", "2024-03-01", 7)]
+    assert " ".join([row.description_1, row.description_2, row.description_3, row.description_4] + [r.text for r in rest]) == words
 
 
 def test_empty_tables_have_their_schemas(spark, state):
