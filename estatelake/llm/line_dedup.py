@@ -26,26 +26,15 @@ SIMILARITY = 0.8
 #: Words are counted in this many buckets: a table of fixed size, whatever the vocabulary.
 BUCKETS = 1 << 18
 #: Candidates of a class under one word that are tried first.
-FIRST_TRIES = 2
+FIRST_TRIES = 8
 #: Entries of a list that one task pairs; longer lists are cut into blocks that meet in pairs.
 LIST = 8192
+AT_ONCE = 1 << 16
 NEAR = 64
 BLOOM_WORDS = 1 << 19
 NO_ID = (1 << 63) - 1
 
 
-class WordHashes(dict):
-    """XXH64 of words; starts over when it has grown large."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > 500_000:
-            self.clear()
-        self[word] = out = xxhash.xxh64_intdigest(word)
-        return out
-
-
 def stir(x: np.ndarray, factor: int) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(factor)
     return x ^ (x >> np.uint64(29))
@@ -55,33 +44,71 @@ def words_of(line: str) -> list[bytes]:
     return line.encode().lower().split()
 
 
+#: Bytes of text that are taken apart at once.
+CHUNK = 1 << 22
+BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+LETTER = stir(np.arange(1, 257, dtype=np.uint64) << np.uint64(32), 0x9E3779B97F4A7C15) | np.uint64(1)
+
+
+def chunks_of(texts: list[str]):
+    """Lists of (text number, number of its first line here, lines): no list has more than a line beyond CHUNK."""
+    held, size = [], 0
+    for number, text in enumerate(texts):
+        parts = [text] if len(text) <= CHUNK else text.split("\n")
+        line = 0
+        for part in parts:
+            if held and size + len(part) > CHUNK:
+                yield held
+                held, size = [], 0
+            held.append((number, line, part))
+            size += len(part)
+            line += 1
+    if held:
+        yield held
+
+
 class LineSets:
-    """The lines with words of some texts, as sorted sets of word hashes."""
-
-    def __init__(self, texts: list[str], hashes: WordHashes, rank: np.ndarray | None = None):
-        ids: list[int] = []
-        sizes, self.doc, self.line = [], [], []
-        for d, text in enumerate(texts):
-            for number, line in enumerate(text.split("\n")):
-                words = words_of(line)
-                if words:
-                    ids.extend(map(hashes.__getitem__, words))
-                    sizes.append(len(words))
-                    self.doc.append(d)
-                    self.line.append(number)
-        every = np.fromiter(ids, np.uint64, len(ids))
-        self.raw = every
+    """The lines with words of some pieces of text, as sorted sets of word hashes.
+
+    A word's hash is the sum of a number per byte times a number per place, in
+    64 bits and then stirred, so all words of all pieces are hashed at once.
+    """
+
+    def __init__(self, pieces: list[tuple[int, int, str]], rank: np.ndarray | None):
+        data = np.frombuffer("\n".join(p[2] for p in pieces).encode().lower(), np.uint8)
+        blank = BLANK[data]
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8)))
+        begin, length = edge[::2], edge[1::2] - edge[::2]
+        breaks = np.flatnonzero(data == 10)
+        row = np.searchsorted(breaks, begin)
+        many = np.array([p[2].count("\n") + 1 for p in pieces])
+        first = np.cumsum(many) - many
+        used, at = np.unique(row, return_inverse=True)
+        piece = np.searchsorted(first, used, side="right") - 1
+        self.doc = np.array([p[0] for p in pieces], np.int64)[piece]
+        self.line = (np.array([p[1] for p in pieces], np.int64)[piece] + used - first[piece]).astype(np.int32)
+        offsets = np.cumsum(length) - length
+        place = np.arange(int(length.sum())) - np.repeat(offsets, length)
+        places = stir(np.arange(1, int(length.max(initial=0)) + 2, dtype=np.uint64), 0xC2B2AE3D27D4EB4F) | np.uint64(1)
+        values = LETTER[data[~blank]] * places[place]
+        every = stir(np.add.reduceat(values, offsets), 0xFF51AFD7ED558CCD) if len(begin) else np.empty(0, np.uint64)
         if rank is None:
+            self.ids = every
             return
-        at = np.repeat(np.arange(len(sizes)), sizes)
-        order = np.lexsort((every, (at << 18) | rank[(every & np.uint64(BUCKETS - 1)).astype(np.int64)]))
+        # Line, rank and the upper bits of the word in one key; the rest of the word breaks ties.
+        place = rank[(every & np.uint64(BUCKETS - 1)).astype(np.int64)]
+        key = (at.astype(np.uint64) << np.uint64(43)) | (place.astype(np.uint64) << np.uint64(25)) | (every >> np.uint64(39))
+        order = np.argsort(key)
+        ordered, ids = key[order], every[order]
+        if ((ordered[1:] == ordered[:-1]) & (ids[1:] != ids[:-1])).any():
+            order = np.lexsort((every, key))
         every, at = every[order], at[order]
         new = np.ones(len(every), bool)
         new[1:] = (every[1:] != every[:-1]) | (at[1:] != at[:-1])
         self.ids, at = every[new], at[new]
-        self.n = np.bincount(at, minlength=len(sizes))
+        self.n = np.bincount(at, minlength=len(used))
         self.start = np.cumsum(self.n) - self.n
-        if len(sizes):
+        if len(used):
             self.k1 = np.add.reduceat(stir(self.ids, 0x9E3779B97F4A7C15), self.start).view(np.int64)
             self.k2 = np.bitwise_xor.reduceat(stir(self.ids, 0xC2B2AE3D27D4EB4F), self.start).view(np.int64)
             bits = np.uint64(1) << (stir(self.ids, 0xFF51AFD7ED558CCD) >> np.uint64(58))
@@ -108,12 +135,12 @@ def prefix_length(n: np.ndarray, t: float) -> np.ndarray:
 
 def word_ranks(rows: DataFrame) -> np.ndarray:
     """The rank of each bucket of words by its count over all documents, rarest first."""
-
     def count(batches):
-        hashes, total = WordHashes(), np.zeros(BUCKETS, np.int64)
+        total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            raw = LineSets(batch.column("text").to_pylist(), hashes).raw
-            total += np.bincount((raw & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+            for pieces in chunks_of(batch.column("text").to_pylist()):
+                ids = LineSets(pieces, None).ids
+                total += np.bincount((ids & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
         seen = np.flatnonzero(total)
         for i in range(0, len(seen), 1 << 14):
             part = seen[i : i + (1 << 14)]
@@ -235,10 +262,21 @@ def candidates(entries: DataFrame, t: float, tries: int | None, folder: str, mos
             [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), *own], names
         )
 
+    def gathered(batches):
+        """Arrow batches put together to some ten thousand rows."""
+        parts, rows = [], 0
+        for batch in batches:
+            parts.append(_columns(batch))
+            rows += len(batch)
+            if rows >= AT_ONCE:
+                yield {c: np.concatenate([p[c] for p in parts]) for c in ENTRY}
+                parts, rows = [], 0
+        if parts:
+            yield {c: np.concatenate([p[c] for p in parts]) for c in ENTRY}
+
     def run(batches):
         held, long = None, None
-        for batch in batches:
-            e = _columns(batch)
+        for e in gathered(batches):
             if held is not None:
                 e = {c: np.concatenate([held[c], v]) for c, v in e.items()}
                 held = None
@@ -311,27 +349,52 @@ def verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, rank: np.nda
     question is sent on, found by a bit table of fixed size.
     """
     wanted = pairs.select(F.col("later").alias("k1")).unionByName(pairs.select(F.col("earlier").alias("k1"))).distinct()
-    spots = classes.join(wanted.hint("merge"), "k1", "left_semi").select(
-        F.pmod(F.xxhash64("k1", "doc", "line"), F.lit(BLOOM_WORDS * 64)).alias("spot")
+    first = stored(
+        classes.select("k1", "k2", "doc", "line").join(wanted.hint("merge"), "k1", "left_semi"), f"{folder}/wanted"
+    )
+
+    def spots(batches):
+        for batch in batches:
+            at = spot_of(batch.column("doc").to_numpy(), batch.column("line").to_numpy())
+            bits = (np.uint64(1) << (at & np.uint64(63))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).view(np.int64)), pa.array(bits)], ["word", "bits"])
+
+    words = (
+        first.select("doc", "line").mapInArrow(spots, "word long, bits long")
+        .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     )
-    words = spots.groupBy(F.floor(F.col("spot") / 64).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(spot % 64 AS int))")).alias("bits")
-    ).toArrow()
     table = np.zeros(BLOOM_WORDS, np.int64)
     table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    lines = rows.mapInArrow(_line_positions(rank), "k1 long, doc long, line int, tokens binary")
-    spot = F.pmod(F.xxhash64("k1", "doc", "line"), F.lit(BLOOM_WORDS * 64))
 
     def asked(batches):
         for batch in batches:
-            at = batch.column("spot").to_numpy()
-            yield batch.filter(pa.array((table[at >> 6] >> (at & 63)) & 1 == 1)).select(["k1", "doc", "line", "tokens"])
+            texts, docs = batch.column("text").to_pylist(), batch.column("doc").to_numpy()
+            many = np.array([t.count("\n") + 1 for t in texts], np.int64)
+            of = np.repeat(np.arange(len(texts)), many)
+            line = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+            at = spot_of(docs[of], line)
+            hit = np.flatnonzero((table[(at >> np.uint64(6)).view(np.int64)].view(np.uint64) >> (at & np.uint64(63))) & np.uint64(1))
+            held, kept, size = None, [], 0
+            for k in hit.tolist():
+                d = int(of[k])
+                if held is None or held[0] != d:
+                    held = (d, texts[d].split("\n"))
+                kept.append((d, int(line[k]), held[1][line[k]]))
+                size += len(kept[-1][2])
+                if size > CHUNK:
+                    yield whole(LineSets(kept, rank), docs)
+                    kept, size = [], 0
+            if kept:
+                yield whole(LineSets(kept, rank), docs)
+
+    def whole(sets, docs):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(sets.k1), pa.array(docs[sets.doc]), pa.array(sets.line), sets.parts(sets.n, "<u8")],
+            ["k1", "doc", "line", "tokens"],
+        )
 
-    kept = lines.withColumn("spot", spot).mapInArrow(asked, "k1 long, doc long, line int, tokens binary")
-    first = classes.select("k1", "k2", "doc", "line")
-    sets = stored(
-        kept.distinct().join(first.hint("merge"), ["k1", "doc", "line"]).select("k1", "tokens"), f"{folder}/sets"
-    )
+    kept = rows.mapInArrow(asked, "k1 long, doc long, line int, tokens binary").distinct()
+    sets = stored(kept.join(first.hint("merge"), ["k1", "doc", "line"]).select("k1", "tokens"), f"{folder}/sets")
 
     def compare(batches):
         for batch in batches:
@@ -353,18 +416,10 @@ def verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, rank: np.nda
     )
 
 
-def _line_positions(rank: np.ndarray):
-    def run(batches):
-        hashes = WordHashes()
-        for batch in batches:
-            sets = LineSets(batch.column("text").to_pylist(), hashes, rank)
-            doc = batch.column("doc").to_numpy()[np.array(sets.doc, np.int64)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sets.k1), pa.array(doc), pa.array(sets.line, pa.int32()), sets.parts(sets.n, "<u8")],
-                ["k1", "doc", "line", "tokens"],
-            )
-
-    return run
+def spot_of(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """The place of a line in the bit table."""
+    mixed = stir(doc.astype(np.int64).view(np.uint64), 0x9E3779B97F4A7C15) + line.astype(np.int64).view(np.uint64)
+    return stir(mixed, 0xC2B2AE3D27D4EB4F) & np.uint64(BLOOM_WORDS * 64 - 1)
 
 
 def kept_lines(
@@ -387,15 +442,15 @@ def kept_lines(
     rank = word_ranks(rows)
 
     def read(batches):
-        hashes = WordHashes()
         for batch in batches:
-            s = LineSets(batch.column("text").to_pylist(), hashes, rank)
-            doc = batch.column("doc").to_numpy()[np.array(s.doc, np.int64)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(s.k1), pa.array(s.k2), pa.array(doc), pa.array(s.line, pa.int32()),
-                 pa.array(s.n.astype(np.int32)), pa.array(s.sig), s.parts(prefix_length(s.n, similarity), "<u4")],
-                ["k1", "k2", "doc", "line", "n", "sig", "prefix"],
-            )
+            docs = batch.column("doc").to_numpy()
+            for pieces in chunks_of(batch.column("text").to_pylist()):
+                s = LineSets(pieces, rank)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(s.k1), pa.array(s.k2), pa.array(docs[s.doc]), pa.array(s.line),
+                     pa.array(s.n.astype(np.int32)), pa.array(s.sig), s.parts(prefix_length(s.n, similarity), "<u4")],
+                    ["k1", "k2", "doc", "line", "n", "sig", "prefix"],
+                )
 
     lines = rows.mapInArrow(read, "k1 long, k2 long, doc long, line int, n int, sig long, prefix binary")
     first = F.min(F.struct("doc", "line", "n", "sig", "prefix")).alias("first")
