@@ -6,7 +6,7 @@ a word among their first |x| - ceil(t |x|) + 1 words, so lines are listed under
 these (prefix filter). Within a list, pairs must have fitting sizes (length
 filter), enough words left behind the shared one (positional filter) and
 signatures that do not differ in more words than they may (each word turns one
-bit of 64). What is left is verified on the whole sets.
+bit of 64, twice over). What is left is verified on the whole sets.
 
 Equal sets are one class from the start, so a line that a third of all documents
 repeat is one entry. Only the earliest candidates of a class travel to the
@@ -25,8 +25,8 @@ from estatelake.llm.common import scratch, small_batches, stored, text_of
 SIMILARITY = 0.8
 #: Words are counted in this many buckets: a table of fixed size, whatever the vocabulary.
 BUCKETS = 1 << 18
-#: Candidates of a class under one word that are tried first.
-FIRST_TRIES = 8
+#: Candidates of a class under one word that are tried, round by round: the earliest, more of them, all.
+TRIES = (3, 48, None)
 #: Entries of a list that one task pairs; longer lists are cut into blocks that meet in pairs.
 LIST = 8192
 AT_ONCE = 1 << 16
@@ -111,10 +111,12 @@ class LineSets:
         if len(used):
             self.k1 = np.add.reduceat(stir(self.ids, 0x9E3779B97F4A7C15), self.start).view(np.int64)
             self.k2 = np.bitwise_xor.reduceat(stir(self.ids, 0xC2B2AE3D27D4EB4F), self.start).view(np.int64)
-            bits = np.uint64(1) << (stir(self.ids, 0xFF51AFD7ED558CCD) >> np.uint64(58))
-            self.sig = np.bitwise_xor.reduceat(bits, self.start).view(np.int64)
+            mixed = stir(self.ids, 0xFF51AFD7ED558CCD)
+            for name, shift in (("sig", 58), ("sig2", 52)):
+                bits = np.uint64(1) << ((mixed >> np.uint64(shift)) & np.uint64(63))
+                setattr(self, name, np.bitwise_xor.reduceat(bits, self.start).view(np.int64))
         else:
-            self.k1 = self.k2 = self.sig = np.empty(0, np.int64)
+            self.k1 = self.k2 = self.sig = self.sig2 = np.empty(0, np.int64)
 
     def parts(self, count: np.ndarray, kind: str, chosen: np.ndarray | None = None) -> pa.Array:
         """The first ``count`` words of each (chosen) line as a binary array; u4 takes the upper half."""
@@ -155,7 +157,16 @@ def word_ranks(rows: DataFrame) -> np.ndarray:
     return rank
 
 
-ENTRY = ["word", "n", "pos", "k", "sig", "doc", "line"]
+ENTRY = ["word", "n", "pos", "k", "sig", "sig2", "doc", "line"]
+#: As entries travel: word and line, and size and position, share a number each.
+PACKED = ["wl", "np", "k", "sig", "sig2", "doc"]
+PACKED_SCHEMA = ", ".join(f"{c} long" for c in PACKED)
+WORD = "shiftright(wl, 32)"
+
+
+def packed(e: dict[str, np.ndarray]) -> list[pa.Array]:
+    both = [(e["word"].astype(np.int64) << 32) | e["line"], (e["n"].astype(np.int64) << 32) | e["pos"]]
+    return [pa.array(x) for x in [*both, *(e[c] for c in PACKED[2:])]]
 
 
 def may_match(e: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, t: float) -> np.ndarray:
@@ -164,7 +175,8 @@ def may_match(e: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, t: float)
     need = np.ceil(t / (1 + t) * (a + b) - 1e-9).astype(np.int64)
     ok = np.minimum(a, b) >= t * np.maximum(a, b) - 1e-9
     ok &= np.minimum(a - e["pos"][i], b - e["pos"][j]) >= need
-    ok &= np.bitwise_count(e["sig"][i].view(np.uint64) ^ e["sig"][j].view(np.uint64)) <= a + b - 2 * need
+    for sig in ("sig", "sig2"):
+        ok &= np.bitwise_count(e[sig][i].view(np.uint64) ^ e[sig][j].view(np.uint64)) <= a + b - 2 * need
     return ok & (e["k"][i] != e["k"][j])
 
 
@@ -201,8 +213,13 @@ def list_pairs(e: dict[str, np.ndarray], t: float, other: np.ndarray | None = No
     return i, j
 
 
-def pair_batch(e: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, tries: int | None) -> pa.RecordBatch:
-    """Rows (later, earlier, more): the earliest candidates of each later entry."""
+def pair_batch(
+    e: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, tries: int | None, asked: np.ndarray | None = None
+) -> pa.RecordBatch:
+    """Rows (later, earlier, more): the earliest candidates of each later entry (of those in the bit table ``asked``)."""
+    if asked is not None:
+        wanted = is_set(asked, key_spot(e["k"][j]))
+        i, j = i[wanted], j[wanted]
     order = np.lexsort((i, j))
     i, j = i[order], j[order]
     more = np.zeros(len(i), bool)
@@ -226,18 +243,18 @@ def entries_of(classes: DataFrame, t: float) -> DataFrame:
             at = np.repeat(np.arange(len(n)), count)
             words = np.frombuffer(b"".join(batch.column("prefix").to_pylist()), "<u4").astype(np.int64)
             pos = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
-            columns = [pa.array(words), pa.array(n[at].astype(np.int32)), pa.array(pos.astype(np.int32))]
-            columns += [pa.array(batch.column(c).to_numpy()[at]) for c in ("k1", "sig", "doc", "line")]
-            yield pa.RecordBatch.from_arrays(columns, ENTRY)
+            own = {c: batch.column(c).to_numpy()[at] for c in ("k1", "sig", "sig2", "doc", "line")}
+            e = {"word": words, "n": n[at], "pos": pos, "k": own.pop("k1"), **own}
+            yield pa.RecordBatch.from_arrays(packed(e), PACKED)
 
-    return classes.select("n", "prefix", "k1", "sig", "doc", "line").mapInArrow(
-        run, "word long, n int, pos int, k long, sig long, doc long, line int"
-    )
+    return classes.select("n", "prefix", "k1", "sig", "sig2", "doc", "line").mapInArrow(run, PACKED_SCHEMA)
 
 
-def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-    e = {c: batch.column(c).to_numpy() for c in ENTRY}
-    return e | {"n": e["n"].astype(np.int64), "pos": e["pos"].astype(np.int64)}
+def _columns(batch) -> dict[str, np.ndarray]:
+    e = {c: batch.column(c).to_numpy() for c in PACKED}
+    low = np.int64((1 << 32) - 1)
+    wl, np_ = e.pop("wl"), e.pop("np")
+    return e | {"word": wl >> 32, "line": wl & low, "n": np_ >> 32, "pos": np_ & low}
 
 
 def _pick(e: dict[str, np.ndarray], at) -> dict[str, np.ndarray]:
@@ -247,19 +264,19 @@ def _pick(e: dict[str, np.ndarray], at) -> dict[str, np.ndarray]:
 CANDIDATE = "later long, earlier long, more boolean"
 
 
-def candidates(entries: DataFrame, t: float, tries: int | None, folder: str, most: int = LIST) -> DataFrame:
+def candidates(
+    entries: DataFrame, t: float, tries: int | None, folder: str, most: int = LIST, asked: np.ndarray | None = None
+) -> DataFrame:
     """Candidate pairs of all lists. Lists longer than ``most`` are joined block by block."""
-    names = [*CANDIDATE.replace(",", "").split()[::2], *ENTRY]
+    names = [*CANDIDATE.replace(",", "").split()[::2], *PACKED]
 
     def mixed(pairs: pa.RecordBatch | None, long: dict | None) -> pa.RecordBatch:
         if pairs is not None:
             n = len(pairs)
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
-            return pa.RecordBatch.from_arrays([*pairs.columns, *[pa.nulls(n, k) for k in kinds]], names)
+            return pa.RecordBatch.from_arrays([*pairs.columns, *[pa.nulls(n, pa.int64()) for _ in PACKED]], names)
         n = len(long["k"])
-        own = [pa.array(long[c].astype(np.int32) if c in ("n", "pos", "line") else long[c]) for c in ENTRY]
         return pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), *own], names
+            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), *packed(long)], names
         )
 
     def gathered(batches):
@@ -307,15 +324,15 @@ def candidates(entries: DataFrame, t: float, tries: int | None, folder: str, mos
             yield mixed(None, _pick(e, run_size > most))
         e = _pick(e, (run_size > 1) & (run_size <= most))
         if len(e["word"]):
-            pairs = pair_batch(e, *list_pairs(e, t), tries)
+            pairs = pair_batch(e, *list_pairs(e, t), tries, asked)
             if len(pairs):
                 yield mixed(pairs, None)
 
-    dealt = entries.repartition("word").sortWithinPartitions("word", "doc", "line", "k")
-    schema = CANDIDATE + ", word long, n int, pos int, k long, sig long, doc long, line int"
-    out = stored(dealt.mapInArrow(run, schema), f"{folder}/pairs")
+    word = F.expr(WORD)
+    dealt = entries.repartition(word).sortWithinPartitions(word, "doc", "wl", "k")
+    out = stored(dealt.mapInArrow(run, f"{CANDIDATE}, {PACKED_SCHEMA}"), f"{folder}/pairs")
     pairs = out.where("later IS NOT NULL").select("later", "earlier", "more")
-    long = out.where("later IS NULL").select(*ENTRY)
+    long = out.where("later IS NULL").select(word.alias("word"), *PACKED)
     if long.isEmpty():
         return pairs
     # Blocks b and c of a list meet in one task for every pair b <= c.
@@ -324,17 +341,17 @@ def candidates(entries: DataFrame, t: float, tries: int | None, folder: str, mos
         long.join(cut.hint("merge"), "word")
         .withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(*ENTRY, "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+        .select("word", *PACKED, "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
     )
 
     def meet(tables):
         for table in tables:
-            order = np.lexsort([table.column(c).to_numpy() for c in ("k", "line", "doc")])
-            e = {c: table.column(c).to_numpy()[order] for c in ENTRY}
-            e |= {"n": e["n"].astype(np.int64), "pos": e["pos"].astype(np.int64)}
+            e = _columns(table)
+            order = np.lexsort((e["k"], e["line"], e["doc"]))
+            e = _pick(e, order)
             own = table.column("own").to_numpy()[order]
             same = table.column("low")[0].as_py() == table.column("high")[0].as_py()
-            yield pair_batch(e, *list_pairs(e, t, None if same else own), tries)
+            yield pair_batch(e, *list_pairs(e, t, None if same else own), tries, asked)
 
     met = spread.groupBy("word", "low", "high").applyInArrow(
         lambda table: pa.Table.from_batches(list(meet([table]))), CANDIDATE
@@ -353,18 +370,7 @@ def verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, rank: np.nda
         classes.select("k1", "k2", "doc", "line").join(wanted.hint("merge"), "k1", "left_semi"), f"{folder}/wanted"
     )
 
-    def spots(batches):
-        for batch in batches:
-            at = spot_of(batch.column("doc").to_numpy(), batch.column("line").to_numpy())
-            bits = (np.uint64(1) << (at & np.uint64(63))).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).view(np.int64)), pa.array(bits)], ["word", "bits"])
-
-    words = (
-        first.select("doc", "line").mapInArrow(spots, "word long, bits long")
-        .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    )
-    table = np.zeros(BLOOM_WORDS, np.int64)
-    table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    table = bit_table(first.select("doc", "line"), spot_of)
 
     def asked(batches):
         for batch in batches:
@@ -373,7 +379,7 @@ def verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, rank: np.nda
             of = np.repeat(np.arange(len(texts)), many)
             line = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
             at = spot_of(docs[of], line)
-            hit = np.flatnonzero((table[(at >> np.uint64(6)).view(np.int64)].view(np.uint64) >> (at & np.uint64(63))) & np.uint64(1))
+            hit = np.flatnonzero(is_set(table, at))
             held, kept, size = None, [], 0
             for k in hit.tolist():
                 d = int(of[k])
@@ -398,12 +404,18 @@ def verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, rank: np.nda
 
     def compare(batches):
         for batch in batches:
-            hit = []
-            for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
-                both = len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True))
-                hit.append(both >= t * ((len(x) + len(y)) // 8 - both) - 1e-9)
+            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            sizes = np.array([len(x) // 8 for x in a + b], np.int64)
+            rows = np.concatenate([np.arange(len(a))] * 2)
+            of = np.repeat(rows, sizes)
+            # A word that both sets of a pair have gives the same number twice.
+            key = np.frombuffer(b"".join(a + b), "<u8") + stir(of.astype(np.uint64) + np.uint64(1), 0x9E3779B97F4A7C15)
+            order = np.argsort(key)
+            twice = np.flatnonzero(key[order][1:] == key[order][:-1])
+            both = np.bincount(of[order[twice]], minlength=len(a))
+            hit = both >= t * (sizes[: len(a)] + sizes[len(a) :] - both) - 1e-9
             yield pa.RecordBatch.from_arrays(
-                [batch.column("later"), batch.column("more"), pa.array(hit, pa.bool_())], ["later", "more", "hit"]
+                [batch.column("later"), batch.column("more"), pa.array(hit)], ["later", "more", "hit"]
             )
 
     once = pairs.groupBy("later", "earlier").agg(F.bool_or("more").alias("more"))
@@ -422,9 +434,33 @@ def spot_of(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
     return stir(mixed, 0xC2B2AE3D27D4EB4F) & np.uint64(BLOOM_WORDS * 64 - 1)
 
 
+def key_spot(key: np.ndarray) -> np.ndarray:
+    """The place of a class in the bit table."""
+    return stir(key.view(np.uint64), 0x9E3779B97F4A7C15) & np.uint64(BLOOM_WORDS * 64 - 1)
+
+
+def is_set(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return ((table[(at >> np.uint64(6)).view(np.int64)].view(np.uint64) >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
+def bit_table(df: DataFrame, place) -> np.ndarray:
+    """A table of fixed size with the bit of every row set; ``place`` gives it from the row's columns."""
+
+    def spots(batches):
+        for batch in batches:
+            at = place(*(c.to_numpy() for c in batch.columns))
+            bits = (np.uint64(1) << (at & np.uint64(63))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).view(np.int64)), pa.array(bits)], ["word", "bits"])
+
+    words = df.mapInArrow(spots, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    table = np.zeros(BLOOM_WORDS, np.int64)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return table
+
+
 def kept_lines(
     docs: DataFrame, folder: str | None = None, similarity: float = SIMILARITY, id_col: str = "doc_id",
-    text_col: str = "text", tries: int = FIRST_TRIES, most: int = LIST,
+    text_col: str = "text", tries: tuple[int | None, ...] = TRIES, most: int = LIST,
 ) -> DataFrame:
     """(doc, lines): per document the numbers (from 0) of its lines with words that stay.
 
@@ -448,26 +484,34 @@ def kept_lines(
                 s = LineSets(pieces, rank)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(s.k1), pa.array(s.k2), pa.array(docs[s.doc]), pa.array(s.line),
-                     pa.array(s.n.astype(np.int32)), pa.array(s.sig), s.parts(prefix_length(s.n, similarity), "<u4")],
-                    ["k1", "k2", "doc", "line", "n", "sig", "prefix"],
+                     pa.array(s.n.astype(np.int32)), pa.array(s.sig), pa.array(s.sig2), s.parts(prefix_length(s.n, similarity), "<u4")],
+                    ["k1", "k2", "doc", "line", "n", "sig", "sig2", "prefix"],
                 )
 
-    lines = rows.mapInArrow(read, "k1 long, k2 long, doc long, line int, n int, sig long, prefix binary")
-    first = F.min(F.struct("doc", "line", "n", "sig", "prefix")).alias("first")
+    lines = rows.mapInArrow(read, "k1 long, k2 long, doc long, line int, n int, sig long, sig2 long, prefix binary")
+    first = F.min(F.struct("doc", "line", "n", "sig", "sig2", "prefix")).alias("first")
     classes = stored(lines.groupBy("k1", "k2").agg(first).select("k1", "k2", "first.*"), f"{folder}/classes")
     entries = entries_of(classes, similarity)
-    pairs = candidates(entries, similarity, tries, f"{folder}/first", most)
-    checked = stored(verified(rows, classes, pairs, rank, similarity, f"{folder}/first"), f"{folder}/first/checked")
-    gone = checked.where("hit").select(F.col("later").alias("k1"))
-    open_ = checked.where("NOT hit AND more").select(F.col("later").alias("k1"))
-    if not open_.isEmpty():
-        # Their first candidates failed and there were more: all lists they are in, and all pairs of theirs.
-        asked = open_.join(entries.select(F.col("k").alias("k1"), "word"), "k1").select("word").distinct()
-        again = candidates(
-            entries.join(asked.hint("merge"), "word", "left_semi"), similarity, None, f"{folder}/again", most
-        ).join(open_.select(F.col("k1").alias("later")).hint("merge"), "later", "left_semi")
-        later = verified(rows, classes, again, rank, similarity, f"{folder}/again")
-        gone = gone.unionByName(later.where("hit").select(F.col("later").alias("k1")))
+    gone, open_ = None, None
+    for number, some in enumerate(tries):
+        place = f"{folder}/round-{number}"
+        if open_ is None:
+            pairs = candidates(entries, similarity, some, place, most)
+        else:
+            # Earlier candidates failed and there were more: the lists that the open classes are in.
+            asked = stored(
+                entries.join(open_, F.col("k") == F.col("k1")).select(F.expr(WORD).alias("word")).distinct(), f"{place}/words"
+            )
+            again = entries.join(asked, F.expr(WORD) == F.col("word"), "left_semi")
+            pairs = candidates(again, similarity, some, place, most, bit_table(open_, key_spot)).join(
+                open_.select(F.col("k1").alias("later")).hint("merge"), "later", "left_semi"
+            )
+        checked = stored(verified(rows, classes, pairs, rank, similarity, place), f"{place}/checked")
+        found = checked.where("hit").select(F.col("later").alias("k1"))
+        gone = found if gone is None else gone.unionByName(found)
+        open_ = stored(checked.where("NOT hit AND more").select(F.col("later").alias("k1")), f"{place}/open")
+        if open_.isEmpty():
+            break
     stay = classes.join(gone.hint("merge"), "k1", "left_anti")
     return stay.groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 

@@ -48,7 +48,7 @@ def run(spark, docs, tmp_path, **kw):
     return {r["doc"]: list(r["lines"]) for r in kept_lines(df, str(tmp_path), **kw).collect()}
 
 
-@pytest.mark.parametrize("seed,kw", [(1, {}), (2, {"tries": 1}), (3, {"tries": 1, "most": 3}), (4, {"similarity": 0.5})])
+@pytest.mark.parametrize("seed,kw", [(1, {}), (2, {"tries": (1, None)}), (3, {"tries": (1, 2, None), "most": 3}), (4, {"similarity": 0.5})])
 def test_equals_all_pairs(spark, tmp_path, seed, kw):
     docs = fixture(seed)
     assert run(spark, docs, tmp_path, **kw) == plain(docs, kw.get("similarity", 0.8))
