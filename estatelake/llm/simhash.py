@@ -269,8 +269,12 @@ def near_duplicates(
     roots = components(edges, folder).select(
         F.col("node")["fp"].alias("fp"), F.col("root")["rep"].alias("root")
     )
-    named = classes.join(roots.hint("merge"), "fp", "left").select(
-        "fp", F.nullif(F.coalesce("root", "rep"), F.lit(NO_ID)).alias("component_id")
+    # Stored, so that both sides of the last join are shuffled for it and a hot fingerprint can be split.
+    named = stored(
+        classes.join(roots.hint("merge"), "fp", "left").select(
+            "fp", F.nullif(F.coalesce("root", "rep"), F.lit(NO_ID)).alias("component_id")
+        ),
+        f"{folder}/components",
     )
     return prints.join(named.hint("merge"), "fp").select("doc_id", "text_key", "fp", "component_id")
 
