@@ -54,6 +54,18 @@ def test_one_of_each_group_by_all_pairs(spark, tmp_path, short):
     assert kept(spark, tmp_path, docs, short=short) == sorted(want)
 
 
+def test_members_of_a_chain_go(spark, tmp_path):
+    """B and C are near copies of each other and under 0.8 to the head; D is one of B only."""
+    words = [f"w{i}" for i in range(200)]
+
+    def cut(*places):
+        return " ".join(f"y{p}" if i in places else w for i, (w, p) in enumerate(zip(words, range(200), strict=True)))
+
+    head, mid, b, c = cut(), cut(20, 60, 100), cut(20, 60, 100, 140, 170), cut(20, 60, 100, 140, 180)
+    assert jaccard(head, mid) >= 0.8 and jaccard(mid, b) >= 0.8 > jaccard(head, b) and jaccard(head, c) < 0.8
+    assert kept(spark, tmp_path, {1: head, 2: mid, 3: b, 4: c}) == [1]
+
+
 def test_null_ids_stay_unless_an_id_is_near(spark, tmp_path):
     text, other = " ".join(f"w{i}" for i in range(50)), " ".join(f"v{i}" for i in range(50))
     rows = [(None, text), (7, text.upper()), (None, other), (None, other + " end"), (9, "one"), (9, "one")]
