@@ -25,6 +25,8 @@ from estatelake.llm.common import small_batches, text_of
 TRAINING_ROWS = 20_000
 TERMS = 400
 SHORTEST = 4
+#: Times the odds of all texts that a term's texts are toxic.
+ODDS = 3
 WINDOW = 6
 THRESHOLD = 0.3
 WORD = re.compile(r"\w+")
@@ -182,9 +184,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS)
 def learn_terms(rows: DataFrame, most: int = TERMS) -> tuple[list[str], int, int]:
     """Words of toxic texts by likelihood ratio; near copies of one text count once.
 
-    Returns the terms and the numbers of toxic and clean texts. Texts whose two
-    least word hashes agree are taken as copies. The bar rises with the number of words
-    that are compared.
+    Returns the terms and the numbers of toxic and clean texts. The odds of a
+    term's texts to be toxic are over ``ODDS`` times those of all texts. Texts whose
+    two least word hashes agree are taken as copies. The bar rises with the number
+    of words that are compared.
     """
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
     texts = rows.select("toxic", words.alias("words")).select(
@@ -211,7 +214,7 @@ def learn_terms(rows: DataFrame, most: int = TERMS) -> tuple[list[str], int, int
 
     ratio = 2 * (term(a, share, F.lit(base)) + term(b, 1 - share, F.lit(1 - base)))
     found = (
-        counts.where((a >= 2) & (share > 3 * base)).withColumn("ratio", ratio)
+        counts.where((a >= 2) & (a * clean > ODDS * b * toxic)).withColumn("ratio", ratio)
         .orderBy(F.desc("ratio"), "word").limit(most).collect()
     )
     bar = 2 * math.log(max(2, counts.count()))

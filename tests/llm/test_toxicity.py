@@ -83,3 +83,20 @@ def test_odd_rows(spark):
     assert len(rows) == 4 and len({r["score"] for r in rows}) == 1 and rows[0]["predicted"] == 0
     assert score_documents(docs.limit(0), model).collect() == []
     assert toxicity.keep_clean(docs, model).count() == 4
+
+
+@pytest.mark.parametrize("every", [2, 3])
+def test_terms_are_learnt_at_high_base_rates(spark, every):
+    """A third or half of the labelled texts are toxic; one term is also quoted in some clean texts."""
+    pick, rows, labels = random.Random(every), [], []
+    for i in range(400):
+        words = [f"{pick.choice(['alpha', 'beta', 'gamma'])}{pick.randint(0, 300)}" for _ in range(30)]
+        bad = i % every == 0
+        if bad or i % 10 == 1:
+            words[7] = "scoundrel"
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert "scoundrel" in model.terms
+    assert all(r["predicted"] for r in score_documents(docs, model).collect() if r["doc_id"] % every == 0)
