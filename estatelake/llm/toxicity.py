@@ -20,13 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelake.llm.common import small_batches, text_of
+from estatelake.llm.simhash import minima
 
 #: Labelled rows that a model is fitted on at most, and terms of a lexicon at most.
 TRAINING_ROWS = 20_000
 TERMS = 400
 SHORTEST = 4
-#: Times the odds of all texts that a term's texts are toxic.
+#: Times the odds of all texts that a term's texts are toxic; least hashes per text, and how many near copies share.
 ODDS = 3
+MINIMA, COPY_SHARED = 64, 56
 WINDOW = 6
 THRESHOLD = 0.3
 WORD = re.compile(r"\w+")
@@ -181,27 +183,63 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS)
     return rows.join(F.broadcast(known), "doc_id").select("text", (F.col("toxic") > 0).alias("toxic"))
 
 
+def copy_leaders(marks: list[tuple[bool, int, bytes]]) -> list[tuple[bool, int, int]]:
+    """(toxic, mark, copy) per text: the number of the first text of the same label that it is a near copy of.
+
+    ``marks`` have the label, a hash of the text and the ``MINIMA`` least word
+    hashes. A text is a near copy if ``COPY_SHARED`` of the minima agree with a
+    leader's, which takes a word-set similarity of about 0.9.
+    """
+    leaders: dict[tuple, list[tuple[int, np.ndarray]]] = {}
+    out = []
+    for number, (toxic, mark, raw) in enumerate(sorted(set(marks))):
+        own = np.frombuffer(raw, "<u8")
+        bands = [(toxic, i, raw[8 * i : 8 * i + 32]) for i in range(0, MINIMA, 4)]
+        near = (
+            n for band in bands for n, other in leaders.get(band, ()) if np.count_nonzero(own == other) >= COPY_SHARED
+        )
+        copy = next(near, number)
+        if copy == number:
+            for band in bands:
+                leaders.setdefault(band, []).append((number, own))
+        out.append((toxic, mark, copy))
+    return out
+
+
 def learn_terms(rows: DataFrame, most: int = TERMS) -> tuple[list[str], int, int]:
-    """Words of toxic texts by likelihood ratio; near copies of one text count once.
+    """Words of toxic texts by likelihood ratio; near copies of one text with one label count once.
 
     Returns the terms and the numbers of toxic and clean texts. The odds of a
-    term's texts to be toxic are over ``ODDS`` times those of all texts. Texts whose
-    two least word hashes agree are taken as copies. The bar rises with the number
-    of words that are compared.
+    term's texts to be toxic are over ``ODDS`` times those of all texts. The bar
+    rises with the number of words that are compared.
     """
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
-    texts = rows.select("toxic", words.alias("words")).select(
-        "toxic", "words",
-        F.hash(F.slice(F.sort_array(F.transform("words", lambda w: F.xxhash64(w))), 1, 2)).alias("copy"),
-    )
-    n = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count_distinct("copy").alias("n")).collect()}
-    toxic, clean = n.get(True, 0), n.get(False, 0)
+
+    def marked(batches):
+        import xxhash
+
+        for batch in batches:
+            raw = [
+                minima(np.array([xxhash.xxh64_intdigest(w) for w in set(WORD.findall(t.lower()))], np.uint64), MINIMA)
+                .astype("<u8").tobytes()
+                for t in batch.column("text").to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("toxic"), batch.column("mark"), pa.array(raw, pa.binary())], ["toxic", "mark", "minima"]
+            )
+
+    small_batches(rows.sparkSession)
+    rows = rows.withColumn("mark", F.xxhash64("text"))
+    marks = [tuple(r) for r in rows.mapInArrow(marked, "toxic boolean, mark long, minima binary").collect()]
+    found = copy_leaders([(t, m, bytes(x)) for t, m, x in marks])
+    toxic, clean = (len({c for t, _, c in found if t == kind}) for kind in (True, False))
     if not toxic or not clean:
         return [], toxic, clean
+    copies = rows.sparkSession.createDataFrame(found, "toxic boolean, mark long, copy long")
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
     counts = (
-        texts.select("toxic", "copy", F.explode("words").alias("word"))
+        rows.join(F.broadcast(copies), ["toxic", "mark"]).select("toxic", "copy", F.explode(words).alias("word"))
         .where(F.length("word") >= SHORTEST)
-        .groupBy("word", "copy").agg(F.max("toxic").alias("toxic"))
+        .distinct()
         .groupBy("word").agg(
             F.count_if(F.col("toxic")).cast("double").alias("a"), F.count_if(~F.col("toxic")).cast("double").alias("b")
         )

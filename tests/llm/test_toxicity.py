@@ -100,3 +100,17 @@ def test_terms_are_learnt_at_high_base_rates(spark, every):
     model = learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert "scoundrel" in model.terms
     assert all(r["predicted"] for r in score_documents(docs, model).collect() if r["doc_id"] % every == 0)
+
+
+def test_only_near_copies_of_one_label_count_once(spark):
+    """Texts share common words; each of ten toxic ones also has a near copy, and one has its words in a clean text."""
+    pick, rows = random.Random(5), []
+    common = [f"common{i}" for i in range(20)]
+    for i in range(60):
+        words = common + [f"own{i}x{pick.randrange(10**6)}" for _ in range(40)] + (["scoundrel"] if i < 10 else [])
+        rows.append((" ".join(words), i < 10))
+        if i < 10:
+            rows.append((" ".join([*words, f"extra{i}"]), True))
+    rows.append((rows[0][0] + " quote", False))
+    df = spark.createDataFrame(rows, "text string, toxic boolean")
+    assert toxicity.learn_terms(df) == (["scoundrel"], 10, 51)
