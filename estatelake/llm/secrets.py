@@ -44,11 +44,19 @@ class CharClass:
     bits: float
 
 
-#: The first class that matches counts. Words of letters only belong to none.
+#: The first class that matches counts. Words and letters of one case only belong to none. Long words
+#: with a number or a capital here and there have nearly the entropy of keys: they meet the
+#: higher of two bars, strings that change between kinds of letters all along the lower one.
 CLASSES = (
     CharClass("hex", r"^(?=.*[0-9])(?=.*[a-fA-F])[0-9a-fA-F]+$", 2.9),
     CharClass("alnum", r"^(?=.*[0-9].*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9]+$", 3.5),
     CharClass("base64", r"^(?=.*[0-9].*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_=-]+$", 3.7),
+    CharClass("base36", r"^(?=[a-z]*[0-9]+[a-z]+[0-9]+[a-z]+[0-9])[a-z0-9]+$", 3.4),
+    CharClass("base36 words", r"^(?=.*[0-9].*[0-9])(?=.*[a-z])[a-z0-9]+$", 3.9),
+    CharClass("base32", r"^(?=[A-Z]*[0-9]+[A-Z]+[0-9]+[A-Z]+[0-9])[A-Z0-9]+$", 3.4),
+    CharClass("base32 words", r"^(?=.*[0-9].*[0-9])(?=.*[A-Z])[A-Z0-9]+$", 3.85),
+    CharClass("mixed case", r"^(?=.*(?:[A-Z]+[a-z]{1,3}){4}(?![a-z]))[A-Za-z0-9+/_=-]+$", 3.6),
+    CharClass("mixed-case words", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9]+$", 4.0),
 )
 WINDOW = 20
 

@@ -61,3 +61,21 @@ def test_empty_table_and_other_columns(spark):
 def test_no_python_in_plan(spark, tables):
     plan = queries.op10_secret_scan(spark, tables)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("secret", [
+    "k7f9q2m4x8z1p6t3w5yv", "K5XW2Z3LNFQ7GE4TMB6RUYHD", "qWzRtYpLkJhGfDsAxCvBnM", "xKqTbZwRmYpLdVhJcNfG7sUa",
+])
+def test_secret_of_each_class_of_letters(spark, secret):
+    assert [(s["kind"], s["value"]) for s in scan(spark, [f"see {secret} there"])[0]] == [("entropy", secret)]
+
+
+def test_long_words_and_slugs_are_no_secrets(spark):
+    clean = [
+        "internationalization2024edition", "summer2019collectionpreview", "version2release10candidate",
+        "getElementsByClassName", "InternationalBusinessMachines", "AbstractSingletonProxyFactoryBean",
+        "HTMLElementTagNameMapExtended", "DEPARTMENT2019BUDGETREPORT", "covid19vaccinationcenters2021",
+        "how-to-cook-rice-in-10-minutes-2019", "pneumonoultramicroscopicsilicovolcanoconiosis",
+        "SUPERCALIFRAGILISTICEXPIALIDOCIOUS",
+    ]
+    assert all(spans == [] for spans in scan(spark, clean).values())
