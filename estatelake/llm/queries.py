@@ -226,7 +226,9 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     keep = line_dedup.kept_lines(docs)
     lines = docs.select("doc_id", F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"))
     none = F.array().cast("array<int>")
-    return lines.join(keep.withColumnRenamed("doc", "doc_id").hint("merge"), "doc_id", "left").select(
+    # Null ids are listed as NO_ID.
+    same = F.coalesce(F.col("doc_id").cast("long"), F.lit(line_dedup.NO_ID)) == F.col("doc")
+    return lines.join(keep.hint("merge"), same, "left").select(
         "doc_id", "n_lines",
         F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_kept"),
         F.array_join(F.transform(F.coalesce("lines", none), lambda x: x.cast("string")), ",").alias("kept_lines"),

@@ -71,3 +71,10 @@ def test_texts_and_odd_rows(spark, tmp_path):
     want = [(2, "a b c\n", 1), (1, "d e f\nx y z", 1), (1, "d e f\nx y z", 1), (None, "new line", 1), (3, None, 1), (4, "", 1), (5, "", 1)]
     assert out == sorted(want, key=str)
     assert without_repeats(df.limit(0), str(tmp_path / "e")).collect() == []
+
+
+def test_query_lists_the_lines_of_a_null_id(spark, tmp_path):
+    rows = [(1, "a b c\nx y z"), (None, "a b c\nnew line\nlast one")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_lines"], r["n_kept"], r["kept_lines"]) for r in queries.op6_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: (2, 2, "0,1"), None: (3, 2, "1,2")}
