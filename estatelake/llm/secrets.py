@@ -55,7 +55,7 @@ CLASSES = (
     CharClass("base36 words", r"^(?=.*[0-9].*[0-9])(?=.*[a-z])[a-z0-9]+$", 3.9),
     CharClass("base32", r"^(?=[A-Z]*[0-9]+[A-Z]+[0-9]+[A-Z]+[0-9])[A-Z0-9]+$", 3.4),
     CharClass("base32 words", r"^(?=.*[0-9].*[0-9])(?=.*[A-Z])[A-Z0-9]+$", 3.85),
-    CharClass("mixed case", r"^(?=.*(?:[A-Z]+[a-z]{1,3}){4}(?![a-z]))[A-Za-z0-9+/_=-]+$", 3.6),
+    CharClass("mixed case", r"^(?=.*(?<![A-Z])(?:[A-Z]+[a-z]{1,3}){4}(?![a-z]))[A-Za-z0-9+/_=-]+$", 3.6),
     CharClass("mixed-case words", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9]+$", 4.0),
 )
 WINDOW = 20
