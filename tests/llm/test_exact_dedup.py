@@ -9,7 +9,11 @@ from estatelake.llm.exact_dedup import exact_groups
 def run(spark, rows, tmp_path, **kw):
     df = spark.createDataFrame(rows, "doc_id long, text string, grp int, rest string")
     out = exact_groups(df, str(tmp_path), **kw).collect()
-    return sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in out)
+    return sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in out), key=nulls_first)
+
+
+def nulls_first(row):
+    return [(x is not None, x) for x in row]
 
 
 def plain(rows):
@@ -20,8 +24,8 @@ def plain(rows):
     for text, ids in groups.items():
         known = [i for i in ids if i is not None]
         keep = min(known) if known else None
-        out += [(i if i is not None else -1, keep, len(ids), i == keep, sha(text)) for i in ids]
-    return sorted(out)
+        out += [(i, keep, len(ids), i == keep, sha(text)) for i in ids]
+    return sorted(out, key=nulls_first)
 
 
 def test_levels_agree_with_grouping(spark, tmp_path):
