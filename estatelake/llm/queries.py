@@ -11,6 +11,7 @@ from estatelake.llm import (
     chat,
     exact_dedup,
     line_dedup,
+    manifest,
     mixing,
     neighbours,
     packing,
@@ -18,6 +19,7 @@ from estatelake.llm import (
     simhash,
     token_files,
     toxicity,
+    urls,
 )
 from estatelake.llm.common import scratch, stored
 
@@ -233,3 +235,33 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_kept"),
         F.array_join(F.transform(F.coalesce("lines", none), lambda x: x.cast("string")), ",").alias("kept_lines"),
     )
+
+
+#: Fixed values of op11: host, path, verdict.
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+URL_SQL = rf"""
+WITH rules(rhost, rpath, rverdict) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+p AS (
+  SELECT row_number() OVER () AS i, page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+best AS (
+  SELECT i, arg_max(rhost || rpath, length(rhost || rpath) * 100000 + length(rhost)) AS rule,
+         arg_max(rverdict, length(rhost || rpath) * 100000 + length(rhost)) AS verdict
+  FROM p JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY i)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN best USING (i)"""
+
+
+@query(URL_SQL)
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    listed = urls.write_list(urls.rule_table(spark, URL_RULES))
+    return urls.judge(table(spark, folder, "pages"), listed)
+
+
+@query()
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.verify(table(spark, folder, "documents"))
