@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from estatelake.llm import (
     chat,
+    collocations,
     exact_dedup,
     line_dedup,
     manifest,
@@ -265,3 +266,37 @@ def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.verify(table(spark, folder, "documents"))
+
+
+PHRASES_SQL = r"""
+WITH RECURSIVE lines AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+spoken AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM lines),
+grams AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM spoken, (SELECT unnest([1, 2, 3, 4]) AS k))),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+total AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, a, cut, l.f AS l, r.f AS r, CAST(2000000 AS HUGEINT) * a // (l.f + r.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(ws[1:cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(ws[cut + 1:], ' ')),
+least AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_parts AS (
+  SELECT lang, array_to_string(ws[i:i + n - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - n + 2)) AS i FROM cand, (SELECT unnest([2, 3]) AS n) WHERE n < k) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM least LEFT JOIN inner_parts USING (lang, phrase) JOIN total USING (lang)
+WHERE longer IS NULL OR 100 * longer < 80 * a
+QUALIFY rank <= 2000"""
+
+
+@query(PHRASES_SQL)
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
