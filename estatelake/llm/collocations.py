@@ -29,8 +29,10 @@ COVERED = 80
 SCALE = 2_000_000
 UNKNOWN = "und"
 
-#: Bytes of text that a task summarises at once; longer texts are cut between pieces.
-BLOCK_BYTES = 8 << 20
+#: Bytes of text whose words a task holds at once; longer texts are cut between pieces.
+BLOCK_BYTES = 2 << 20
+#: Entries that a task puts together before it hands out their summaries.
+HELD = 1 << 22
 #: Bytes of text per hash partition, which bound a summary's memory.
 PARTITION_BYTES = 64 << 20
 #: Counters of a summary as a multiple of mass / threshold: the error is at most threshold / ROOM.
@@ -65,7 +67,7 @@ class Block:
         gap = ends | (letters == 32)
         starts = np.flatnonzero(~gap & np.concatenate([[True], gap[:-1]])[: len(gap)])
         self.words = data.split()  # only spaces and line ends are left
-        self.piece = np.cumsum(ends)[starts]
+        self.piece = np.cumsum(ends, dtype=np.int32)[starts]
         text_starts = np.cumsum([0, *(len(c) + 1 for c in coded)])[:-1]
         self.langs = sorted(set(langs))
         number = {name: i for i, name in enumerate(self.langs)}
@@ -80,7 +82,7 @@ class Block:
 
     def phrases(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Per number of words: it, the phrases' first words and their digests, which cover the language."""
-        at, key = np.arange(len(self.words)), mixed(self.digest ^ self.seed)
+        at, key = np.arange(len(self.words), dtype=np.int32), mixed(self.digest ^ self.seed)
         for size in range(1, longest + 1):
             if size > 1:
                 whole = at + size - 1 < len(self.words)
@@ -130,6 +132,11 @@ def counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
     return keys[first], sums
 
 
+def together(some: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = zip(*some, strict=True)
+    return counted(np.concatenate(keys), np.concatenate(counts))
+
+
 class Summary:
     """A Misra-Gries summary of bounded size; others are merged into it."""
 
@@ -148,8 +155,7 @@ class Summary:
     def settle(self) -> None:
         """Add up what waits; beyond the capacity the next largest counter is taken off all of them."""
         if self.waiting:
-            keys, counts = zip((self.keys, self.counts), *self.waiting, strict=True)
-            self.keys, self.counts = counted(np.concatenate(keys), np.concatenate(counts))
+            self.keys, self.counts = together([(self.keys, self.counts), *self.waiting])
             self.waiting, self.held = [], 0
         over = len(self.keys) - self.capacity
         if over > 0:
@@ -172,25 +178,34 @@ def summarised(longest: int, bits: int, size: int):
     ``counts`` belong to the others.
     """
 
+    def rows_of(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        short = ((keys << np.uint64(bits)) >> np.uint64(32)).astype("<u4")
+        bounds = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+        bounds = np.append(bounds, len(keys))
+        for part in np.flatnonzero(np.diff(bounds)).tolist():
+            rows = {"part": [part], "kind": [0], "mass": [0], "keys": [b""], "counts": [b""]}
+            for a in range(bounds[part], bounds[part + 1], ENTRIES):
+                some = slice(a, min(a + ENTRIES, bounds[part + 1]))
+                often = counts[some] > 1
+                rows["mass"][0] += int(counts[some].sum())
+                row = (part, 1, 0, np.concatenate([short[some][~often], short[some][often]]).tobytes(),
+                       counts[some][often].astype("<u4").tobytes())
+                for name, value in zip(rows, row, strict=True):
+                    rows[name].append(value)
+            yield pa.RecordBatch.from_pydict(rows, pa.schema(
+                [("part", pa.int32()), ("kind", pa.int32()), ("mass", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]
+            ))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for block in blocks(batches, size):
-            keys, counts = counted(np.concatenate([key for _, _, key in block.phrases(longest)]))
-            short = ((keys << np.uint64(bits)) >> np.uint64(32)).astype("<u4")
-            bounds = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
-            bounds = np.append(bounds, len(keys))
-            for part in np.flatnonzero(np.diff(bounds)).tolist():
-                rows = {"part": [part], "kind": [0], "mass": [0], "keys": [b""], "counts": [b""]}
-                for a in range(bounds[part], bounds[part + 1], ENTRIES):
-                    some = slice(a, min(a + ENTRIES, bounds[part + 1]))
-                    often = counts[some] > 1
-                    rows["mass"][0] += int(counts[some].sum())
-                    row = (part, 1, 0, np.concatenate([short[some][~often], short[some][often]]).tobytes(),
-                           counts[some][often].astype("<u4").tobytes())
-                    for name, value in zip(rows, row, strict=True):
-                        rows[name].append(value)
-                yield pa.RecordBatch.from_pydict(rows, pa.schema(
-                    [("part", pa.int32()), ("kind", pa.int32()), ("mass", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]
-                ))
+            held.append(counted(np.concatenate([key for _, _, key in block.phrases(longest)])))
+            n += len(held[-1][0])
+            if n > HELD:
+                yield from rows_of(*together(held))
+                held, n = [], 0
+        if held:
+            yield from rows_of(*together(held))
 
     return run
 
@@ -296,7 +311,7 @@ def phrase_rows(block: Block, table: BitTable, longest: int) -> dict[str, list]:
     sizes, starts, keys = [], [], []
     for size, at, key in block.phrases(longest):
         some = table.holds(key)
-        sizes.append(np.full(len(some), size))
+        sizes.append(np.full(len(some), size, np.int8))
         starts.append(at[some])
         keys.append(key[some])
     size, start, key = np.concatenate(sizes), np.concatenate(starts), np.concatenate(keys)
@@ -305,6 +320,7 @@ def phrase_rows(block: Block, table: BitTable, longest: int) -> dict[str, list]:
     new = np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]
     # Phrases of one digest that are not the same words are counted by themselves.
     lead = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0)) if len(key) else np.empty(0, np.int64)
+    del key, order
     same = (size == size[lead]) & (block.lang[start] == block.lang[start[lead]])
     last = len(block.ids) - 1
     for j in range(longest):
