@@ -16,10 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estatelake.llm.common import scratch, small_batches, stored, text_of, width_of
+from estatelake.llm.common import in_order, scratch, small_batches, stored, text_of, width_of
 
 THRESHOLD = 30
 LONGEST = 4
@@ -428,9 +428,12 @@ def collocations(
     left = scored.join(longer, ["lang", "phrase"], "left").where(
         F.expr(f"_longer IS NULL OR CAST(_longer AS DECIMAL(19,0)) * 100 < CAST(a AS DECIMAL(19,0)) * {covered}")
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = left.select("lang", "phrase", "a", "_cut.l", "_cut.r", "_cut.score").withColumn("rank", F.row_number().over(order))
+    down = [(-F.col(c)).alias(f"_{c}") for c in ("score", "a")]
+    ranked = in_order(
+        left.select("lang", "phrase", "a", "_cut.l", "_cut.r", "_cut.score").select("*", *down),
+        "lang", ["_score", "_a", "phrase"], f"{folder}/ranks",
+    ).where(F.col("rank") < top).drop("n")
     spoken = found.where("size = 0").select("lang", F.col("f").alias("n"))
-    return best.where(F.col("rank") <= top).join(spoken, "lang").select(
-        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score")
+    return ranked.join(spoken, "lang").select(
+        "lang", (F.col("rank") + 1).alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score")
     )

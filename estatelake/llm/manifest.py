@@ -15,10 +15,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estatelake.llm.common import scratch, stored
+from estatelake.llm.common import in_order, scratch, stored
 
 FANOUT = 8
 #: Columns of a row that its leaf covers, in this order.
@@ -41,28 +41,6 @@ def leaf_of(*values: Column) -> Column:
     return digest_of(*[field(v) for v in values])
 
 
-def in_order(df: DataFrame, group: str, order: list[str], folder: str) -> DataFrame:
-    """Add ``rank``, the exact place (from 0) of each row in its group by ``order``, and ``n``, the group's rows.
-
-    Rows are range-partitioned, so a group of any size spreads over tasks. A task
-    numbers its rows as they stand; the counts of tasks before are added. The
-    result is a stored table.
-    """
-    sort = [group, *order]
-    line = F.monotonically_increasing_id()  # the task in the upper bits, the row in the task in the lower 33
-    placed = stored(
-        df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("_line", line), f"{folder}/placed"
-    ).withColumn("_task", F.shiftright("_line", 33))
-    runs = placed.groupBy(group, "_task").agg(F.min("_line").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    tasks = Window.partitionBy(group)
-    before = F.sum("_rows").over(tasks.orderBy("_task")) - F.col("_rows")
-    starts = runs.select(
-        group, "_task", (before - F.col("_first")).alias("_shift"), F.sum("_rows").over(tasks).alias("n")
-    )
-    ranked = placed.join(starts, [group, "_task"]).withColumn("rank", F.col("_line") + F.col("_shift"))
-    return stored(ranked.drop("_line", "_task", "_shift"), f"{folder}/ranked")
-
-
 def above(position: str) -> Column:
     """The position of a node's parent."""
     return F.expr(f"{position} div {FANOUT}")
