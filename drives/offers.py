@@ -237,17 +237,6 @@ def offers_all(t):
     return canonical.offers_all(offers_o(t), offers_m(t))
 
 
-@query(
-    """
-SELECT page_id, TRY_CAST(regexp_extract(url, '/([0-9]+)/?$', 1) AS INTEGER) AS value,
-       NOT regexp_matches(url, '/[0-9]+/?$') AS failed FROM pages"""
-)
-def map_links(t):
-    """The listing number at the end of a url; null and marked where there is none."""
-    number = F.nullif(F.regexp_extract("url", "/([0-9]+)/?$", 1), F.lit("")).try_cast("int")
-    return t.pages.select("page_id", number.alias("value"), (~F.col("url").rlike("/[0-9]+/?$")).alias("failed"))
-
-
 WIDTHS_SQL = "\nUNION ALL\n".join(
     f"""SELECT '{name}' AS "column", count(*) FILTER (WHERE length({name}) > {width}) AS too_long,
        count(*) FILTER (WHERE {name} IS NULL) AS nulls, true AS nullable FROM offers"""

@@ -97,16 +97,38 @@ def parsed_offers(t, k, links):
     )
 
 
-def play_runs(t, compact_after=None):
-    state = State(t.spark, f"{shared_folder(t.spark)}/runs-{uuid.uuid4().hex}")
-    for k in RUNS:
-        links = run_snapshot(t, k).select("link")
-        phase = phases.apply_links(state, links, SITE, run_date(k))
-        state = phases.queue_links(phase.state, phase.new_links, SITE)
-        state = phases.apply_offers(state, parsed_offers(t, k, phase.new_links), SITE)
-        if k == compact_after:
-            state = state.compact()
-    return state
+PLAYED: dict[tuple, str] = {}
+
+
+def play_runs(t, compact_after=None, replayed=False):
+    """The state after all runs; queries of one session and folder read one state."""
+    played = (t.spark.sparkContext.applicationId, t.folder, compact_after, replayed)
+    if played not in PLAYED:
+        base = f"{shared_folder(t.spark)}/runs-{uuid.uuid4().hex}"
+        for k in RUNS:
+            (replay_run if replayed else play_run)(t, base, k)
+            if k == compact_after:
+                State(t.spark, base).compact()
+        PLAYED[played] = base
+    return State(t.spark, PLAYED[played])
+
+
+def play_run(t, base, k):
+    phase = phases.apply_links(State(t.spark, base), run_snapshot(t, k).select("link"), SITE, run_date(k))
+    state = phases.queue_links(phase.state, phase.new_links, SITE)
+    phases.apply_offers(state, parsed_offers(t, k, phase.new_links), SITE)
+
+
+def replay_run(t, base, k):
+    """A run whose every step is played twice, the load once more before it fails to commit."""
+    for _ in range(2):
+        phase = phases.apply_links(State(t.spark, base), run_snapshot(t, k).select("link"), SITE, run_date(k), run_id=run_date(k))
+    for _ in range(2):
+        phases.queue_links(State(t.spark, base), phase.new_links, SITE, run_date(k))
+    offers = parsed_offers(t, k, phase.new_links)
+    State(t.spark, base).append("preprocessing_offers", offers, SITE)
+    for _ in range(2):
+        phases.apply_offers(State(t.spark, base), offers, SITE, run_id=run_date(k))
 
 
 def _runs_sql():
@@ -162,6 +184,57 @@ def offer_phase_compacted(t):
     return offers.select("link", "price", "scrape_date", "inactive_date", "active")
 
 
+@query(RUNS_SQL + "\n" + _offers_sql())
+def offer_phase_replayed(t):
+    """The same offers where every step of every run was played again after it had been published."""
+    offers = play_runs(t, replayed=True).read("preprocessing_offers", SITE)
+    return offers.select("link", "price", "scrape_date", "inactive_date", "active")
+
+
+# Two runs with listing pages: the second one cannot read two of ten pages.
+LOTS, UNREAD = "lots-by-page", (0, 3)
+SEEN_SQL = f"SELECT DISTINCT '{BASE}' || l_partkey || '-' || l_linenumber AS link, l_suppkey % 10 AS page FROM lineitem"
+
+
+def sightings(t, lines):
+    link = F.concat(F.lit(BASE), F.col("l_partkey"), F.lit("-"), F.col("l_linenumber"))
+    page = F.concat(F.lit("page-"), F.col("l_suppkey") % 10)
+    return t.lineitem.where(lines).select(link.alias("link"), page.alias("page"))
+
+
+@query(
+    f"""
+WITH first AS ({SEEN_SQL} WHERE year(l_shipdate) <= 1997),
+second AS ({SEEN_SQL} WHERE year(l_shipdate) >= 1999 AND l_suppkey % 10 NOT IN {UNREAD}),
+gone AS (SELECT DISTINCT link FROM first WHERE link NOT IN (SELECT link FROM second)),
+marked AS (SELECT link, CASE WHEN link IN (SELECT link FROM first WHERE page IN {UNREAD}) THEN 'withheld'
+                             ELSE 'retired' END AS outcome FROM gone)
+SELECT * FROM marked
+UNION ALL SELECT DISTINCT link, 'registered' FROM first
+WHERE link NOT IN (SELECT link FROM marked WHERE outcome = 'retired')"""
+)
+def links_withheld(t):
+    """Vanished links with pages unread: those last seen on these stay registered, the others are retired."""
+    state = State(t.spark, f"{shared_folder(t.spark)}/runs-{uuid.uuid4().hex}")
+    seen = sightings(t, F.year("l_shipdate") <= 1997)
+    phase = phases.apply_links(state, seen.select("link"), LOTS, run_date(1), listed=seen)
+    loaded = phase.new_links.distinct().select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in OFFERS if f.name not in ("link", "page_name")),
+        "link", F.lit(LOTS).alias("page_name"),
+    )
+    state = phases.apply_offers(phase.state, loaded, LOTS)
+    seen = sightings(t, (F.year("l_shipdate") >= 1999) & ~(F.col("l_suppkey") % 10).isin(*UNREAD))
+    unread = t.region.select(F.concat(F.lit("page-"), F.col("r_regionkey")).alias("link")).where(
+        F.col("link").isin(*(f"page-{i}" for i in UNREAD))
+    )
+    phase = phases.apply_links(state, seen.select("link"), LOTS, run_date(2), unread=unread, listed=seen)
+    outcomes = {
+        "withheld": phase.withheld_links, "retired": phase.removed_links, "registered": phase.state.read("active_links", LOTS)
+    }
+    parts = [rows.select("link", F.lit(name).alias("outcome")) for name, rows in outcomes.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(
     RUNS_SQL
     + "\n"

@@ -7,7 +7,7 @@ a task, and both differences come out of the same pass.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from estatelake.operators.skew import HEAVY_ROWS, SALTS, keep_unlisted, mark_listed
@@ -64,6 +64,25 @@ def removed_links_of(diff: DataFrame, distinct: bool = False) -> DataFrame:
     return removed.select("link") if distinct else _copies(removed, "n_registry")
 
 
+def withheld_links(removed: DataFrame, seen: DataFrame, unread: DataFrame) -> DataFrame:
+    """Every removed link with ``withheld``: may it stand on a listing page that was not read?
+
+    ``seen`` has the pages on which each link was last seen (``link``, ``page``),
+    ``unread`` the pages without a reading (``page``). A link is withheld if one
+    of its last pages is unread, or if its pages are not known. One aggregation
+    over both sides: neither repeats nor a page of many links need a join of rows.
+    """
+    missing = unread.select("page").distinct().withColumn("_unread", F.lit(True))
+    sightings = seen.join(missing, "page", "left").select(
+        "link", F.lit(False).alias("_gone"), F.lit(True).alias("_known"), F.coalesce("_unread", F.lit(False)).alias("_unread")
+    )
+    gone = removed.select("link", F.lit(True).alias("_gone"), F.lit(False).alias("_known"), F.lit(False).alias("_unread"))
+    per_link = gone.unionByName(sightings).groupBy("link").agg(
+        *[F.bool_or(c).alias(c) for c in ("_gone", "_known", "_unread")]
+    )
+    return per_link.where("_gone").select("link", (~F.col("_known") | F.col("_unread")).alias("withheld"))
+
+
 def new_links(snapshot: DataFrame, registry: DataFrame, distinct: bool = False) -> DataFrame:
     """Snapshot links missing from the registry, repeats kept unless ``distinct``.
 
@@ -132,34 +151,50 @@ def deactivate_offers(
     )
 
 
-def link_attempts(queue: DataFrame, attempts: DataFrame) -> DataFrame:
-    """Per queued link: ``attempts`` made since it was last queued, and whether one was ``ok``.
+def attempt_counters(queue: DataFrame, attempts: DataFrame) -> DataFrame:
+    """Per link: ``queued``, the run it was last queued in, ``n`` attempts since, and whether one was ``ok``.
 
     ``attempts`` has ``link`` and a boolean ``ok``. Where both sides have a
     ``run``, only attempts of a later run than the link's last queueing count:
-    a link that vanished and was listed again starts anew. Counted map-side per
-    link and run, so a hot link is one row per run.
+    a link that vanished and was listed again starts anew. Rows are combined
+    map-side, per link and run where there are runs; nothing is gathered per link.
     """
     timed = "run" in queue.columns and "run" in attempts.columns
-    queued = queue.select("link", (F.col("run") if timed else F.lit(0)).cast("long").alias("run"), F.lit(1).alias("_q"),
-                          F.lit(0).alias("_a"), F.lit(0).alias("_ok"))
-    tried = attempts.select("link", (F.col("run") if timed else F.lit(1)).cast("long").alias("run"), F.lit(0).alias("_q"),
-                            F.lit(1).alias("_a"), F.col("ok").cast("int").alias("_ok"))
-    per_run = (
-        queued.unionByName(tried)
-        .groupBy("link", "run")
-        .agg(F.max("_q").alias("_q"), F.sum("_a").alias("_a"), F.max("_ok").alias("_ok"))
-    )
-    per_link = per_run.groupBy("link").agg(
-        F.max(F.when(F.col("_q") == 1, F.col("run"))).alias("_queued"),
-        F.collect_list(F.struct("run", "_a", "_ok")).alias("_runs"),
+    queued = queue.select(
+        "link", (F.col("run") if timed else F.lit(0)).cast("long").alias("run"),
+        F.lit(True).alias("q"), F.lit(0).cast("long").alias("n"), F.lit(False).alias("ok"),
     )
-    since = F.filter("_runs", lambda r: r["run"] > F.col("_queued"))
-    return per_link.where(F.col("_queued").isNotNull() & F.col("link").isNotNull()).select(
-        "link",
-        F.aggregate(since, F.lit(0).cast("long"), lambda n, r: n + r["_a"]).alias("attempts"),
-        F.exists(since, lambda r: F.coalesce(r["_ok"], F.lit(0)) == 1).alias("ok"),
+    tried = attempts.select(
+        "link", (F.col("run") if timed else F.lit(0)).cast("long").alias("run"),
+        F.lit(False).alias("q"), F.lit(1).cast("long").alias("n"), F.coalesce("ok", F.lit(False)).alias("ok"),
     )
+    counted = [F.bool_or("q").alias("q"), F.sum("n").alias("n"), F.bool_or("ok").alias("ok")]
+    both = queued.unionByName(tried)
+    if not timed:
+        per_link = both.groupBy("link").agg(*counted).where("q AND link IS NOT NULL")
+        return per_link.select("link", F.lit(0).cast("long").alias("queued"), "n", "ok")
+    per_run = both.groupBy("link", "run").agg(*counted)
+    # Tries in the run that queues a link are tries of what was queued before.
+    return merged_counters(per_run.select(
+        "link", "run", "q", F.when(F.col("q"), 0).otherwise(F.col("n")).alias("n"), (F.col("ok") & ~F.col("q")).alias("ok")
+    ))
+
+
+def merged_counters(parts: DataFrame) -> DataFrame:
+    """Counters of several runs (link, run, q, n, ok) as one row per queued link.
+
+    The last queueing is the newest run with ``q``; what came before it does not
+    count. Counters so far take part as rows of their last queueing, so that a
+    run adds its own rows to them and older runs are not read again.
+    """
+    last = F.max(F.when(F.col("q"), F.col("run"))).over(Window.partitionBy("link"))
+    since = parts.withColumn("queued", last).where("link IS NOT NULL AND run >= queued")
+    return since.groupBy("link", "queued").agg(F.sum("n").alias("n"), F.bool_or("ok").alias("ok"))
+
+
+def link_attempts(queue: DataFrame, attempts: DataFrame) -> DataFrame:
+    """Per queued link: ``attempts`` made since it was last queued, and whether one was ``ok``."""
+    return attempt_counters(queue, attempts).select("link", F.col("n").alias("attempts"), "ok")
 
 
 def pending_links(queue: DataFrame, attempts: DataFrame, limit: int = ATTEMPTS) -> DataFrame:

@@ -90,6 +90,14 @@ def offer_links(listing_pages: DataFrame, profile: Profile) -> DataFrame:
     return read_listing(listing_pages, profile).select(F.explode("links").alias("link"))
 
 
+def offer_sightings(listing: DataFrame, profile: Profile) -> DataFrame:
+    """The offer links of a ``read_listing`` result in canonical form, each once per ``page`` that shows it."""
+    seen = listing.select(F.col("link").alias("page"), F.explode("links").alias("link"))
+    if profile.offer_marker is None:
+        seen = seen.withColumn("link", canonical_link(F.col("link")))
+    return seen.where(F.col("link").isNotNull()).select("link", "page").distinct()
+
+
 def offers_listed(listing: DataFrame, profile: Profile) -> DataFrame:
     """The offer links of a ``read_listing`` result in canonical form, each once."""
     links = listing.select(F.explode("links").alias("link"))

@@ -57,3 +57,12 @@ def flag_stage(log: DataFrame, stage: str) -> DataFrame:
         raise ValueError(f"unknown stage {stage!r}")
     newest = F.col("curr_date") == latest_date(log).scalar()
     return log.withColumn(stage, F.when(newest, "T").otherwise(F.col(stage)))
+
+
+def stage_event(log: DataFrame, stage: str, run: int) -> DataFrame:
+    """C38 as an event to append: the stage is done for all rows that the log has of its latest date."""
+    if stage not in STAGES:
+        raise ValueError(f"unknown stage {stage!r}")
+    return latest_date(log).where(F.col("curr_date").isNotNull()).select(
+        "curr_date", F.lit(stage).alias("stage"), F.lit(run).cast("long").alias("run")
+    )

@@ -46,6 +46,17 @@ DEACTIVATIONS = _table(
     ("page_name", _TEXT, False), ("link", _TEXT, False), ("every_site", BooleanType(), False),
     ("only_active", BooleanType(), False), ("run_date", _TEXT, False), ("run", _LONG, False),
 )
+# A stage that was reported done for a date, in the version ``run``.
+STAGE_EVENTS = _table(("curr_date", _TEXT, False), ("stage", _TEXT, False), ("run", _LONG, False))
+# The listing pages on which each link was seen when it was last seen, and the version that saw it.
+LINK_PAGES = _table(
+    ("page_name", _TEXT, False), ("link", _TEXT, False), ("page", _TEXT, False), ("run", _LONG, False)
+)
+# Failed tries of a queued link since it was last queued (in ``queued``), as of version ``run``.
+RETRY_COUNTERS = _table(
+    ("page_name", _TEXT, False), ("link", _TEXT, False), ("queued", _LONG, False),
+    ("attempts", _LONG, False), ("run", _LONG, False),
+)
 # Wrapped pieces of a description that its four columns do not hold.
 DESCRIPTION_REST = _table(
     ("page_name", _TEXT, False), ("link", _TEXT, True), ("scrape_date", _TEXT, True),
@@ -97,6 +108,9 @@ STATE_TABLES = {
     "to_scrape": TO_SCRAPE,
     "missing_links": MISSING_LINKS,
     "process_stage": PROCESS_STAGE,
+    "stage_events": STAGE_EVENTS,
+    "link_pages": LINK_PAGES,
+    "retry_counters": RETRY_COUNTERS,
     "deactivations": DEACTIVATIONS,
     "description_rest": DESCRIPTION_REST,
 }
