@@ -262,18 +262,13 @@ def description_chunks(t):
 LANGUAGES = ("de", "en", "es", "fr")
 
 
-# The model learns from one half of the documents and is applied to the other.
-LEARN = "doc_id % 2 = 0"
-
-
-def language_sql(learn, apply):
-    return f"""
+LANGUAGE_SQL = f"""
 WITH {CHUNKS_SQL},
 grams AS (
   SELECT doc_id, chunk_no, substr(padded, CAST(p AS INTEGER), 3) AS gram
   FROM (SELECT doc_id, i // 6 AS chunk_no, ' ' || lower(w) || ' ' AS padded,
-               unnest(range(1, length(w) + 1)) AS p FROM words WHERE {apply})),
-spoken AS (SELECT lang, ' ' || lower(w) || ' ' AS padded, count(*) AS n FROM words WHERE {learn} GROUP BY ALL),
+               unnest(range(1, length(w) + 1)) AS p FROM words)),
+spoken AS (SELECT lang, ' ' || lower(w) || ' ' AS padded, count(*) AS n FROM words GROUP BY ALL),
 counts AS (
   SELECT lang, substr(padded, CAST(p AS INTEGER), 3) AS gram, CAST(sum(n) AS BIGINT) AS n
   FROM (SELECT *, unnest(range(1, length(padded) - 1)) AS p FROM spoken) GROUP BY ALL),
@@ -295,7 +290,7 @@ best AS (
 
 
 @query(
-    language_sql("true", "true")
+    LANGUAGE_SQL
     + """
 SELECT c.doc_id, CAST(c.chunk_no AS INTEGER) AS chunk_no, b.lang AS language
 FROM chunks c LEFT JOIN best b ON b.doc_id = c.doc_id AND b.chunk_no = c.chunk_no"""
@@ -309,20 +304,19 @@ def language_chunks(t):
 
 
 @query(
-    language_sql(LEARN, f"NOT ({LEARN})")
-    + f"""
+    LANGUAGE_SQL
+    + """
 , kept AS (
   SELECT c.doc_id, string_agg(c.chunk, ' ' ORDER BY c.chunk_no) AS text
   FROM chunks c LEFT JOIN best b ON b.doc_id = c.doc_id AND b.chunk_no = c.chunk_no
   WHERE coalesce(b.lang, 'fr') = 'fr' GROUP BY c.doc_id)
 SELECT d.doc_id, CASE WHEN length(d.text) > 2000 THEN coalesce(k.text, '') ELSE d.text END AS text
-FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id WHERE NOT (d.{LEARN})"""
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id"""
 )
 def language_filtered(t):
-    """The filter with a model: French chunks of the texts that the model did not learn from."""
-    model = train(t.documents.where(LEARN), "text", "lang", LANGUAGES)
-    others = t.documents.where(f"NOT ({LEARN})").select("doc_id", "text")
-    return keep_language(others, "text", model, target="fr", longer_than=2000)
+    """The filter with a model of all documents: the French chunks of all long texts, short ones whole."""
+    model = train(t.documents, "text", "lang", LANGUAGES)
+    return keep_language(t.documents.select("doc_id", "text"), "text", model, target="fr", longer_than=2000)
 
 
 def wrap_sql(source, key, column, names):

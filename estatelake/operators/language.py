@@ -2,10 +2,10 @@
 
 The model is the table of all character trigrams of words with a score per
 language. Training counts words before it takes them apart, so the shuffle
-carries distinct words and not letters. Labelling takes chunks apart, joins
-their trigrams with the model (broadcast only if it is measured to be small)
-and adds scores up per chunk, combined before the shuffle. Scores are whole
-numbers, so sums do not depend on their order.
+carries distinct words and not letters. Labelling is factorised alike: each
+distinct word is taken apart and scored once per language, chunks look up the
+scores of their words and add them up. Scores are whole numbers, so sums do not
+depend on their order.
 """
 
 from __future__ import annotations
@@ -55,26 +55,39 @@ def _score(log_odds: Column) -> Column:
     return F.round(log_odds * SCALE).cast("bigint").alias("score")
 
 
+def word_scores(words: DataFrame, model: DataFrame, names: list[str]) -> DataFrame:
+    """Every distinct ``_word``: ``_s0``, ``_s1`` ... for the languages, its trigrams ``_n``, and whether one is ``_listed``."""
+    listed = model.where("gram <> ''")
+    wide = listed.groupBy("gram").agg(
+        *[F.max(F.when(F.col("language") == x, F.col("score"))).alias(f"_s{i}") for i, x in enumerate(names)],
+        F.lit(True).alias("_listed"),
+    )
+    letters = words.distinct().select("_word", F.explode(grams(F.col("_word"))).alias("gram"))
+    return letters.join(wide, "gram", "left").groupBy("_word").agg(
+        *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(len(names))],
+        F.count(F.lit(1)).alias("_n"), F.bool_or("_listed").alias("_listed"),
+    )
+
+
 def label_chunks(parts: DataFrame, model: DataFrame, *keys: str) -> DataFrame:
     """The best language of every row of ``keys`` and ``chunk``: the same columns and ``language``.
 
     The first language by name wins ties; null where the model lists none of
     the trigrams. Rows that share their keys must not differ in ``chunk``.
+    Chunks move as one row per word, with the text beside the first one only.
     """
     # One row per language of the model.
     base = {r["language"]: r["score"] for r in model.where("gram = ''").collect()}
     names = sorted(base)
-    listed = model.where("gram <> ''")
-    wide = listed.groupBy("gram").agg(
-        *[F.max(F.when(F.col("language") == x, F.col("score"))).alias(f"s{i}") for i, x in enumerate(names)],
-        F.lit(True).alias("listed"),
+    spoken = F.posexplode_outer(F.split("chunk", " ")).alias("_at", "_word")
+    each = parts.select(*keys, "chunk", spoken).select(
+        *keys, "_word", F.when(F.coalesce("_at", F.lit(0)) == 0, F.col("chunk")).alias("chunk")
     )
-    each = F.explode_outer(F.flatten(F.transform(F.split("chunk", " "), grams))).alias("gram")
-    scored = parts.select(*keys, "chunk", each).join(wide, "gram", "left")
+    scored = each.join(word_scores(each.select("_word"), model, names), "_word", "left")
     best = F.array_sort(
         F.array(*[
             F.struct(
-                (-(F.sum(F.coalesce(f"s{i}", F.lit(0))) + F.count("gram") * F.lit(base[x]))).alias("score"),
+                (-(F.sum(F.coalesce(f"_s{i}", F.lit(0))) + F.coalesce(F.sum("_n"), F.lit(0)) * F.lit(base[x]))).alias("score"),
                 F.lit(x).alias("language"),
             )
             for i, x in enumerate(names)
@@ -82,7 +95,7 @@ def label_chunks(parts: DataFrame, model: DataFrame, *keys: str) -> DataFrame:
     ) if names else F.array()
     told = F.get(best, F.lit(0))["language"] if names else F.lit(None).cast("string")
     return scored.groupBy(*keys).agg(
-        F.max("chunk").alias("chunk"), F.when(F.bool_or("listed"), told).alias("language")
+        F.max("chunk").alias("chunk"), F.when(F.bool_or("_listed"), told).alias("language")
     )
 
 
@@ -96,17 +109,15 @@ def keep_language(
     """Reduce long texts to their chunks in the target language, joined by spaces.
 
     Chunks whose language cannot be told are kept. Texts up to ``longer_than``
-    characters, and all texts without a model, stay as they are. What a text
-    becomes depends on the text only, so equal long texts are labelled once.
+    characters, and all texts without a model, stay as they are and do not move.
+    What a text becomes depends on the text only, so equal long texts are
+    labelled once.
     """
     if model is None:
         return df
     is_long = F.coalesce(F.length(text) > longer_than, F.lit(False))
-    # Short texts get keys that match nothing and are spread over tasks.
-    plain = [c for c, kind in df.dtypes if kind in ("string", "bigint", "int", "double")]
-    key = F.when(is_long, F.sha2(F.col(text), 256)).otherwise(F.hex(F.xxhash64(*plain)))
-    keyed = df.withColumn("_key", key)
-    long = df.where(is_long).groupBy(F.sha2(F.col(text), 256).alias("_key")).agg(F.max(text).alias("_long"))
+    keyed = df.where(is_long).withColumn("_key", F.sha2(F.col(text), 256))
+    long = keyed.groupBy("_key").agg(F.max(text).alias("_long"))
     parts = long.select("_key", F.posexplode(chunks(chunk_words(F.col("_long")))).alias("chunk_no", "chunk"))
     told = label_chunks(parts, model, "_key", "chunk_no")
     wanted = F.coalesce(F.col("language"), F.lit(target)) == target
@@ -114,7 +125,6 @@ def keep_language(
     reduced = told.groupBy("_key").agg(
         F.array_join(F.transform(in_order, lambda x: x["chunk"]), " ").alias("_kept")
     )
-    joined = keyed.join(reduced, "_key", "left")
     # A long text without a single word has no chunk at all.
-    shorter = F.when(is_long, F.coalesce("_kept", F.lit(""))).otherwise(F.col(text))
-    return joined.withColumn(text, shorter).select(*df.columns)
+    shorter = keyed.join(reduced, "_key", "left").withColumn(text, F.coalesce("_kept", F.lit("")))
+    return df.where(~is_long).unionByName(shorter.select(*df.columns))

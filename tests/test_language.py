@@ -60,6 +60,13 @@ def test_accuracy_on_labelled_documents(spark):
     assert told.share > 0.9
 
 
+def test_no_row_per_letter_is_shuffled_with_a_chunk(spark):
+    parts = spark.createDataFrame([(1, "the view of the park")], "i int, chunk string")
+    plan = label_chunks(parts, train(corpus(spark), "text", "lang", ["pl", "en"]), "i")._jdf.queryExecution().executedPlan().toString()
+    # Letters exist below the count of distinct words only: taken apart after, and apart from, the chunks.
+    assert plan.count("Generate explode(regexp_extract_all") == 2 and plan.count("HashAggregate(keys=[_word") >= 2
+
+
 def test_only_long_texts_are_filtered(spark):
     # Six-word chunks that are all of one language.
     polish, english = "mieszkanie jest bardzo ładne i przestronne", "the apartment is very nice and"
