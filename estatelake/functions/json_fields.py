@@ -17,13 +17,14 @@ RECORD_SCHEMA = """
             geoLevels: ARRAY<STRUCT<type: STRING, label: STRING>>>,
         target: MAP<STRING, STRING>>>>
 """
-SCRIPT = r"(?is)<script\b[^>]*>.*?</script\s*>"
+# An opening mark that is never closed takes the rest of the page: no later one is closed either.
+SCRIPT = r"(?is)(<script\b[^>]*>.*?</script\s*>)|<script\b.*"
 SCRIPT_TAGS = r"(?is)^<script\b[^>]*>|</script\s*>$"
 
 
 def longest_script(html: Column) -> Column:
     """Body of the longest script element, the first one on ties."""
-    scripts = F.regexp_extract_all(html, F.lit(SCRIPT), F.lit(0))
+    scripts = F.filter(F.regexp_extract_all(html, F.lit(SCRIPT), F.lit(1)), lambda s: s != "")
     longest = F.aggregate(
         scripts,
         F.lit(None).cast("string"),

@@ -1,11 +1,13 @@
 """Selection from tag soup, and the embedded record."""
 
 import json
+import time
 
 from pyspark.sql import functions as F
 
 from estatelake.functions import json_fields as J
 from estatelake.functions.html import Pick, select_html
+from estatelake.functions.text import strip_styling
 from estatelake.operators.links import anchors
 
 
@@ -124,3 +126,20 @@ def test_broken_records_are_null_field_by_field(evaluate):
     rows = columns_of(evaluate, ["not json", "{}", half, None])
     assert all(v is None for row in (rows[0], rows[1], rows[3]) for v in row.values())
     assert rows[2]["lng"] == 2.0 and rows[2]["address"] is None
+
+
+def test_unclosed_marks_take_time_in_proportion(spark):
+    def seconds(mark, expression, n):
+        df = spark.createDataFrame([(mark * n,)] * 2, "x string").select(expression(F.col("x")).alias("y"))
+        df.collect()
+        start = time.perf_counter()
+        df.collect()
+        return time.perf_counter() - start
+
+    for mark, expression in (("<script>", J.longest_script), ("<script", J.longest_script), ("a.css{", strip_styling), ("@media ", strip_styling)):
+        assert seconds(mark, expression, 400_000) < 16 * seconds(mark, expression, 100_000) + 1, mark
+
+
+def test_scripts_before_an_unclosed_one_are_found(evaluate):
+    pages = ["<script>ab</script><script>c", "<script x>ab</SCRIPT ><script <script>abc", "<scripty>x</scripty>", "<script>a<script>b</script>"]
+    assert evaluate(pages, "string", J.longest_script) == ["ab", "ab", None, "a<script>b"]

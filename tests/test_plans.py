@@ -28,6 +28,11 @@ def test_a_page_is_read_once(plan_of, name, readers):
     assert len(re.findall(r"ArrowEvalPython \[select\(", plan_of(name))) == readers
 
 
+def test_only_page_selection_leaves_the_jvm(plan_of):
+    assert len(re.findall("(Arrow|Batch)EvalPython", plan_of("offers_all"))) == 2  # one selection per site
+    assert "Python" not in plan_of("wrapped_descriptions")
+
+
 @pytest.mark.parametrize(
     "name", ["kv_o", "price_text_o", "description_chunks", "strip_styling", "json_scalars", "longest_script", "link_status"]
 )

@@ -5,7 +5,7 @@ import textwrap
 
 from pyspark.sql import functions as F
 
-from estatelake.functions.wrap import description_columns, overflow, quick_lines, with_lines
+from estatelake.functions.wrap import careful_lines, description_columns, overflow, quick_lines, with_lines
 
 PIECES = ["a", "bc", "def", "words", "long-er", "a--b", "semi-de-tached", "x" * 25, "-", "--", "é", "😀", "it's",
           "–", "(see-me)", "12-34", "end."]
@@ -43,6 +43,20 @@ def test_wrap_equals_standard_library(spark):
         check(spark, texts(width, plain=False), width)
 
 
+def test_careful_wrap_of_ordinary_text(spark):
+    given = texts(5, plain=True) + texts(6, plain=False)
+    df = spark.createDataFrame([(t,) for t in given], "t string")
+    for row in df.select("t", careful_lines(F.col("t"), 20).alias("lines")).collect():
+        assert row.lines == textwrap.wrap(row.t, 20), repr(row.t)
+
+
+def test_long_words_with_rare_spaces_and_hyphens(spark):
+    rng = random.Random(12)
+    given = ["".join(rng.choice(["x", "-", "1", "\xa0", "\xa0\xa0\xa0", " ", "ab-", "xyxyxyxyxy"]) for _ in range(rng.randrange(60))) for _ in range(600)]
+    check(spark, given, 5)
+    check(spark, ["\t" + "-" * 3000 + "a" * 3000, "1-" * 4000 + "\t", "\xa0" * 9000 + " b"], 800)
+
+
 def test_wrap_at_full_width(spark):
     rng = random.Random(9)
     words = ["".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 12))) for _ in range(4000)]
