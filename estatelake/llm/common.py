@@ -38,13 +38,12 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def running_totals(values: Column, block: int = 256) -> Column:
-    """Prefix sums of an array of whole numbers (each element included).
+def running(values: Column, merge, zero: Column, block: int = 256) -> Column:
+    """Running ``merge`` of an array's elements (each one included), from ``zero`` on.
 
     Works block by block, so that an array of n elements costs n times the
     block and not n squared. Null gives null, empty gives empty.
     """
-    values = F.transform(values, lambda v: v.cast("long"))
     blocks = F.transform(
         F.when(F.size(values) > 0, F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int")))
         .otherwise(F.array().cast("array<int>")),
@@ -55,17 +54,22 @@ def running_totals(values: Column, block: int = 256) -> Column:
         return F.aggregate(
             items,
             F.array(first),
-            lambda done, v: F.concat(done, F.array(F.element_at(done, -1) + v)),
+            lambda done, v: F.concat(done, F.array(merge(F.element_at(done, -1), v))),
         )
 
-    zero = F.lit(0).cast("long")
-    totals = F.transform(blocks, lambda part: F.aggregate(part, zero, lambda a, v: a + v))
+    totals = F.transform(blocks, lambda part: F.aggregate(part, zero, merge))
     starts = scan(totals, zero)
     parts = F.transform(F.arrays_zip(blocks.alias("b"), F.slice(starts, 1, F.size(blocks)).alias("s")),
                         lambda x: F.slice(scan(x["b"], x["s"]), F.lit(2), F.size(x["b"])))
     return F.when(values.isNotNull(), F.flatten(parts))
 
 
+def running_totals(values: Column, block: int = 256) -> Column:
+    """Prefix sums of an array of whole numbers."""
+    longs = F.transform(values, lambda v: v.cast("long"))
+    return running(longs, lambda a, v: a + v, F.lit(0).cast("long"), block)
+
+
 def ranked(df: DataFrame, key: str, order: list[str], rank: str = "rank", spread: int | None = None) -> DataFrame:
     """Add the exact position (from 0) of each row among the rows of its ``key``.
 

@@ -15,7 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estatelake.llm.common import running_totals, text_of
+from estatelake.functions.text import bind
+from estatelake.llm.common import running, running_totals, text_of
 
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_HINT = r"(?i:passw|secret|token|api_?key)"
@@ -26,13 +27,15 @@ HEX = r"[0-9a-f]{24,}"
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 KINDS = ("assign", "access", "hex", "entropy")
 
-#: Candidates that match one of these are no secrets: UUIDs, placeholders, counting runs.
+#: UUIDs, placeholders, counting runs: a candidate is no secret if what one of these matches
+#: is at least a quarter of it. A long key that merely holds such a run stays one.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"(?i)example|sample|placeholder|changeme|dummy|redacted",
+    r"(?i)example(?:key)?|sample|placeholder|changeme|dummy|redacted",
     r"(?i)x{6,}|0{8,}|\*{4,}",
     r"(?i)0123456789|abcdefgh",
 )
+ALLOWED_SHARE = 0.25
 
 
 @dataclass(frozen=True)
@@ -88,41 +91,82 @@ def found(text: Column, pattern: str, group: int = 0, hint: str | None = None) -
 
 
 def peak_entropy(value: Column, window: int = WINDOW) -> Column:
-    """Highest entropy in bits of any ``window`` characters in a row, by incremental counts."""
+    """Highest entropy in bits of any ``window`` characters in a row, by incremental counts.
+
+    Letters get numbers once; a step changes two counts, so a string takes time
+    in proportion to its length.
+    """
     steps = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])
-    chars = F.split(value, "")
-    letters = F.array_distinct(chars)
-    codes = F.transform(chars, lambda c: F.array_position(letters, c).cast("int") - 1)
-    start = F.struct(
-        F.transform(letters, lambda _: F.lit(0)).alias("counts"),
-        F.lit(0.0).alias("total"), F.lit(0.0).alias("peak"),
-    )
 
     def at(counts: Column, code: Column) -> Column:
-        return F.element_at(counts, code + 1)
+        return F.element_at(counts, code)
+
+    def with_count(counts: Column, code: Column, change: int) -> Column:
+        rest = F.size(counts) - code
+        return F.concat(F.slice(counts, F.lit(1), code - 1), F.array(at(counts, code) + change), F.slice(counts, code + 1, rest))
 
     def gain(count: Column) -> Column:
         return F.element_at(steps, count + 1)
 
-    def step(state: Column, position: Column) -> Column:
-        here = F.element_at(codes, position + 1)
-        full = position >= window
-        there = F.when(full, F.element_at(codes, F.greatest(position - window + 1, F.lit(1)))).otherwise(-1)
-        up, down = at(state["counts"], here), F.when(full, at(state["counts"], F.greatest(there, F.lit(0))))
-        change = F.when(here == there, F.lit(0.0)).otherwise(
-            gain(up + 1) - gain(up) + F.when(full, gain(down - 1) - gain(down)).otherwise(0.0)
-        )
-        total = state["total"] + change
-        counts = F.transform(
-            state["counts"],
-            lambda c, k: c + F.when(k == here, 1).otherwise(0) - F.when(k == there, 1).otherwise(0),
+    def peak(codes: Column, n_letters: Column) -> Column:
+        start = F.struct(
+            F.array_repeat(F.lit(0), n_letters).alias("counts"), F.lit(0.0).alias("total"), F.lit(0.0).alias("peak")
         )
-        bits = F.lit(math.log2(window)) - total / window
-        peak = F.when(position >= window - 1, F.greatest(state["peak"], bits)).otherwise(state["peak"])
-        return F.struct(counts.alias("counts"), total.alias("total"), peak.alias("peak"))
 
-    positions = F.sequence(F.lit(0), F.size(chars) - 1)
-    return F.aggregate(positions, start, step, lambda s: s["peak"])
+        def step(state: Column, position: Column) -> Column:
+            here = F.element_at(codes, position + 1)
+            full = position >= window
+            there = F.element_at(codes, F.greatest(position - window + 1, F.lit(1)))
+
+            def leave(counts: Column) -> Column:
+                return F.when(full, with_count(counts, there, -1)).otherwise(counts)
+
+            def moved(counts: Column) -> Column:
+                """Counts after the leaving and before the entering character."""
+                left = at(state["counts"], there)
+                down = F.when(full, gain(left - 1) - gain(left)).otherwise(0.0)
+                up = gain(at(counts, here) + 1) - gain(at(counts, here))
+                return bind(state["total"] + down + up, lambda total: F.struct(
+                    with_count(counts, here, 1).alias("counts"), total.alias("total"),
+                    F.when(position >= window - 1, F.greatest(state["peak"], F.lit(math.log2(window)) - total / window))
+                    .otherwise(state["peak"]).alias("peak"),
+                ))
+
+            return bind(leave(state["counts"]), moved)
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), start, step, lambda s: s["peak"])
+
+    def coded(chars: Column) -> Column:
+        return bind(F.array_distinct(chars), lambda letters: bind(
+            F.transform(chars, lambda c: F.array_position(letters, c).cast("int")), lambda codes: peak(codes, F.size(letters))
+        ))
+
+    return bind(F.split(value, ""), coded)
+
+
+def apart(candidates: Column | str, base: Column) -> Column:
+    """The candidates that overlap no base span, by one pass over both in the order of positions.
+
+    A candidate is free if all base spans that start before its end also end by
+    its start: the running maximum of the ends tells.
+    """
+    kind = "struct<pos:bigint,base:int,last:bigint,at:int>"
+
+    def event(pos: Column, base_: int, last: Column, at: Column) -> Column:
+        return F.struct(pos.alias("pos"), F.lit(base_).alias("base"), last.alias("last"), at.alias("at")).cast(kind)
+
+    asks = F.transform(candidates, lambda x, i: event(x["end"], 0, F.lit(0), i))
+    spans = F.transform(base, lambda x: event(x["start"], 1, x["end"], F.lit(-1)))
+
+    def judged(events: Column) -> Column:
+        ends = running(F.transform(events, lambda e: e["last"]), lambda a, v: F.greatest(a, v), F.lit(0).cast("long"))
+        told = F.filter(F.arrays_zip(events.alias("e"), ends.alias("m")), lambda x: x["e"]["base"] == 0)
+        return F.transform(told, lambda x: x["m"])  # candidates do not overlap, so they stand as they were
+
+    # At one position a candidate's end comes before a span's start: they do not overlap.
+    return bind(judged(F.array_sort(F.concat(asks, spans))), lambda ends: F.filter(
+        candidates, lambda x, i: F.element_at(ends, i + 1) <= x["start"]
+    ))
 
 
 def find_secrets(
@@ -154,19 +198,23 @@ def find_secrets(
             best = F.when(value.rlike(c.pattern), F.lit(c.bits)).otherwise(best)
         return best
 
-    def is_free(x: Column) -> Column:
-        return ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-
-    def not_allowed(x: Column) -> Column:
+    def not_allowed(value: Column) -> Column:
         ok = F.lit(True)
         for pattern in allowed:
-            ok = ok & ~x["value"].rlike(pattern)
+            left = F.length(F.regexp_replace(value, pattern, ""))
+            ok = ok & ~(value.rlike(pattern) & (left <= (1 - ALLOWED_SHARE) * F.length(value)))
         return ok
 
-    likely = F.filter("_candidates", lambda x: bar(x["value"]).isNotNull() & not_allowed(x) & is_free(x))
+    barred = F.filter(
+        F.transform("_candidates", lambda x: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"), bar(x["value"]).alias("bar")
+        )),
+        lambda x: x["bar"].isNotNull() & not_allowed(x["value"]),
+    )
+    likely = bind(barred, lambda some: F.when(F.size(some) > 0, apart(some, base)).otherwise(some))
     rows = rows.select("doc_id", "_assign", "_access", "_hex", likely.alias("_likely"))
     # The lists are short; the entropy of a string is only taken where one is left.
-    entropy = F.filter("_likely", lambda x: peak_entropy(x["value"], window) >= bar(x["value"]))
+    entropy = F.filter("_likely", lambda x: peak_entropy(x["value"], window) >= x["bar"])
 
     def labelled(spans: Column | str, number: int) -> Column:
         return F.transform(

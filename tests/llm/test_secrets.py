@@ -1,3 +1,8 @@
+import random
+import re
+import string
+import time
+
 import pytest
 from brute import base_spans, entropy_peak, sha
 from pyspark.sql import functions as F
@@ -79,3 +84,50 @@ def test_long_words_and_slugs_are_no_secrets(spark):
         "SUPERCALIFRAGILISTICEXPIALIDOCIOUS",
     ]
     assert all(spans == [] for spans in scan(spark, clean).values())
+
+
+def test_long_candidates_take_time_in_proportion(spark):
+    rng = random.Random(6)
+    letters = string.ascii_letters + string.digits
+    for n in (10_000, 1_000_000):
+        text = "x " + "".join(rng.choice(letters) for _ in range(n)) + " y"
+        start = time.perf_counter()
+        (row,) = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+        assert [(s.kind, s.start, s.end) for s in row.spans] == [("entropy", 2, n + 2)]
+        assert time.perf_counter() - start < 60
+
+
+def test_many_spans_of_one_text(spark):
+    text = " ".join(f"token={i:08d} aB{i:05d}cD{i * 7919 % 100000:05d}eFgHiJ" for i in range(3000))
+    (row,) = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert sum(s.kind == "assign" for s in row.spans) == 3000 and sum(s.kind == "entropy" for s in row.spans) > 2500
+
+
+def test_a_key_that_holds_an_allowed_run_is_found(spark):
+    key = "q8Zr00000000fK2mT9xW4bLp7VnYc3JdSgHa6Ee1"
+    rows = [(1, key), (2, "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"), (3, "sample-Key-00000000-aB1")]
+    got = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: len(r.spans) for r in got} == {1: 1, 2: 0, 3: 0}
+
+
+def plain_entropy_spans(text):
+    """Candidates, allow list, base spans and entropy peaks in plain Python."""
+    base, out = base_spans(text), []
+    for m in re.finditer(secrets.CANDIDATE, text or ""):
+        value = m[0]
+        bits = next((c.bits for c in secrets.CLASSES if re.match(c.pattern, value)), None)
+        if bits is None or any(s < m.end() and m.start() < e for s, _, e in base):
+            continue
+        if any(re.search(a, value) and len(re.sub(a, "", value)) <= 0.75 * len(value) for a in secrets.ALLOWED):
+            continue
+        if entropy_peak(value, 20) >= bits - 1e-9:
+            out.append((m.start(), 3, m.end()))
+    return out
+
+
+def test_spans_of_the_query_over_the_whole_table(spark, tables):
+    kinds = ("assign", "access", "hex", "entropy")
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text").collect()}
+    for row in queries.op10_secret_scan(spark, tables).collect():
+        spans = sorted(base_spans(texts[row.doc_id]) + plain_entropy_spans(texts[row.doc_id]))
+        assert row.spans == ",".join(f"{kinds[k]}:{s}:{e}" for s, k, e in spans), row.doc_id
