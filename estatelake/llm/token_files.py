@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -74,8 +75,6 @@ class Shard:
     """A shard opened for reading; only what is asked for is read."""
 
     def __init__(self, uri: str):
-        from pyarrow import fs
-
         system, path = fs.FileSystem.from_uri(uri)
         self.file = system.open_input_file(path)
         if self._at(0, 8) != MAGIC:
@@ -108,6 +107,30 @@ class Shard:
             start = end
 
 
+#: Schemes of Hadoop file systems under the names that Arrow has for them.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfs", "wasb": "abfs"}
+
+
+def task_folder(spark: SparkSession, folder: str) -> str:
+    """The folder as tasks can open it: qualified by the cluster's file system, under a scheme that Arrow knows.
+
+    A folder without a scheme lies on the cluster's default file system and not on
+    each executor's disk. Schemes that tasks could not open are refused here,
+    before any work.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    scheme, rest = system.makeQualified(path).toUri().toString().split(":", 1)
+    uri = f"{ARROW_SCHEMES.get(scheme, scheme)}:{rest}"
+    if uri.startswith("file:/") and not uri.startswith("file:///"):
+        uri = "file://" + uri[5:]
+    try:
+        fs.FileSystem.from_uri(uri)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as unknown:
+        raise ValueError(f"token files cannot be written to {folder}: tasks cannot open {scheme}") from unknown
+    return uri
+
+
 def write_token_files(
     docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, id_col: str = "doc_id",
     text_col: str = "text", shard_ids: int = SHARD_IDS, block: int = BLOCK,
@@ -144,11 +167,9 @@ def write_token_files(
             )
 
     encoded = rows.mapInArrow(encode, "part int, doc_id long, ids binary")
-    target = f"{folder}/shards"
+    target = task_folder(spark, f"{folder}/shards")
 
     def write(batches):
-        from pyarrow import fs
-
         own = text_ids(tokenizer)
         width, kind = bits_for(own.vocabulary), "<u2" if own.vocabulary <= 1 << 16 else "<u4"
         doc_ids, data, held, made, part = [], [], 0, 0, None
