@@ -1,12 +1,13 @@
 """Line dedup: an exact set-similarity join of lines, after which later matches go.
 
 A line is the set of its words. Words have one global order, rarest first, from
-counts over all documents. Two lines of a Jaccard similarity of at least t share
+counts over all documents; a word that occurs once is in no list. Two lines of a Jaccard similarity of at least t share
 a word among their first |x| - ceil(t |x|) + 1 words, so lines are listed under
 these (prefix filter). Within a list, pairs must have fitting sizes (length
 filter), enough words left behind the shared one (positional filter) and
 signatures that do not differ in more words than they may (each word turns one
-bit of 64, twice over). What is left is verified on the whole sets.
+bit of 64, twice over, or one of 256 in a longer line). What is left is verified
+on the whole sets.
 
 Equal sets are one class from the start, so a line that a third of all documents
 repeat is one entry. Only the earliest candidates of a class travel to the
@@ -20,19 +21,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estatelake.llm.common import scratch, small_batches, stored, text_of
+from estatelake.llm.common import scratch, small_batches, stored, text_of, unused
 
 SIMILARITY = 0.8
-#: Words are counted in this many buckets: a table of fixed size, whatever the vocabulary.
-BUCKETS = 1 << 18
+#: Words are counted in this many buckets, of which a table keeps one byte each (16 MB). Words that
+#: share a bucket count together: that may order them worse, it never changes a result.
+BUCKETS = 1 << 24
+#: Words that a task counts before it hands out its counts.
+COUNTED = 1 << 21
+#: Buckets of one row of the table.
+SLICE = 1 << 16
 #: Candidates of a class under one word that are tried, round by round: the earliest, more of them, all.
 TRIES = (3, 48, None)
 #: Entries of a list that one task pairs; longer lists are cut into blocks that meet in pairs.
 LIST = 8192
 AT_ONCE = 1 << 16
 NEAR = 64
-BLOOM_WORDS = 1 << 19
+#: Bits per row of a bit table, and its words of 64 bits at least and at most (32 MB).
+BITS_EACH, LEAST_WORDS, MOST_WORDS = 16, 1 << 14, 1 << 22
 NO_ID = (1 << 63) - 1
+#: Lines of so many words have one signature of 256 bits, shorter ones two of 64. The four parts
+#: of the wide one put together are the first narrow one.
+WIDE = 64
+SIGNATURES = ("sig", "sig2", "sig3", "sig4")
 
 
 def stir(x: np.ndarray, factor: int) -> np.ndarray:
@@ -45,7 +56,7 @@ def words_of(line: str) -> list[bytes]:
 
 
 #: Bytes of text that are taken apart at once.
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 LETTER = stir(np.arange(1, 257, dtype=np.uint64) << np.uint64(32), 0x9E3779B97F4A7C15) | np.uint64(1)
 
@@ -74,7 +85,7 @@ class LineSets:
     64 bits and then stirred, so all words of all pieces are hashed at once.
     """
 
-    def __init__(self, pieces: list[tuple[int, int, str]], rank: np.ndarray | None):
+    def __init__(self, pieces: list[tuple[int, int, str]], levels: np.ndarray | None):
         data = np.frombuffer("\n".join(p[2] for p in pieces).encode().lower(), np.uint8)
         blank = BLANK[data]
         edge = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8)))
@@ -92,12 +103,12 @@ class LineSets:
         places = stir(np.arange(1, int(length.max(initial=0)) + 2, dtype=np.uint64), 0xC2B2AE3D27D4EB4F) | np.uint64(1)
         values = LETTER[data[~blank]] * places[place]
         every = stir(np.add.reduceat(values, offsets), 0xFF51AFD7ED558CCD) if len(begin) else np.empty(0, np.uint64)
-        if rank is None:
+        if levels is None:
             self.ids = every
             return
-        # Line, rank and the upper bits of the word in one key; the rest of the word breaks ties.
-        place = rank[(every & np.uint64(BUCKETS - 1)).astype(np.int64)]
-        key = (at.astype(np.uint64) << np.uint64(43)) | (place.astype(np.uint64) << np.uint64(25)) | (every >> np.uint64(39))
+        # Line, level and the upper bits of the word in one key; the rest of the word breaks ties.
+        level = levels[(every & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.uint64)
+        key = (at.astype(np.uint64) << np.uint64(42)) | (level << np.uint64(34)) | (every >> np.uint64(30))
         order = np.argsort(key)
         ordered, ids = key[order], every[order]
         if ((ordered[1:] == ordered[:-1]) & (ids[1:] != ids[:-1])).any():
@@ -108,19 +119,30 @@ class LineSets:
         self.ids, at = every[new], at[new]
         self.n = np.bincount(at, minlength=len(used))
         self.start = np.cumsum(self.n) - self.n
+        # Words that occur once anywhere stand first.
+        alone = levels[(self.ids & np.uint64(BUCKETS - 1)).astype(np.int64)] == 0
+        self.alone = np.bincount(at[alone], minlength=len(used))
         if len(used):
             self.k1 = np.add.reduceat(stir(self.ids, 0x9E3779B97F4A7C15), self.start).view(np.int64)
             self.k2 = np.bitwise_xor.reduceat(stir(self.ids, 0xC2B2AE3D27D4EB4F), self.start).view(np.int64)
             mixed = stir(self.ids, 0xFF51AFD7ED558CCD)
-            for name, shift in (("sig", 58), ("sig2", 52)):
-                bits = np.uint64(1) << ((mixed >> np.uint64(shift)) & np.uint64(63))
-                setattr(self, name, np.bitwise_xor.reduceat(bits, self.start).view(np.int64))
+            bit = np.uint64(1) << (mixed >> np.uint64(58))
+            quarter = (mixed >> np.uint64(56)) & np.uint64(3)
+            wide = [np.bitwise_xor.reduceat(np.where(quarter == q, bit, np.uint64(0)), self.start) for q in range(4)]
+            other = np.bitwise_xor.reduceat(np.uint64(1) << ((mixed >> np.uint64(50)) & np.uint64(63)), self.start)
+            short = self.n < WIDE
+            zero = np.zeros(len(self.n), np.uint64)
+            narrow = [wide[0] ^ wide[1] ^ wide[2] ^ wide[3], other, zero, zero]
+            for name, a, b in zip(SIGNATURES, narrow, wide, strict=True):
+                setattr(self, name, np.where(short, a, b).view(np.int64))
         else:
-            self.k1 = self.k2 = self.sig = self.sig2 = np.empty(0, np.int64)
+            self.k1 = self.k2 = np.empty(0, np.int64)
+            for name in SIGNATURES:
+                setattr(self, name, self.k1)
 
-    def parts(self, count: np.ndarray, kind: str, chosen: np.ndarray | None = None) -> pa.Array:
-        """The first ``count`` words of each (chosen) line as a binary array; u4 takes the upper half."""
-        start = self.start if chosen is None else self.start[chosen]
+    def parts(self, skip: np.ndarray, count: np.ndarray, kind: str) -> pa.Array:
+        """``count`` words of each line after the first ``skip``, as a binary array; u4 takes the upper half."""
+        start = self.start + skip
         total = int(count.sum())
         at = np.repeat(start - (np.cumsum(count) - count), count) + np.arange(total)
         data = self.ids[at]
@@ -130,36 +152,72 @@ class LineSets:
             pa.binary(), len(count), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)]
         )
 
+    def prefixes(self, t: float) -> tuple[np.ndarray, pa.Array]:
+        """Words that are passed over because nothing shares them, and the rest of each prefix."""
+        skip = np.minimum(self.alone, prefix_length(self.n, t))
+        # Up to three words at 0.8, only an equal set is similar, and that is the same class.
+        small = np.floor(self.n / t + 1e-9) <= self.n
+        small &= np.ceil(self.n * t - 1e-9) >= self.n
+        skip = np.where(small, prefix_length(self.n, t), skip)
+        return skip, self.parts(skip, prefix_length(self.n, t) - skip, "<u4")
+
 
 def prefix_length(n: np.ndarray, t: float) -> np.ndarray:
     return (n - np.ceil(t * n - 1e-9) + 1).astype(np.int64)
 
 
-def word_ranks(rows: DataFrame) -> np.ndarray:
-    """The rank of each bucket of words by its count over all documents, rarest first."""
+def word_levels(rows: DataFrame) -> np.ndarray:
+    """The level of each bucket of words by its count over all documents: 0 for one occurrence, then finer logarithms."""
     def count(batches):
-        total = np.zeros(BUCKETS, np.int64)
+        held, n = [], 0
+
+        def counts():
+            bucket, many = np.unique(np.concatenate(held), return_counts=True)
+            for i in range(0, len(bucket), 1 << 15):
+                part = slice(i, i + (1 << 15))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[part]), pa.array(many[part])], ["bucket", "n"])
+
         for batch in batches:
             for pieces in chunks_of(batch.column("text").to_pylist()):
-                ids = LineSets(pieces, None).ids
-                total += np.bincount((ids & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-        seen = np.flatnonzero(total)
-        for i in range(0, len(seen), 1 << 14):
-            part = seen[i : i + (1 << 14)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["bucket", "n"])
-
-    counted = rows.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    found = counted.toArrow()  # at most BUCKETS rows
-    total = np.zeros(BUCKETS, np.int64)
-    total[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
-    rank = np.empty(BUCKETS, np.int64)
-    rank[np.lexsort((np.arange(BUCKETS), total))] = np.arange(BUCKETS)
-    return rank
-
-
-ENTRY = ["word", "n", "pos", "k", "sig", "sig2", "doc", "line"]
+                held.append((LineSets(pieces, None).ids & np.uint64(BUCKETS - 1)).astype(np.int32))
+                n += len(held[-1])
+                if n > COUNTED:
+                    yield from counts()
+                    held, n = [], 0
+        if held:
+            yield from counts()
+
+    def pack(batches):
+        own, now = None, None
+        for batch in batches:
+            bucket, n = batch.column("bucket").to_numpy(), batch.column("n").to_numpy()
+            level = np.minimum(255, np.where(n == 1, 0, 1 + np.floor(8 * np.log2(n)))).astype(np.uint8)
+            cuts = np.flatnonzero(np.diff(bucket // SLICE)) + 1
+            for at, some in zip(np.split(bucket, cuts), np.split(level, cuts), strict=True):
+                if len(at) and at[0] // SLICE != now:
+                    if own is not None:
+                        yield row(now, own)
+                    own, now = np.zeros(SLICE, np.uint8), int(at[0] // SLICE)
+                if len(at):
+                    own[at % SLICE] = some
+        if own is not None:
+            yield row(now, own)
+
+    def row(number, own):
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([own.tobytes()])], ["slice", "levels"])
+
+    counted = rows.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    own_slice = F.expr(f"bucket div {SLICE}")
+    dealt = counted.repartition(own_slice).sortWithinPartitions("bucket")
+    table = np.zeros(BUCKETS, np.uint8)
+    for number, own in dealt.mapInArrow(pack, "slice int, levels binary").collect():  # BUCKETS bytes at most
+        table[number * SLICE : (number + 1) * SLICE] = np.frombuffer(own, np.uint8)
+    return table
+
+
+ENTRY = ["word", "n", "pos", "k", *SIGNATURES, "doc", "line"]
 #: As entries travel: word and line, and size and position, share a number each.
-PACKED = ["wl", "np", "k", "sig", "sig2", "doc"]
+PACKED = ["wl", "np", "k", *SIGNATURES, "doc"]
 PACKED_SCHEMA = ", ".join(f"{c} long" for c in PACKED)
 WORD = "shiftright(wl, 32)"
 
@@ -175,9 +233,19 @@ def may_match(e: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, t: float)
     need = np.ceil(t / (1 + t) * (a + b) - 1e-9).astype(np.int64)
     ok = np.minimum(a, b) >= t * np.maximum(a, b) - 1e-9
     ok &= np.minimum(a - e["pos"][i], b - e["pos"][j]) >= need
-    for sig in ("sig", "sig2"):
-        ok &= np.bitwise_count(e[sig][i].view(np.uint64) ^ e[sig][j].view(np.uint64)) <= a + b - 2 * need
-    return ok & (e["k"][i] != e["k"][j])
+    ok &= e["k"][i] != e["k"][j]
+    left = np.flatnonzero(ok)
+    i, j, apart = i[left], j[left], (a + b - 2 * need)[left]
+    wide_i, wide_j = a[left] >= WIDE, b[left] >= WIDE
+    parts = [np.bitwise_count((e[x][i] ^ e[x][j]).view(np.uint64)).astype(np.int64) for x in SIGNATURES]
+
+    def whole(at, wide):
+        return np.where(wide, e["sig"][at] ^ e["sig2"][at] ^ e["sig3"][at] ^ e["sig4"][at], e["sig"][at])
+
+    fits = np.bitwise_count((whole(i, wide_i) ^ whole(j, wide_j)).view(np.uint64)) <= apart
+    fits &= np.where(wide_i & wide_j, sum(parts), np.where(wide_i | wide_j, 0, parts[1])) <= apart
+    ok[left[~fits]] = False
+    return ok
 
 
 def list_pairs(e: dict[str, np.ndarray], t: float, other: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -233,21 +301,35 @@ def pair_batch(
     )
 
 
-def entries_of(classes: DataFrame, t: float) -> DataFrame:
-    """Each class under the words of its prefix."""
+def entries_of(classes: DataFrame, t: float, words_of_interest: np.ndarray | None = None) -> DataFrame:
+    """Each class under the words of its prefix, or under those of a bit table only."""
 
     def run(batches):
         for batch in batches:
-            n = batch.column("n").to_numpy()
-            count = prefix_length(n, t)
+            n, skip = batch.column("n").to_numpy(), batch.column("skip").to_numpy()
+            count = prefix_length(n, t) - skip
             at = np.repeat(np.arange(len(n)), count)
             words = np.frombuffer(b"".join(batch.column("prefix").to_pylist()), "<u4").astype(np.int64)
-            pos = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
-            own = {c: batch.column(c).to_numpy()[at] for c in ("k1", "sig", "sig2", "doc", "line")}
+            pos = np.arange(len(at)) - np.repeat(np.cumsum(count) - count - skip, count)
+            if words_of_interest is not None:
+                some = is_set(words_of_interest, key_spot(words))
+                at, words, pos = at[some], words[some], pos[some]
+            own = {c: batch.column(c).to_numpy()[at] for c in ("k1", *SIGNATURES, "doc", "line")}
             e = {"word": words, "n": n[at], "pos": pos, "k": own.pop("k1"), **own}
             yield pa.RecordBatch.from_arrays(packed(e), PACKED)
 
-    return classes.select("n", "prefix", "k1", "sig", "sig2", "doc", "line").mapInArrow(run, PACKED_SCHEMA)
+    return classes.where("length(prefix) > 0").select("n", "skip", "prefix", "k1", *SIGNATURES, "doc", "line").mapInArrow(run, PACKED_SCHEMA)
+
+
+def prefix_words(classes: DataFrame, keys: np.ndarray) -> DataFrame:
+    """The prefix words of the classes of a bit table of keys."""
+    def run(batches):
+        for batch in batches:
+            some = is_set(keys, key_spot(batch.column("k1").to_numpy()))
+            words = np.frombuffer(b"".join(batch.column("prefix").filter(pa.array(some)).to_pylist()), "<u4")
+            yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int64))], ["word"])
+
+    return classes.where("length(prefix) > 0").select("k1", "prefix").mapInArrow(run, "word long").distinct()
 
 
 def _columns(batch) -> dict[str, np.ndarray]:
@@ -359,11 +441,11 @@ def candidates(
     return pairs.unionByName(met)
 
 
-def verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, rank: np.ndarray, t: float, folder: str) -> DataFrame:
+def verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, levels, t: float, folder: str) -> DataFrame:
     """(later, hit): which classes have a similar earlier one among ``pairs``; exact, on whole sets.
 
     The sets are read off the texts again: only the first line of each class in
-    question is sent on, found by a bit table of fixed size.
+    question is sent on, found by a bit table of bounded size.
     """
     wanted = pairs.select(F.col("later").alias("k1")).unionByName(pairs.select(F.col("earlier").alias("k1"))).distinct()
     first = stored(
@@ -388,14 +470,14 @@ def verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, rank: np.nda
                 kept.append((d, int(line[k]), held[1][line[k]]))
                 size += len(kept[-1][2])
                 if size > CHUNK:
-                    yield whole(LineSets(kept, rank), docs)
+                    yield whole(LineSets(kept, levels.value), docs)
                     kept, size = [], 0
             if kept:
-                yield whole(LineSets(kept, rank), docs)
+                yield whole(LineSets(kept, levels.value), docs)
 
     def whole(sets, docs):
         return pa.RecordBatch.from_arrays(
-            [pa.array(sets.k1), pa.array(docs[sets.doc]), pa.array(sets.line), sets.parts(sets.n, "<u8")],
+            [pa.array(sets.k1), pa.array(docs[sets.doc]), pa.array(sets.line), sets.parts(0 * sets.n, sets.n, "<u8")],
             ["k1", "doc", "line", "tokens"],
         )
 
@@ -429,31 +511,36 @@ def verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, rank: np.nda
 
 
 def spot_of(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """The place of a line in the bit table."""
+    """A number of a line, of which a bit table takes the lower bits."""
     mixed = stir(doc.astype(np.int64).view(np.uint64), 0x9E3779B97F4A7C15) + line.astype(np.int64).view(np.uint64)
-    return stir(mixed, 0xC2B2AE3D27D4EB4F) & np.uint64(BLOOM_WORDS * 64 - 1)
+    return stir(mixed, 0xC2B2AE3D27D4EB4F)
 
 
 def key_spot(key: np.ndarray) -> np.ndarray:
-    """The place of a class in the bit table."""
-    return stir(key.view(np.uint64), 0x9E3779B97F4A7C15) & np.uint64(BLOOM_WORDS * 64 - 1)
+    """A number of a class, of which a bit table takes the lower bits."""
+    return stir(key.view(np.uint64), 0x9E3779B97F4A7C15)
 
 
-def is_set(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+def is_set(table: np.ndarray, spot: np.ndarray) -> np.ndarray:
+    at = spot & np.uint64(len(table) * 64 - 1)
     return ((table[(at >> np.uint64(6)).view(np.int64)].view(np.uint64) >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
 def bit_table(df: DataFrame, place) -> np.ndarray:
-    """A table of fixed size with the bit of every row set; ``place`` gives it from the row's columns."""
+    """A table with the bit of every row set; ``place`` gives it from the row's columns.
+
+    Its size follows from the number of rows and is bounded; a fuller table lets more through.
+    """
+    size = min(MOST_WORDS, max(LEAST_WORDS, 1 << (df.count() * BITS_EACH // 64).bit_length()))
 
     def spots(batches):
         for batch in batches:
-            at = place(*(c.to_numpy() for c in batch.columns))
+            at = place(*(c.to_numpy() for c in batch.columns)) & np.uint64(size * 64 - 1)
             bits = (np.uint64(1) << (at & np.uint64(63))).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).view(np.int64)), pa.array(bits)], ["word", "bits"])
 
     words = df.mapInArrow(spots, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    table = np.zeros(BLOOM_WORDS, np.int64)
+    table = np.zeros(size, np.int64)
     table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return table
 
@@ -475,38 +562,37 @@ def kept_lines(
     small_batches(spark)
     folder = folder or scratch(spark, "lines")
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), text_of(text_col).alias("text"))
-    rank = word_ranks(rows)
+    levels = spark.sparkContext.broadcast(word_levels(rows))
 
     def read(batches):
         for batch in batches:
             docs = batch.column("doc").to_numpy()
             for pieces in chunks_of(batch.column("text").to_pylist()):
-                s = LineSets(pieces, rank)
+                s = LineSets(pieces, levels.value)
+                skip, prefix = s.prefixes(similarity)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(s.k1), pa.array(s.k2), pa.array(docs[s.doc]), pa.array(s.line),
-                     pa.array(s.n.astype(np.int32)), pa.array(s.sig), pa.array(s.sig2), s.parts(prefix_length(s.n, similarity), "<u4")],
-                    ["k1", "k2", "doc", "line", "n", "sig", "sig2", "prefix"],
+                     pa.array(s.n.astype(np.int32)), pa.array(skip.astype(np.int32)),
+                     *(pa.array(getattr(s, name)) for name in SIGNATURES), prefix],
+                    ["k1", "k2", "doc", "line", "n", "skip", *SIGNATURES, "prefix"],
                 )
 
-    lines = rows.mapInArrow(read, "k1 long, k2 long, doc long, line int, n int, sig long, sig2 long, prefix binary")
-    first = F.min(F.struct("doc", "line", "n", "sig", "sig2", "prefix")).alias("first")
+    signatures = ", ".join(f"{name} long" for name in SIGNATURES)
+    lines = rows.mapInArrow(read, f"k1 long, k2 long, doc long, line int, n int, skip int, {signatures}, prefix binary")
+    first = F.min(F.struct("doc", "line", "n", "skip", *SIGNATURES, "prefix")).alias("first")
     classes = stored(lines.groupBy("k1", "k2").agg(first).select("k1", "k2", "first.*"), f"{folder}/classes")
-    entries = entries_of(classes, similarity)
     gone, open_ = None, None
     for number, some in enumerate(tries):
         place = f"{folder}/round-{number}"
         if open_ is None:
-            pairs = candidates(entries, similarity, some, place, most)
+            pairs = candidates(entries_of(classes, similarity), similarity, some, place, most)
         else:
-            # Earlier candidates failed and there were more: the lists that the open classes are in.
-            asked = stored(
-                entries.join(open_, F.col("k") == F.col("k1")).select(F.expr(WORD).alias("word")).distinct(), f"{place}/words"
-            )
-            again = entries.join(asked, F.expr(WORD) == F.col("word"), "left_semi")
-            pairs = candidates(again, similarity, some, place, most, bit_table(open_, key_spot)).join(
-                open_.select(F.col("k1").alias("later")).hint("merge"), "later", "left_semi"
-            )
-        checked = stored(verified(rows, classes, pairs, rank, similarity, place), f"{place}/checked")
+            # Earlier candidates failed and there were more: the lists that the open classes are in, found by
+            # bit tables of their keys and words. What these let through beside them is only tried in vain.
+            keys = bit_table(open_, key_spot)
+            again = entries_of(classes, similarity, bit_table(prefix_words(classes, keys), key_spot))
+            pairs = candidates(again, similarity, some, place, most, keys)
+        checked = stored(verified(rows, classes, pairs, levels, similarity, place), f"{place}/checked")
         found = checked.where("hit").select(F.col("later").alias("k1"))
         gone = found if gone is None else gone.unionByName(found)
         open_ = stored(checked.where("NOT hit AND more").select(F.col("later").alias("k1")), f"{place}/open")
@@ -524,15 +610,16 @@ def without_repeats(docs: DataFrame, folder: str | None = None, id_col: str = "d
     """
     keep = kept_lines(docs, folder, id_col=id_col, text_col=text_col, **kw)
     names = docs.columns
-    marked = docs.withColumn("_doc", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).join(
-        keep.select(F.col("doc").alias("_doc"), F.col("lines").alias("_lines")).hint("merge"), "_doc", "left"
+    doc, kept = unused(docs, "_doc", "_lines")
+    marked = docs.withColumn(doc, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).join(
+        keep.select(F.col("doc").alias(doc), F.col("lines").alias(kept)).hint("merge"), doc, "left"
     )
     place = names.index(text_col)
 
     def cut(batches):
         for batch in batches:
             out = []
-            for text, lines in zip(batch.column(place).to_pylist(), batch.column("_lines").to_pylist(), strict=True):
+            for text, lines in zip(batch.column(place).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
                 if text is not None:
                     stay = set(lines or ())
                     text = "\n".join(x for i, x in enumerate(text.split("\n")) if i in stay or not words_of(x))
@@ -540,4 +627,4 @@ def without_repeats(docs: DataFrame, folder: str | None = None, id_col: str = "d
             columns = [pa.array(out, pa.string()) if i == place else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return marked.select(*names, "_lines").mapInArrow(cut, docs.schema)
+    return marked.select(*names, kept).mapInArrow(cut, docs.schema)

@@ -1,74 +1,38 @@
-import random
-from itertools import combinations
-
-import pytest
-
-from estatelake.llm.simhash import one_per_group, shingle_set, similarity
-
-
-def jaccard(a, b):
-    return similarity(shingle_set(a, 5).tobytes(), shingle_set(b, 5).tobytes())
-
-
-def plain_kept(docs):
-    """Smallest id of each component over all pairs of Jaccard 0.8 or more."""
-    parent = {i: i for i in docs}
+"""One document of each component of near copies."""
 
-    def find(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    sets = {i: set(shingle_set(t, 5).tolist()) for i, t in docs.items()}
-    for i, j in combinations(sorted(docs), 2):
-        x, y = sets[i], sets[j]
-        if (len(x & y) >= 0.8 * len(x | y)) if x or y else True:
-            a, b = sorted((find(i), find(j)))
-            parent[b] = a
-    return {i for i in docs if find(i) == i}
-
-
-def kept(spark, tmp_path, docs, **options):
-    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
-    return sorted(r["doc_id"] for r in one_per_group(df, str(tmp_path), **options).collect())
+import random
 
+from test_simhash import plain_components, plain_print
 
-def changed(pick, words, times):
-    words = list(words)
-    for _ in range(times):
-        words[pick.randrange(len(words))] = f"x{pick.randrange(10**9)}"
-    return words
+from estatelake.llm.simhash import one_per_group
 
 
-@pytest.mark.parametrize("short", [64, 3])
-def test_one_of_each_group_by_all_pairs(spark, tmp_path, short):
-    pick, docs = random.Random(short), {}
-    for _ in range(12):
-        words = [f"w{pick.randrange(3000)}" for _ in range(300)]
-        for _ in range(8):
-            docs[pick.randrange(10**6)] = " ".join(words)
-            words = changed(pick, words, pick.choice([0, 1, 3, 5, 7, 9]))
-    docs |= {3: "", 2: " \n"}
-    want = plain_kept(docs)
-    assert len(want) < len(docs) - 30
-    assert kept(spark, tmp_path, docs, short=short) == sorted(want)
+def kept(spark, tmp_path, rows, **options):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["text"] or "") for r in one_per_group(df, str(tmp_path), **options).collect())
 
 
-def test_members_of_a_chain_go(spark, tmp_path):
-    """B and C are near copies of each other and under 0.8 to the head; D is one of B only."""
-    words = [f"w{i}" for i in range(200)]
+def test_equals_all_pairs(spark, tmp_path):
+    pick = random.Random(4)
+    base = [[f"w{pick.randrange(400)}" for _ in range(200)] for _ in range(30)]
+    rows = []
+    for i in range(200):
+        words = list(pick.choice(base))
+        for _ in range(pick.choice([0, 0, 1, 2, 9])):
+            words[pick.randrange(200)] = "x"
+        rows.append((i * 37 % 1009, " ".join(words)))
+    ids = [i for i, _ in rows]
+    roots = plain_components(ids, [plain_print(t, 3) for _, t in rows])
+    want = sorted(row for row, root in zip(rows, roots, strict=True) if row[0] == root)
+    assert kept(spark, tmp_path, rows) == want and 30 <= len(want) < 200
 
-    def cut(*places):
-        return " ".join(f"y{p}" if i in places else w for i, (w, p) in enumerate(zip(words, range(200), strict=True)))
 
-    head, mid, b, c = cut(), cut(20, 60, 100), cut(20, 60, 100, 140, 170), cut(20, 60, 100, 140, 180)
-    assert jaccard(head, mid) >= 0.8 and jaccard(mid, b) >= 0.8 > jaccard(head, b) and jaccard(head, c) < 0.8
-    assert kept(spark, tmp_path, {1: head, 2: mid, 3: b, 4: c}) == [1]
+def test_null_ids_repeats_and_empty_texts(spark, tmp_path):
+    rows = [(5, "a b c d"), (5, "a b c d"), (3, "a b c d"), (None, "a b c d"), (None, "q r s t u"), (None, "q r s t u"),
+            (9, None), (8, ""), (7, " "), (3, "other words are here")]
+    assert kept(spark, tmp_path, rows) == [(-1, "q r s t u"), (-1, "q r s t u"), (3, "a b c d"), (3, "other words are here"), (7, " ")]
 
 
-def test_null_ids_stay_unless_an_id_is_near(spark, tmp_path):
-    text, other = " ".join(f"w{i}" for i in range(50)), " ".join(f"v{i}" for i in range(50))
-    rows = [(None, text), (7, text.upper()), (None, other), (None, other + " end"), (9, "one"), (9, "one")]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    left = sorted(((r["doc_id"] or 0, r["text"]) for r in one_per_group(df, str(tmp_path)).collect()))
-    assert left == sorted([(7, text.upper()), (0, other), (0, other + " end"), (9, "one"), (9, "one")])
+def test_one_hot_group(spark, tmp_path):
+    rows = [(i, "one text of many copies") for i in range(1000, 0, -1)] + [(2000, "another one that stays here")]
+    assert kept(spark, tmp_path, rows) == [(1, "one text of many copies"), (2000, "another one that stays here")]

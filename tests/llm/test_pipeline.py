@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_line_dedup import plain as kept_plain
 from test_mixing import plain_rake
 from test_simhash import plain_components, plain_print
@@ -10,7 +11,6 @@ import __spark_entry__ as entry
 import corpus_pipeline as pipeline
 from estatelake.llm import queries, toxicity
 from estatelake.llm.mixing import Mix, topic_of
-from estatelake.llm.simhash import shingle_set, similarity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -51,17 +51,30 @@ def test_line_dedup(stages):
 
 
 def test_near_copies(stages):
+    """All pairs of fingerprints of three-word shingles, at most three bits apart; the smallest id of what they connect stays."""
     ids = sorted(stages[2])
-    texts = {i: stages[2][i]["text"] for i in ids}
-    group = dict(zip(ids, plain_components(ids, [plain_print(texts[i], 5) for i in ids]), strict=True))
-    sets = {i: shingle_set(texts[i], 5).tobytes() for i in ids}
-    seen, want = set(), set()
-    for i in ids:
-        near = similarity(sets[i], sets[group[i]]) >= 0.8
-        if i == group[i] or (not near and (group[i], sets[i]) not in seen):
-            want.add(i)
-        seen.add((group[i], sets[i]))
-    assert set(stages[3]) == want
+    prints = [plain_print(stages[2][i]["text"], 3) for i in ids]
+    want = {i for i, root in zip(ids, plain_components(ids, prints), strict=True) if i == root}
+    assert set(stages[3]) == want and all(stages[3][i] == stages[2][i] for i in want)
+    assert len(want) < len(ids)
+
+
+def test_stages_with_odd_rows_and_clashing_names(spark, tables):
+    """Nulls, empty and repeated rows and columns with the names that stages use inside go through every stage."""
+    names = ("_id", "_key", "_doc", "_lines", "_topic", "_tokens", "_probability", "_kept", "_source_key", "offset", "sequence_id")
+    rows = [(1, "a b c d\ne f", "en", "s", 5), (1, "a b c d\ne f", "en", "s", 5), (None, None, None, None, None),
+            (2, "", None, "s", 0), (3, "a b c d", "de", None, None), (4, " \n ", "de", "t", 3), (None, "x y z", "de", "t", 3)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    extra = plain.withColumns({name: F.concat(F.lit("mine "), F.coalesce("text", F.lit(""))) for name in names})
+    texts = lambda df: sorted((r["doc_id"] or -1, r["text"] or "") for r in df.collect())
+    for _, stage in pipeline.STAGES[:-1]:
+        with_extra, without = stage(spark, extra, tables), stage(spark, plain, tables)
+        assert with_extra.columns == extra.columns and texts(with_extra) == texts(without)
+        assert all(r[name].startswith("mine ") for r in with_extra.collect() for name in names)
+        assert stage(spark, plain.limit(0), tables).count() == 0
+    pieces = pipeline.pack_sequences(spark, extra, tables)
+    assert len(set(pieces.columns)) == len(pieces.columns) and pieces.count() == len(rows)
+    assert pipeline.pack_sequences(spark, plain.limit(0), tables).count() == 0
 
 
 def test_mixing(stages):
