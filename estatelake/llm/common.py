@@ -38,6 +38,17 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores added as it takes to be no column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def running(values: Column, merge, zero: Column, block: int = 256) -> Column:
     """Running ``merge`` of an array's elements (each one included), from ``zero`` on.
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estatelake.llm.common import scratch, small_batches, stored
+from estatelake.llm.common import scratch, small_batches, stored, unused
 
 TOPICS = 8
 DIMS = ("source", "lang", "topic")
@@ -120,6 +120,16 @@ def draw(key: Column, seed: str) -> Column:
     return F.conv(digits, 16, 10).cast("double") / float(16**12)
 
 
+#: Columns that ``mixed`` adds.
+RESULTS = ("_topic", "_tokens", "_probability", "_kept")
+
+
+def sampled(docs: DataFrame, mix: Mix = Mix(), folder: str | None = None, **columns) -> DataFrame:
+    """The rows that ``mixed`` keeps, with their own columns only."""
+    rows = mixed(docs, mix, folder, **columns).where("_kept").drop(*RESULTS)
+    return rows.withColumnsRenamed({new: old for old, new in zip(RESULTS, unused(docs, *RESULTS), strict=True)})
+
+
 def mixed(
     docs: DataFrame, mix: Mix = Mix(), folder: str | None = None, id_col: str = "doc_id", text_col: str = "text",
     source_col: str = "source", lang_col: str = "lang",
@@ -128,8 +138,10 @@ def mixed(
 
     Sampling goes by the id, so it does not depend on the order of rows and rows
     that repeat an id share their fate. A null source or language is the
-    category "". Texts without words weigh nothing and are kept. Other columns stay.
+    category "". Texts without words weigh nothing and are kept. Other columns stay;
+    one that has the name of a result comes back with underscores after its name.
     """
+    docs = docs.withColumnsRenamed(dict(zip(RESULTS, unused(docs, *RESULTS), strict=True)))
     folder = folder or scratch(docs.sparkSession, "mixing")
     rows = with_topic(docs, text_col)
     keys = [F.coalesce(F.col(source_col), F.lit("")), F.coalesce(F.col(lang_col), F.lit("")), F.col("_topic")]
@@ -141,15 +153,16 @@ def mixed(
     raked = rake(cells, mix, folder)
     peak = raked.agg(F.max("ratio")).first()[0] or 1.0
     scale = 1 / min(peak, mix.boost)
+    names = unused(rows, *(f"_{d}_key" for d in DIMS))
     odds = stored(
         raked.select(
-            *[F.col(d).alias(f"_{d}_key") for d in DIMS],
+            *[F.col(d).alias(x) for d, x in zip(DIMS, names, strict=True)],
             F.least(F.lit(1.0), F.col("ratio") * F.lit(scale)).alias("_probability"),
         ),
         f"{folder}/odds",
     )
     # Joined by size: broadcast while the cells are few, else shuffled with hot sources split.
-    on = [k == F.col(f"_{d}_key") for k, d in zip(keys, DIMS, strict=True)]
+    on = [k == F.col(x) for k, x in zip(keys, names, strict=True)]
     joined = rows.join(odds, on, "left").withColumn("_probability", F.coalesce("_probability", F.lit(1.0)))
     return joined.select(
         *rows.columns, "_probability", (draw(F.col(id_col), mix.seed) < F.col("_probability")).alias("_kept")

@@ -238,12 +238,12 @@ def pack(
 ) -> DataFrame:
     """Add sequence_id and offset to rows that have a ``length`` of 1 to ``capacity``.
 
-    All other columns stay. A row is one piece, also where rows repeat. Sequence
+    All other columns stay, but for such as have the name of a result. A row is one piece, also where rows repeat. Sequence
     numbers have gaps; offsets are gapless from 0.
     """
     spark = pieces.sparkSession
     folder = folder or scratch(spark, "packing")
-    own = pieces.columns
+    own = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     if {"_uid", "_rank", "_seq", "_space", "_part", "_n", "_before"} & set(own):
         raise ValueError("columns that begin with an underscore are used here")
     pieces = stored(pieces.withColumn("_uid", F.monotonically_increasing_id()), f"{folder}/pieces")

@@ -9,10 +9,6 @@ Within a list, shared positional bytes are tallied per pair, pairs that reach
 the minimum are verified bit by bit, and only a forest of the links leaves the
 task. A list of very many fingerprints is listed again under five positional
 bytes, which leaves 24 free bits and so bounds a list whatever the corpus.
-
-Three bits are far fewer than texts of Jaccard similarity 0.8 differ in, so
-``one_per_group`` indexes a wider fingerprint of positional bytes, one per
-least shingle hash under an order of its own, and verifies the shingle sets.
 """
 
 from __future__ import annotations
@@ -24,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estatelake.llm.common import scratch, small_batches, stored, text_of
+from estatelake.llm.common import scratch, small_batches, stored, text_of, unused
 from estatelake.llm.components import components
 
 BITS = 3
@@ -282,22 +278,6 @@ def near_duplicates(
     return prints.join(named.hint("merge"), "fp").select("doc_id", "text_key", "fp", "component_id")
 
 
-def shingle_set(text: str, words: int) -> np.ndarray:
-    return np.unique(shingle_hashes(text, words))
-
-
-def similarity(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two sorted sets of u64; of two empty ones 1."""
-    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
-
-
-#: Positional bytes of the wide fingerprint, and shared ones that a pair needs: pairs of Jaccard
-#: similarity 0.8 share 38 on average, fewer than 26 in about 1 of 10**5.
-WIDE, WIDE_SHARED = 48, 26
-#: Nodes of one list that are compared pair by pair at once; longer lists are first held against some heads.
-SHORT_LIST, HEADS = 64, 3
 _DRAW = np.random.Generator(np.random.PCG64(20240301))
 _TURN = _DRAW.integers(0, 1 << 64, 64, np.uint64)
 _FACTOR = _DRAW.integers(0, 1 << 64, 64, np.uint64) | np.uint64(1)
@@ -312,183 +292,23 @@ def minima(hashes: np.ndarray, count: int) -> np.ndarray:
     return least
 
 
-def wide_print(hashes: np.ndarray) -> bytes:
-    """One byte per order: two sets share a byte as often as their Jaccard similarity is high."""
-    return ((minima(hashes, WIDE) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8).tobytes()
-
-
-def _lists_of(batches):
-    """Per key the columns after it, from batches in key order."""
-    key, held = None, []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(0).to_numpy(zero_copy_only=False)
-        cuts = np.flatnonzero(np.diff(keys)) + 1
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)], strict=True):
-            if keys[a] != key and held:
-                yield pa.Table.from_batches(held)
-                held = []
-            key = keys[a]
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _pairs_of_lists(lists: DataFrame) -> DataFrame:
-    """(a, b) of nodes of one list (key, node, root, sig) with different roots and enough shared bytes."""
-
-    def run(batches):
-        for table in _lists_of(batches):
-            node, root = (table.column(n).to_numpy() for n in ("node", "root"))
-            sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, WIDE)
-            for i in range(0, len(node) - 1, 16):
-                shared = np.zeros((len(node[i : i + 16]), len(node) - i), np.int16)
-                for k in range(WIDE):
-                    shared += sig[i : i + 16, None, k] == sig[None, i:, k]
-                a, b = np.nonzero((shared >= WIDE_SHARED) & (root[i : i + 16, None] != root[None, i:]))
-                a, b = a[a < b], b[a < b]
-                if len(a):
-                    low, high = np.minimum(node[a + i], node[b + i]), np.maximum(node[a + i], node[b + i])
-                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
-
-    rows = lists.select("key", "node", "root", "sig").repartition("key").sortWithinPartitions("key", "node")
-    return rows.mapInArrow(run, "a long, b long").distinct()
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose shingles have a Jaccard similarity of at least ``least``."""
-    left = sets.select(F.col("node").alias("a"), F.col("set").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
-
-    def run(batches):
-        for batch in batches:
-            near = [similarity(x, y) >= least for x, y in zip(*(batch.column(n).to_pylist() for n in "xy"), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
-
-    small_batches(pairs.sparkSession)
-    return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
-
-
-def _near_links(classes: DataFrame, sets_of, folder: str, least: float, short: int) -> DataFrame:
-    """Links (a, b) among the classes (node, sig) that join all that verified pairs join."""
-
-    def posted(batches):
-        for batch in batches:
-            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(-1, WIDE)
-            parts = sig.reshape(len(sig), WIDE // 3, 3).astype(np.int64)
-            keys = parts[:, :, 0] | parts[:, :, 1] << 8 | parts[:, :, 2] << 16 | np.arange(WIDE // 3)[None, :] << 24
-            at = np.repeat(np.arange(len(sig)), WIDE // 3)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel()), batch.column("node").take(pa.array(at)), batch.column("sig").take(pa.array(at))],
-                ["key", "node", "sig"],
-            )
-
-    postings = classes.select("node", "sig").mapInArrow(posted, "key long, node long, sig binary")
-    sizes = postings.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    lists = stored(postings.join(sizes.hint("merge"), "key").withColumn("root", F.col("node")), f"{folder}/lists")
-    pairs = stored(_pairs_of_lists(lists.where(F.col("size") <= short)), f"{folder}/pairs")
-    long = lists.where(F.col("size") > short)
-    need = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    sets = sets_of(need.unionByName(long.select("node")).distinct())
-    links = stored(_verified(pairs, sets, least), f"{folder}/links-short")
-    if long.isEmpty():
-        return links
-
-    def rooted(turn) -> DataFrame:
-        """Long lists of more than one root, by the links so far."""
-        roots = components(links, f"{folder}/roots-{turn}").select("node", F.col("root").alias("found"))
-        now = stored(
-            long.select("key", "node", "sig").join(roots.hint("merge"), "node", "left")
-            .select("key", "node", "sig", F.coalesce("found", "node").alias("root")),
-            f"{folder}/rooted-{turn}",
-        )
-        mixed = now.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("m")).where("l != m")
-        return now.join(mixed.select("key").hint("merge"), "key")
-
-    shares = F.udf(lambda x, y: sum(map(int.__eq__, x, y)), "int")
-    for turn in range(HEADS):
-        now = rooted(turn)
-        order = F.xxhash64("node", F.lit(turn))
-        heads = now.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "root", "sig")).alias("head"))
-        tried = (
-            now.join(heads.hint("merge"), "key").where("root != head.root")
-            .where(shares("sig", "head.sig") >= WIDE_SHARED)
-            .select(F.col("node").alias("a"), F.col("head.node").alias("b")).distinct()
-        )
-        links = links.unionByName(stored(_verified(tried, sets, least), f"{folder}/links-{turn}"))
-    rest = _pairs_of_lists(rooted(HEADS))
-    return links.unionByName(stored(_verified(rest, sets, least), f"{folder}/links-rest"))
-
-
 def one_per_group(
-    docs: DataFrame, folder: str | None = None, words: int = 5, least: float = 0.8, id_col: str = "doc_id",
-    text_col: str = "text", short: int = SHORT_LIST,
+    docs: DataFrame, folder: str | None = None, words: int = 3, bits: int = BITS, id_col: str = "doc_id",
+    text_col: str = "text", list_pairs: int = LIST_PAIRS,
 ) -> DataFrame:
-    """The rows with all their columns; of each group of near-duplicates one document stays.
-
-    Documents are linked if their shingles of ``words`` words have a Jaccard
-    similarity of at least ``least`` (0.8 or more), verified on the whole sets;
-    a group is what links connect and its smallest id stays. Candidates are
-    pairs that share three positional bytes in a row of their wide fingerprints
-    and pass the count filter. Texts without words are one group. Rows that
-    repeat id and text are one document. Rows of a null id stay unless a
-    document of their group has an id.
-    """
-    if not 0.8 <= least <= 1:
-        raise ValueError("least must be 0.8 to 1: the count filter is made for that")
-    spark = docs.sparkSession
-    folder = folder or scratch(spark, "one-per-group")
-    names = docs.columns
-    keyed = docs.withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).withColumn(
-        "_key", F.xxhash64(text_of(text_col))
-    )
-    small_batches(spark)
-
-    def prints(batches):
-        import xxhash
+    """The rows with all their columns; of each component of ``near_duplicates`` one document stays, the smallest id.
 
-        for batch in batches:
-            sets = [shingle_set(t, words) for t in batch.column("text").to_pylist()]
-            nodes = np.array([xxhash.xxh64_intdigest(s.astype("<u8").tobytes()) for s in sets], np.uint64).view(np.int64)
-            sig = pa.array([wide_print(s) if len(s) else None for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_key"), pa.array(nodes), sig], ["_id", "_key", "node", "sig"])
-
-    rows = keyed.select("_id", "_key", text_of(text_col).alias("text"))
-    own = stored(rows.mapInArrow(prints, "_id long, _key long, node long, sig binary"), f"{folder}/prints")
-    classes = stored(
-        own.groupBy("node").agg(F.min(F.struct("_id", "_key")).alias("rep"), F.min("sig").alias("sig")), f"{folder}/classes"
-    )
-
-    def sets_of(need: DataFrame) -> DataFrame:
-        def run(batches):
-            for batch in batches:
-                sets = [shingle_set(t, words).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "set"])
-
-        asked = classes.join(need.hint("merge"), "node").select("node", F.col("rep._id").alias("_id"), F.col("rep._key").alias("_key"))
-        found = rows.join(asked.hint("merge"), ["_id", "_key"]).select("node", "text").mapInArrow(run, "node long, set binary")
-        return stored(found.groupBy("node").agg(F.first("set").alias("set")), f"{folder}/sets")
-
-    links = _near_links(classes.where("sig IS NOT NULL"), sets_of, folder, least, short)
-    ends = classes.select("node", F.struct("rep", "node").alias("end"))
-    named = (
-        links.join(ends.select(F.col("node").alias("a"), F.col("end").alias("left")).hint("merge"), "a")
-        .join(ends.select(F.col("node").alias("b"), F.col("end").alias("right")).hint("merge"), "b")
-    )
-    roots = components(named.select(F.col("left").alias("a"), F.col("right").alias("b")), f"{folder}/groups")
-    roots = roots.select(F.col("node.node").alias("node"), F.col("root.rep").alias("root"))
-    heads = stored(
-        classes.select("node", "rep").join(roots.hint("merge"), "node", "left")
-        .select("node", F.coalesce("root", "rep").alias("root")),
-        f"{folder}/heads",
-    )
-    gone = stored(
-        own.select("_id", "_key", "node").join(heads.hint("merge"), "node")
-        .where((F.col("root._id") != NO_ID) & (F.struct("_id", "_key") != F.col("root"))).select("_id", "_key").distinct(),
-        f"{folder}/gone",
-    )
-    return keyed.join(gone.hint("merge"), ["_id", "_key"], "left_anti").select(*names)
+    Rows that repeat an id are one document and stay or go together where their
+    texts are of one component. Rows of a null id stay unless a document of
+    their component has an id. Whole rows move once, against the ids that go.
+    """
+    folder = folder or scratch(docs.sparkSession, "one-per-group")
+    id_, key = unused(docs, "_id", "_key")
+    groups = near_duplicates(docs, f"{folder}/groups", words, bits, id_col, text_col, list_pairs)
+    goes = F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
+    gone = groups.where(goes).select(F.coalesce("doc_id", F.lit(NO_ID)).alias(id_), F.col("text_key").alias(key)).distinct()
+    keyed = docs.withColumns({id_: F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), key: F.xxhash64(text_of(text_col))})
+    return keyed.join(stored(gone, f"{folder}/gone").hint("merge"), [id_, key], "left_anti").select(*docs.columns)
 
 
 def hex_digits(fp: str = "fp"):
