@@ -32,13 +32,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: five words, similarity of 0.8 or more."""
-    return simhash.one_per_group(docs)
+    """One document of each group of near-duplicates stays: shingles of three words, at most three bits apart."""
+    return simhash.one_per_group(docs, words=3, bits=3)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are sampled towards the target shares of source, language and topic."""
-    return mixing.mixed(docs).where("_kept").select(*docs.columns)
+    return mixing.sampled(docs).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
