@@ -32,7 +32,8 @@ class Mix:
     leaves it as it is, 0 makes all categories equal), or ``shares`` where a
     category has one. A cell's documents are kept with at most ``boost`` times
     the mean probability of the corpus; without that bound a tiny category
-    would thin out all others.
+    would thin out all others. The bound is a step of the raking, so the other
+    cells make up for it; ``margins`` tells what was reached.
     """
 
     tempers: tuple[float, float, float] = (0.7, 0.7, 0.5)
@@ -80,14 +81,19 @@ def with_topic(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def rake(cells: DataFrame, mix: Mix, folder: str) -> DataFrame:
     """Add ``ratio`` to cells of ``DIMS`` and ``tokens``: raked weight over token share.
 
-    Ends when every margin is within ``tolerance`` of its target, at the latest
-    after ``sweeps`` sweeps. Cells without tokens take no part and have a null ratio.
+    A sweep brings each margin to its target and then cuts weights to ``boost``
+    times the token share. Ends when every margin is within ``tolerance`` of its
+    target after the cut, at the latest after ``sweeps`` sweeps. ``_t0`` to
+    ``_t2`` are the targets of the cell's categories. Cells without tokens take
+    no part.
     """
     cells = cells.where("tokens > 0")
     total = cells.agg(F.sum("tokens")).first()[0]
     if not total:
-        return cells.withColumn("ratio", F.lit(None).cast("double"))
-    shaped = cells.withColumn("w", F.col("tokens") / F.lit(float(total)))
+        none = F.lit(None).cast("double")
+        return cells.withColumns({"ratio": none} | {f"_t{i}": none for i in range(len(DIMS))})
+    start = F.col("tokens") / F.lit(float(total))
+    shaped = cells.withColumn("w", start)
     for i, dim in enumerate(DIMS):
         share = F.sum("w").over(Window.partitionBy(dim))
         target: Column = F.pow(share, F.lit(mix.tempers[i]))
@@ -105,13 +111,35 @@ def rake(cells: DataFrame, mix: Mix, folder: str) -> DataFrame:
             for i, dim in enumerate(DIMS):
                 margin = F.sum("w").over(Window.partitionBy(dim))
                 shaped = shaped.withColumn("w", F.col("w") * F.col(f"_t{i}") / margin)
+            shaped = shaped.withColumn("w", F.least(F.col("w"), start * mix.boost))
         sweep += chunk
         shaped = stored(shaped, f"{folder}/sweep-{sweep}")
-        off = [F.sum("w").over(Window.partitionBy(d)) / F.col(f"_t{i}") - 1 for i, d in enumerate(DIMS[:-1])]
+        off = [F.sum("w").over(Window.partitionBy(d)) / F.col(f"_t{i}") - 1 for i, d in enumerate(DIMS)]
         worst = shaped.select(F.greatest(*[F.abs(x) for x in off]).alias("off")).agg(F.max("off")).first()[0]
         if worst <= mix.tolerance or sweep >= mix.sweeps:
             break
-    return shaped.select(*DIMS, "tokens", (F.col("w") * F.lit(float(total)) / F.col("tokens")).alias("ratio"))
+    targets = [f"_t{i}" for i in range(len(DIMS))]
+    return shaped.select(*DIMS, "tokens", (F.col("w") / start).alias("ratio"), *targets)
+
+
+def margins(raked: DataFrame) -> DataFrame:
+    """(dimension, category, tokens, share, target, reached) of every category of raked cells.
+
+    ``share`` is the category's part of all tokens, ``target`` the wanted part
+    and ``reached`` its part of the tokens that are expected to be sampled. The
+    two differ where ``boost`` or the cells that there are rule the target out.
+    """
+    parts = None
+    for i, dim in enumerate(DIMS):
+        part = raked.groupBy(F.lit(dim).alias("dimension"), F.col(dim).cast("string").alias("category")).agg(
+            F.sum("tokens").alias("tokens"), F.sum(F.col("tokens") * F.col("ratio")).alias("w"), F.max(f"_t{i}").alias("target")
+        )
+        parts = part if parts is None else parts.unionByName(part)
+    whole = Window.partitionBy("dimension")
+    return parts.select(
+        "dimension", "category", "tokens", (F.col("tokens") / F.sum("tokens").over(whole)).alias("share"), "target",
+        (F.col("w") / F.sum("w").over(whole)).alias("reached"),
+    )
 
 
 def draw(key: Column, seed: str) -> Column:
@@ -132,7 +160,7 @@ def sampled(docs: DataFrame, mix: Mix = Mix(), folder: str | None = None, **colu
 
 def mixed(
     docs: DataFrame, mix: Mix = Mix(), folder: str | None = None, id_col: str = "doc_id", text_col: str = "text",
-    source_col: str = "source", lang_col: str = "lang",
+    source_col: str = "source", lang_col: str = "lang", report: str | None = None,
 ) -> DataFrame:
     """The rows with ``_topic``, ``_tokens``, ``_probability`` and ``_kept``.
 
@@ -140,6 +168,7 @@ def mixed(
     that repeat an id share their fate. A null source or language is the
     category "". Texts without words weigh nothing and are kept. Other columns stay;
     one that has the name of a result comes back with underscores after its name.
+    ``report``: a folder for the table of ``margins``.
     """
     docs = docs.withColumnsRenamed(dict(zip(RESULTS, unused(docs, *RESULTS), strict=True)))
     folder = folder or scratch(docs.sparkSession, "mixing")
@@ -161,6 +190,8 @@ def mixed(
         ),
         f"{folder}/odds",
     )
+    if report:
+        stored(margins(raked), report)
     # Joined by size: broadcast while the cells are few, else shuffled with hot sources split.
     on = [k == F.col(x) for k, x in zip(keys, names, strict=True)]
     joined = rows.join(odds, on, "left").withColumn("_probability", F.coalesce("_probability", F.lit(1.0)))

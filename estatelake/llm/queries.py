@@ -171,7 +171,7 @@ def raking_sql(mix: mixing.Mix, sweeps: int = 60) -> str:
         f"pow(sum(w) OVER (PARTITION BY {d}), {t}) AS t_{d}, w / sum(w) OVER (PARTITION BY {d}) AS p_{d}"
         for d, t in zip(dims, mix.tempers, strict=True)
     )
-    pick = "CASE i % 3 WHEN 0 THEN {0}source{1} WHEN 1 THEN {0}lang{1} ELSE {0}topic{1} END"
+    pick = "CASE i % 4 WHEN 0 THEN {0}source{1} WHEN 1 THEN {0}lang{1} ELSE {0}topic{1} END"
     return rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS word FROM documents),
@@ -193,11 +193,12 @@ ipf(i, source, lang, topic, tokens, w, t_source, t_lang, t_topic) AS (
   SELECT 0, source, lang, topic, tokens, w, t_source, t_lang, t_topic FROM aimed
   UNION ALL
   SELECT i + 1, source, lang, topic, tokens,
-         w * {pick.format("t_", "")} / sum(w) OVER (PARTITION BY {pick.format("", "")}),
+         CASE i % 4 WHEN 3 THEN least(w, {mix.boost} * tokens / (SELECT sum(tokens) FROM cells))
+              ELSE w * {pick.format("t_", "")} / sum(w) OVER (PARTITION BY {pick.format("", "")}) END,
          t_source, t_lang, t_topic
-  FROM ipf WHERE i < {3 * sweeps}),
+  FROM ipf WHERE i < {4 * sweeps}),
 ratios AS (
-  SELECT source, lang, topic, w * (SELECT sum(tokens) FROM cells) / tokens AS ratio FROM ipf WHERE i = {3 * sweeps}),
+  SELECT source, lang, topic, w * (SELECT sum(tokens) FROM cells) / tokens AS ratio FROM ipf WHERE i = {4 * sweeps}),
 odds AS (
   SELECT source, lang, topic, least(1.0, ratio / least((SELECT max(ratio) FROM ratios), {mix.boost})) AS p FROM ratios)
 SELECT doc_id, source, lang, CAST(topic AS INTEGER) AS topic, tokens,
