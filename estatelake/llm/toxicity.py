@@ -22,14 +22,14 @@ from pyspark.sql import functions as F
 from estatelake.llm.common import small_batches, text_of
 from estatelake.llm.simhash import minima
 
-#: Labelled rows that a model is fitted on at most, and terms of a lexicon at most.
+#: Labelled rows that a model is fitted on at most. Terms of fewer letters than ``SHORTEST`` match exactly only.
 TRAINING_ROWS = 20_000
-TERMS = 400
 SHORTEST = 4
 #: Times the odds of all texts that a term's texts are toxic; least hashes per text, and how many near copies share.
 ODDS = 3
 MINIMA, COPY_SHARED = 64, 56
 WINDOW = 6
+STEEP = 20.0
 THRESHOLD = 0.3
 WORD = re.compile(r"\w+")
 MARKED = re.compile(r"(\w+)|([\"“”„«»‹›])")
@@ -158,10 +158,12 @@ class Reader:
         return out
 
     def evidence(self, hits: list) -> tuple[float, float]:
+        """Weights of the hits told plainly and in quotation; past ``STEEP`` more hits add ever less, but they add."""
         sums = [0.0, 0.0]
         for term, edits, quoted in hits:
             sums[quoted] += self.model.weights.get((term, edits), 0.0)
-        return min(sums[0], 20.0), min(sums[1], 20.0)
+        plain, quoted = (x if x <= STEEP else STEEP + math.log1p(x - STEEP) for x in sums)
+        return plain, quoted
 
     def score(self, hits: list) -> float:
         plain, quoted = self.evidence(hits)
@@ -206,12 +208,13 @@ def copy_leaders(marks: list[tuple[bool, int, bytes]]) -> list[tuple[bool, int,
     return out
 
 
-def learn_terms(rows: DataFrame, most: int = TERMS) -> tuple[list[str], int, int]:
+def learn_terms(rows: DataFrame) -> tuple[list[str], int, int]:
     """Words of toxic texts by likelihood ratio; near copies of one text with one label count once.
 
     Returns the terms and the numbers of toxic and clean texts. The odds of a
     term's texts to be toxic are over ``ODDS`` times those of all texts. The bar
-    rises with the number of words that are compared.
+    rises with the number of words that are compared. All words over it are
+    terms, as many as the labelled rows have, the best first.
     """
 
     def marked(batches):
@@ -238,7 +241,6 @@ def learn_terms(rows: DataFrame, most: int = TERMS) -> tuple[list[str], int, int
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
     counts = (
         rows.join(F.broadcast(copies), ["toxic", "mark"]).select("toxic", "copy", F.explode(words).alias("word"))
-        .where(F.length("word") >= SHORTEST)
         .distinct()
         .groupBy("word").agg(
             F.count_if(F.col("toxic")).cast("double").alias("a"), F.count_if(~F.col("toxic")).cast("double").alias("b")
@@ -251,19 +253,23 @@ def learn_terms(rows: DataFrame, most: int = TERMS) -> tuple[list[str], int, int
         return F.when(count > 0, count * F.log(part / whole)).otherwise(0.0)
 
     ratio = 2 * (term(a, share, F.lit(base)) + term(b, 1 - share, F.lit(1 - base)))
-    found = (
-        counts.where((a >= 2) & (a * clean > ODDS * b * toxic)).withColumn("ratio", ratio)
-        .orderBy(F.desc("ratio"), "word").limit(most).collect()
-    )
     bar = 2 * math.log(max(2, counts.count()))
-    return [r["word"] for r in found if r["ratio"] >= bar], toxic, clean
+    found = counts.where((a >= 2) & (a * clean > ODDS * b * toxic)).withColumn("ratio", ratio).where(F.col("ratio") >= bar)
+    return [r["word"] for r in found.orderBy(F.desc("ratio"), "word").collect()], toxic, clean
+
 
+def learn(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, strict: bool = False) -> Model:
+    """Fit lexicon, weights and score.
 
-def learn(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> Model:
-    """Fit lexicon, weights and score. Without both kinds of labels every score is the prior's."""
+    Where no word tells toxic texts from clean ones (or one kind of label is
+    lacking) the lexicon is empty and every score is the prior's: ``n_terms`` of
+    the scores is 0 then, and with ``strict`` it is an error.
+    """
     rows = training_rows(docs, labels, most)
     terms, toxic, clean = learn_terms(rows)
     if not terms:
+        if strict:
+            raise ValueError(f"no term tells {toxic} toxic from {clean} clean labelled texts")
         return Model()
     blank = Model(terms)
 
@@ -306,13 +312,14 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> Mode
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, held_out, score, predicted, n_exact, n_misspelt, n_quoted.
+    """One row per input row: doc_id, held_out, score, predicted, n_exact, n_misspelt, n_quoted, n_terms.
 
-    Whole texts; a null text is empty and gets the score of a text without hits.
+    ``n_terms`` is the size of the lexicon, the same for all rows. Whole texts; a null text is empty and gets the score of a text without hits.
     Only the text is an input of the score. Other columns are ignored.
     """
     small_batches(docs.sparkSession)
     schema = "doc_id long, held_out boolean, score double, predicted int, n_exact long, n_misspelt long, n_quoted long"
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
         reader = model.reader()
@@ -326,10 +333,11 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
                 pa.array([sum(e > 0 for _, e, _ in h) for h in found], pa.int64()),
                 pa.array([sum(q for *_, q in h) for h in found], pa.int64()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in schema.split(", ")])
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return rows.withColumn("held_out", held_out()).mapInArrow(run, schema)
+    scored = rows.withColumn("held_out", held_out()).mapInArrow(run, schema)
+    return scored.withColumn("n_terms", F.lit(len(model.terms)).cast("long"))
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
