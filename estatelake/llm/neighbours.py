@@ -41,7 +41,7 @@ class Index:
     filling: int = 16
     sample: int = 8192
     rounds: int = 15
-    recall: float = 0.95
+    recall: float = 0.97
     trials: int = 256
     block: int = 4096
 
