@@ -57,8 +57,8 @@ def words_of(line: str) -> list[bytes]:
 
 #: Bytes of text that are taken apart at once.
 CHUNK = 1 << 21
-BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-LETTER = stir(np.arange(1, 257, dtype=np.uint64) << np.uint64(32), 0x9E3779B97F4A7C15) | np.uint64(1)
+#: The lower 0 to 8 bytes of a number.
+BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def chunks_of(texts: list[str]):
@@ -81,16 +81,19 @@ def chunks_of(texts: list[str]):
 class LineSets:
     """The lines with words of some pieces of text, as sorted sets of word hashes.
 
-    A word's hash is the sum of a number per byte times a number per place, in
-    64 bits and then stirred, so all words of all pieces are hashed at once.
+    A word's hash is the sum of its stirred blocks of eight bytes, each times a
+    number per place, and of its length, in 64 bits and then stirred; so all words
+    of all pieces are hashed at once.
     """
 
     def __init__(self, pieces: list[tuple[int, int, str]], levels: np.ndarray | None):
-        data = np.frombuffer("\n".join(p[2] for p in pieces).encode().lower(), np.uint8)
-        blank = BLANK[data]
-        edge = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8)))
+        # A blank before and nine behind: every word has two edges, and eight bytes can be read at any of its letters.
+        data = np.frombuffer(b" " + "\n".join(p[2] for p in pieces).encode().lower() + b" " * 9, np.uint8)
+        text = data[:-8]
+        blank = (text == 32) | (text - np.uint8(9) < 5)
+        edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
         begin, length = edge[::2], edge[1::2] - edge[::2]
-        breaks = np.flatnonzero(data == 10)
+        breaks = np.flatnonzero(text == 10)
         row = np.searchsorted(breaks, begin)
         many = np.array([p[2].count("\n") + 1 for p in pieces])
         first = np.cumsum(many) - many
@@ -98,11 +101,17 @@ class LineSets:
         piece = np.searchsorted(first, used, side="right") - 1
         self.doc = np.array([p[0] for p in pieces], np.int64)[piece]
         self.line = (np.array([p[1] for p in pieces], np.int64)[piece] + used - first[piece]).astype(np.int32)
-        offsets = np.cumsum(length) - length
-        place = np.arange(int(length.sum())) - np.repeat(offsets, length)
-        places = stir(np.arange(1, int(length.max(initial=0)) + 2, dtype=np.uint64), 0xC2B2AE3D27D4EB4F) | np.uint64(1)
-        values = LETTER[data[~blank]] * places[place]
-        every = stir(np.add.reduceat(values, offsets), 0xFF51AFD7ED558CCD) if len(begin) else np.empty(0, np.uint64)
+        blocks = (length + 7) >> 3
+        offsets = np.cumsum(blocks) - blocks
+        place = np.arange(int(blocks.sum())) - np.repeat(offsets, blocks)
+        eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))[np.repeat(begin, blocks) + 8 * place]
+        eight &= BYTES[np.minimum(8, np.repeat(length, blocks) - 8 * place)]
+        places = stir(np.arange(1, int(blocks.max(initial=0)) + 2, dtype=np.uint64), 0xC2B2AE3D27D4EB4F) | np.uint64(1)
+        values = stir(eight, 0x9E3779B97F4A7C15) * places[place]
+        every = np.empty(0, np.uint64)
+        if len(begin):
+            sizes = length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            every = stir(np.add.reduceat(values, offsets) + sizes, 0xFF51AFD7ED558CCD)
         if levels is None:
             self.ids = every
             return

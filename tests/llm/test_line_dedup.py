@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 
 from estatelake.llm import queries
-from estatelake.llm.line_dedup import kept_lines, without_repeats
+from estatelake.llm.line_dedup import LineSets, kept_lines, without_repeats
 
 
 def plain(docs, t=0.8):
@@ -78,3 +78,14 @@ def test_query_lists_the_lines_of_a_null_id(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: (r["n_lines"], r["n_kept"], r["kept_lines"]) for r in queries.op6_line_dedup(spark, str(tmp_path)).collect()}
     assert got == {1: (2, 2, "0,1"), None: (3, 2, "1,2")}
+
+
+def test_word_hashes_tell_words_apart():
+    pick = random.Random(7)
+    words = {"".join(pick.choice("abä\0") for _ in range(n)) for n in [*range(1, 40), 2000] for _ in range(30)}
+    words |= {"x" * n for n in range(1, 100)} | {"a\0", "a", "a\0\0", "\0", "\0a"}
+    words = sorted(words)
+    pieces = [(0, 0, " ".join(words) + "\n" + "\t\r\v\f".join(reversed(words)).upper().replace("Ä", "ä"))]
+    ids = LineSets(pieces, None).ids.tolist()
+    assert len(set(ids)) == len(words) and ids[: len(words)] == ids[len(words) :][::-1]
+    assert LineSets([(0, 0, "")], None).ids.tolist() == [] and LineSets([(0, 0, " \n ")], None).ids.tolist() == []
