@@ -80,6 +80,8 @@ def apply_links(
     }
     notes = {"diff": state.work_path("diff"), "gone": state.work_path("gone")}
     diff = state.work_table("diff", changes.link_diff(snapshot, state.read("active_links", site)), notes["diff"])
+    if not state.version:
+        state.fit_buckets(diff.count())
     # A first run also lets null links through.
     notes["first"] = str(not diff.agg(F.max(F.col("n_registry") > 0)).first()[0])
 

@@ -49,10 +49,15 @@ PARTITIONS = {
 OFFERS, REGISTRY, GONE = "preprocessing_offers", "active_links", "deactivations"
 # Tables in buckets of their link, all of them in as many.
 BUCKETED = (OFFERS, REGISTRY, GONE)
-# Buckets of a new state; ``compact`` chooses anew from the bytes it finds.
+# Least buckets of a state. The links of its first snapshot give the number, and ``compact``
+# chooses anew from the bytes it finds.
 BUCKETS = 8
-# Bytes of one file that compaction aims at.
+# Links of the first snapshot for one bucket.
+BUCKET_LINKS = 1 << 17
+# Bytes and rows of one file that compaction aims at. Repeated links take next to no bytes, but
+# the task that writes them sorts them as rows.
 FILE_BYTES = 128 << 20
+FILE_ROWS = 1 << 19
 # Characters of a folder's first and last link that its commit keeps.
 SPAN_CHARS = 128
 SITE_NAME = re.compile(r"[\w .-]+\Z", re.ASCII)
@@ -252,6 +257,11 @@ class State:
         own = [F.split_part(F.col("v"), F.lit("-"), F.lit(1)).cast("long").alias("_version")] if versions else []
         return rows.select(*schema.names, *own)
 
+    def fit_buckets(self, links: int) -> None:
+        """Choose the buckets of a state that has no bucketed folder yet, for so many links."""
+        if not any(self.tables[name] for name in BUCKETED):
+            self.buckets = max(self.buckets, 1 << (-(-links // BUCKET_LINKS) - 1).bit_length())
+
     def partition_of(self, table: str, rows: DataFrame) -> DataFrame:
         """Rows with their partition columns in place."""
         if "scrape_month" in PARTITIONS[table]:
@@ -363,10 +373,17 @@ class State:
         fs, path = self._files(folder)
         return fs.getContentSummary(path).getLength()
 
+    def _row_counts(self, table: str) -> dict[str, int]:
+        """Rows of every partition as written, by its values; only file footers are read."""
+        if not self.tables[table]:
+            return {}
+        rows = self.read_folders(table, self.tables[table]).groupBy(*PARTITIONS[table]).count()
+        return {"/".join(str(x) for x in row[:-1]): row[-1] for row in rows.collect()}
+
     def compact(self, *names: str) -> State:
         """Publish tables as one folder per partition, with deactivations and stage events folded in.
 
-        File counts follow from the bytes found. Where all bucketed tables are
+        File counts follow from the bytes and rows found. Where all bucketed tables are
         compacted, so does the number of buckets: the largest partition's files
         come to about FILE_BYTES.
         """
@@ -384,6 +401,9 @@ class State:
         changed = {}
         for name in names:
             files = {part: -(-size // FILE_BYTES) for part, size in sizes.get(name, {}).items()}
+            if name not in BUCKETED:
+                for part, n in self._row_counts(name).items():
+                    files[part] = max(files.get(part, 1), -(-n // FILE_ROWS))
             changed[name] = next_._write(name, rows[name], files or {"": 1}) if self.tables[name] else []
         if "process_stage" in names:
             changed["stage_events"] = []

@@ -335,3 +335,26 @@ def test_pages_to_offers_with_retry(spark, state):
     state = phases.load_details(state, details(second, site), site, "2024-03-01")
     assert phases.links_to_retry(state, site).count() == 0
     assert registry(state) == "/oferta/1 /oferta/2 /oferta/3"
+
+
+def test_compaction_cuts_repeated_links_by_rows(spark, state, monkeypatch):
+    """Copies of a few links take few bytes, but many rows: one task must not sort them all."""
+    state, *_ = run(state, "a b c d e f g h " * 40, "P", "2024-01-01")
+    state, *_ = run(state, "a b", "Q", "2024-01-01")
+    monkeypatch.setattr("estatelake.sources.state.FILE_ROWS", 40)
+    made = state.compact()
+    sizes = lambda site: [
+        r["count"] for r in made.read_folders("to_scrape", made.site_folders("to_scrape", site)).groupBy(F.input_file_name()).count().collect()
+    ]
+    assert len(sizes("P")) > 2 and sum(sizes("P")) == 320 and sizes("Q") == [2]
+
+
+def test_first_snapshot_chooses_the_buckets(spark, state, monkeypatch):
+    monkeypatch.setattr("estatelake.sources.state.BUCKET_LINKS", 100)
+    names = " ".join(f"https://x.y/{i:05d}" for i in range(2000))
+    state, *_ = run(state, names, "P", "2024-01-01")
+    assert state.buckets == 32
+    assert len(state.read_folders("active_links", state.tables["active_links"]).inputFiles()) == 32
+    state, *diff = run(state, names.replace("https://x.y/00007 ", ""), "P", "2024-01-02")
+    assert diff == ["", "https://x.y/00007"] and state.buckets == 32
+    assert state.read("preprocessing_offers").where("active = 'No'").count() == 1
