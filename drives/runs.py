@@ -72,18 +72,23 @@ def run_date(k):
     return f"{2023 + k}-01-01"
 
 
-def run_snapshot(t, k):
+def run_lines(t, k):
     number = F.least(F.greatest(F.floor((F.year("l_shipdate") - 1995) / 2), F.lit(0)), F.lit(3)) + 1
-    url = F.concat(F.lit(BASE), F.col("l_partkey"), F.lit(".html"))
-    return t.lineitem.where(number == k).select(
-        canonical_link(url).alias("link"), "l_returnflag", "l_extendedprice"
-    )
+    return t.lineitem.where(number == k)
+
+
+def lot_link():
+    return canonical_link(F.concat(F.lit(BASE), F.col("l_partkey"), F.lit(".html"))).alias("link")
+
+
+def run_snapshot(t, k):
+    return run_lines(t, k).select(lot_link())
 
 
 def parsed_offers(t, k, links):
-    readable = run_snapshot(t, k).groupBy("link").agg(
-        F.max("l_returnflag").alias("flag"), F.max("l_extendedprice").alias("price")
-    )
+    # Lines are combined by their short key and flag first: a maximum of texts sorts what it is given.
+    lots = run_lines(t, k).groupBy("l_partkey", "l_returnflag").agg(F.max("l_extendedprice").alias("price"))
+    readable = lots.groupBy(lot_link()).agg(F.max("l_returnflag").alias("flag"), F.max("price").alias("price"))
     offers = readable.where("flag <> 'R'").join(links.distinct(), "link", "left_semi")
     fixed = {"link", "price", "active", "scrape_date", "inactive_date", "page_name"}
     return offers.select(
@@ -114,7 +119,7 @@ def play_runs(t, compact_after=None, replayed=False):
 
 
 def play_run(t, base, k):
-    phase = phases.apply_links(State(t.spark, base), run_snapshot(t, k).select("link"), SITE, run_date(k))
+    phase = phases.apply_links(State(t.spark, base), run_snapshot(t, k), SITE, run_date(k))
     state = phases.queue_links(phase.state, phase.new_links, SITE)
     phases.apply_offers(state, parsed_offers(t, k, phase.new_links), SITE)
 
@@ -122,7 +127,7 @@ def play_run(t, base, k):
 def replay_run(t, base, k):
     """A run whose every step is played twice, the load once more before it fails to commit."""
     for _ in range(2):
-        phase = phases.apply_links(State(t.spark, base), run_snapshot(t, k).select("link"), SITE, run_date(k), run_id=run_date(k))
+        phase = phases.apply_links(State(t.spark, base), run_snapshot(t, k), SITE, run_date(k), run_id=run_date(k))
     for _ in range(2):
         phases.queue_links(State(t.spark, base), phase.new_links, SITE, run_date(k))
     offers = parsed_offers(t, k, phase.new_links)
