@@ -143,3 +143,16 @@ def test_unclosed_marks_take_time_in_proportion(spark):
 def test_scripts_before_an_unclosed_one_are_found(evaluate):
     pages = ["<script>ab</script><script>c", "<script x>ab</SCRIPT ><script <script>abc", "<scripty>x</scripty>", "<script>a<script>b</script>"]
     assert evaluate(pages, "string", J.longest_script) == ["ab", "ab", None, "a<script>b"]
+
+
+def test_pages_are_taken_apart_slice_by_slice(spark):
+    """Spark hands over batches of 10,000 pages; the fields of all of them are never held at once."""
+    html = F.when(F.col("id") % 7 != 3, F.concat(F.lit("<p>x<b>"), "id", F.lit("</b><br class='z'></p>")))
+    pages = spark.range(0, 250, 1, 1).select("id", html.alias("html"))
+    found = pages.select("id", select_html(F.col("html"), [Pick("f", "b"), Pick("g", "i", every=True)]).alias("f"))
+    rows = {r.id: r.f for r in found.collect()}
+    assert len(rows) == 250
+    assert all(r.f == [str(i)] and r.g == [] and r.error is None for i, r in rows.items() if i % 7 != 3)
+    assert all(r.f is None and r.g is None and r.error.startswith("TypeError") for i, r in rows.items() if i % 7 == 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython [select(" in plan and ", 251" in plan  # an iterator over Arrow arrays
