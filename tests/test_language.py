@@ -82,3 +82,17 @@ def test_only_long_texts_are_filtered(spark):
     assert kept[6] == ""
     every = {r.i: r.text for r in keep_language(df, "text", None, longer_than=10).collect()}
     assert every[1] == f"{polish} {english} {polish}" and every[4] == f"{polish.upper()}, Q-Q 1 2 3 4 5"
+
+
+def test_frequent_words_are_added_up_before_they_move(spark, monkeypatch):
+    model = train(corpus(spark), "text", "lang", ["pl", "en"])
+    tests = ["the view the park", "park jest", "qqq", "", "ab ab", "mieszkanie the the", "city the"]
+    before = label(spark, model, tests)
+    # Of 15 words only the most frequent ones go to every task.
+    monkeypatch.setattr("estatelake.operators.language.FREQUENT", 4)
+    after = label(spark, model, tests)
+    assert after == before and before[:5] == ["en", "pl", None, None, None]
+    parts = spark.createDataFrame([(i, t) for i, t in enumerate(tests)], "i int, chunk string")
+    plan = label_chunks(parts, model, "i", with_text=False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin [_word") >= 2
+    assert "HashAggregate(keys=[i" in plan and "partial_max(chunk" not in plan
