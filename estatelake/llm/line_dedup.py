@@ -6,8 +6,9 @@ a word among their first |x| - ceil(t |x|) + 1 words, so lines are listed under
 these (prefix filter). Within a list, pairs must have fitting sizes (length
 filter), enough words left behind the shared one (positional filter) and
 signatures that do not differ in more words than they may (each word turns one
-bit of 64, twice over, or one of 256 in a longer line). What is left is verified
-on the whole sets.
+bit of 64, 128 or 256, by the length of the line). What is left is verified on
+the whole sets. Entries move many to a row, as arrays; lists that share a row's
+part are told apart by sorting where they are paired.
 
 Equal sets are one class from the start, so a line that a third of all documents
 repeat is one entry. Only the earliest candidates of a class travel to the
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estatelake.llm.common import scratch, small_batches, stored, text_of, unused
+from estatelake.llm.common import scratch, small_batches, stored, text_of, unused, width_of
 
 SIMILARITY = 0.8
 #: Words are counted in this many buckets, of which a table keeps one byte each (16 MB). Words that
@@ -35,15 +36,49 @@ SLICE = 1 << 16
 TRIES = (3, 48, None)
 #: Entries of a list that one task pairs; longer lists are cut into blocks that meet in pairs.
 LIST = 8192
-AT_ONCE = 1 << 16
-NEAR = 64
+#: Entries that a task deals out at once and that a part has or somewhat more, and at most so many in one row.
+DEALT, ROW = 1 << 19, 512
+#: Parts that small tables are cut into, at most.
+PARTS = 256
+#: Entries that a task pairs at once, or the whole of a part, and pairs that are filtered at once.
+AT_ONCE, PAIRS = 1 << 17, 1 << 17
+#: Lines that are looked for by a broadcast of their documents, at most.
+FEW = 1 << 20
 #: Bits per row of a bit table, and its words of 64 bits at least and at most (32 MB).
 BITS_EACH, LEAST_WORDS, MOST_WORDS = 16, 1 << 14, 1 << 22
 NO_ID = (1 << 63) - 1
-#: Lines of so many words have one signature of 256 bits, shorter ones two of 64. The four parts
-#: of the wide one put together are the first narrow one.
-WIDE = 64
-SIGNATURES = ("sig", "sig2", "sig3", "sig4")
+#: Lines of fewer than NARROW words have a signature of 64 bits, of fewer than WIDE one of 128, others
+#: one of 256. Halves put together by exclusive or are the next shorter one.
+NARROW, WIDE = 32, 128
+
+
+def signature_words(n: np.ndarray) -> np.ndarray:
+    return np.where(n < NARROW, 1, np.where(n < WIDE, 2, 4))
+
+
+def signatures_of(flat: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Four words for each signature, of which shorter ones leave the last ones zero."""
+    out = np.zeros((len(n), 4), np.uint64)
+    out[np.arange(4) < signature_words(n)[:, None]] = flat
+    return out
+
+
+def planes(x: np.ndarray) -> bytes:
+    """All lowest bytes, then all second ones and so on: the upper bytes of small numbers take no room when compressed."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
+
+
+def binary(data: np.ndarray, count: np.ndarray) -> pa.Array:
+    """``count`` numbers of ``data`` for each row."""
+    offsets = np.concatenate([[0], np.cumsum(count)]) * data.itemsize
+    return pa.Array.from_buffers(
+        pa.binary(), len(count), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)]
+    )
 
 
 def stir(x: np.ndarray, factor: int) -> np.ndarray:
@@ -55,8 +90,8 @@ def words_of(line: str) -> list[bytes]:
     return line.encode().lower().split()
 
 
-#: Bytes of text that are taken apart at once.
-CHUNK = 1 << 21
+#: Bytes of text that are taken apart at once: few enough for their arrays to stay in a core's cache.
+CHUNK = 1 << 18
 #: The lower 0 to 8 bytes of a number.
 BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
@@ -93,14 +128,6 @@ class LineSets:
         blank = (text == 32) | (text - np.uint8(9) < 5)
         edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
         begin, length = edge[::2], edge[1::2] - edge[::2]
-        breaks = np.flatnonzero(text == 10)
-        row = np.searchsorted(breaks, begin)
-        many = np.array([p[2].count("\n") + 1 for p in pieces])
-        first = np.cumsum(many) - many
-        used, at = np.unique(row, return_inverse=True)
-        piece = np.searchsorted(first, used, side="right") - 1
-        self.doc = np.array([p[0] for p in pieces], np.int64)[piece]
-        self.line = (np.array([p[1] for p in pieces], np.int64)[piece] + used - first[piece]).astype(np.int32)
         blocks = (length + 7) >> 3
         offsets = np.cumsum(blocks) - blocks
         place = np.arange(int(blocks.sum())) - np.repeat(offsets, blocks)
@@ -115,39 +142,45 @@ class LineSets:
         if levels is None:
             self.ids = every
             return
+        ends = np.concatenate([np.searchsorted(begin, np.flatnonzero(text == 10)), [len(begin)]])
+        words = np.diff(ends, prepend=0)
+        used = np.flatnonzero(words)
+        at = np.repeat(np.arange(len(used)), words[used])
+        many = np.array([p[2].count("\n") + 1 for p in pieces])
+        first = np.cumsum(many) - many
+        piece = np.searchsorted(first, used, side="right") - 1
+        self.doc = np.array([p[0] for p in pieces], np.int64)[piece]
+        self.line = (np.array([p[1] for p in pieces], np.int64)[piece] + used - first[piece]).astype(np.int32)
         # Line, level and the upper bits of the word in one key; the rest of the word breaks ties.
-        level = levels[(every & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.uint64)
-        key = (at.astype(np.uint64) << np.uint64(42)) | (level << np.uint64(34)) | (every >> np.uint64(30))
+        level = levels[(every & np.uint64(BUCKETS - 1)).astype(np.int64)]
+        key = (at.astype(np.uint64) << np.uint64(42)) | (level.astype(np.uint64) << np.uint64(34)) | (every >> np.uint64(30))
         order = np.argsort(key)
         ordered, ids = key[order], every[order]
         if ((ordered[1:] == ordered[:-1]) & (ids[1:] != ids[:-1])).any():
             order = np.lexsort((every, key))
-        every, at = every[order], at[order]
+        every, at, level = every[order], at[order], level[order]
         new = np.ones(len(every), bool)
         new[1:] = (every[1:] != every[:-1]) | (at[1:] != at[:-1])
         self.ids, at = every[new], at[new]
         self.n = np.bincount(at, minlength=len(used))
         self.start = np.cumsum(self.n) - self.n
         # Words that occur once anywhere stand first.
-        alone = levels[(self.ids & np.uint64(BUCKETS - 1)).astype(np.int64)] == 0
-        self.alone = np.bincount(at[alone], minlength=len(used))
+        self.alone = np.bincount(at[level[new] == 0], minlength=len(used))
         if len(used):
             self.k1 = np.add.reduceat(stir(self.ids, 0x9E3779B97F4A7C15), self.start).view(np.int64)
             self.k2 = np.bitwise_xor.reduceat(stir(self.ids, 0xC2B2AE3D27D4EB4F), self.start).view(np.int64)
             mixed = stir(self.ids, 0xFF51AFD7ED558CCD)
             bit = np.uint64(1) << (mixed >> np.uint64(58))
             quarter = (mixed >> np.uint64(56)) & np.uint64(3)
-            wide = [np.bitwise_xor.reduceat(np.where(quarter == q, bit, np.uint64(0)), self.start) for q in range(4)]
-            other = np.bitwise_xor.reduceat(np.uint64(1) << ((mixed >> np.uint64(50)) & np.uint64(63)), self.start)
-            short = self.n < WIDE
-            zero = np.zeros(len(self.n), np.uint64)
-            narrow = [wide[0] ^ wide[1] ^ wide[2] ^ wide[3], other, zero, zero]
-            for name, a, b in zip(SIGNATURES, narrow, wide, strict=True):
-                setattr(self, name, np.where(short, a, b).view(np.int64))
+            four = [np.bitwise_xor.reduceat(np.where(quarter == q, bit, np.uint64(0)), self.start) for q in range(4)]
+            two, zero = [four[0] ^ four[2], four[1] ^ four[3]], np.zeros(len(self.n), np.uint64)
+            size = signature_words(self.n)
+            short = [two[0] ^ two[1], zero, zero, zero]
+            by_size = [np.choose(size // 2, x) for x in zip(short, [*two, zero, zero], four, strict=True)]
+            self.signature = np.stack(by_size, 1)[np.arange(4) < size[:, None]]
         else:
             self.k1 = self.k2 = np.empty(0, np.int64)
-            for name in SIGNATURES:
-                setattr(self, name, self.k1)
+            self.signature = np.empty(0, np.uint64)
 
     def parts(self, skip: np.ndarray, count: np.ndarray, kind: str) -> pa.Array:
         """``count`` words of each line after the first ``skip``, as a binary array; u4 takes the upper half."""
@@ -156,10 +189,10 @@ class LineSets:
         at = np.repeat(start - (np.cumsum(count) - count), count) + np.arange(total)
         data = self.ids[at]
         data = (data >> np.uint64(32)).astype("<u4") if kind == "<u4" else data.astype("<u8")
-        offsets = np.concatenate([[0], np.cumsum(count)]) * data.itemsize
-        return pa.Array.from_buffers(
-            pa.binary(), len(count), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)]
-        )
+        return binary(data, count)
+
+    def signatures(self) -> pa.Array:
+        return binary(self.signature, signature_words(self.n))
 
     def prefixes(self, t: float) -> tuple[np.ndarray, pa.Array]:
         """Words that are passed over because nothing shares them, and the rest of each prefix."""
@@ -182,9 +215,15 @@ def word_levels(rows: DataFrame) -> np.ndarray:
 
         def counts():
             bucket, many = np.unique(np.concatenate(held), return_counts=True)
-            for i in range(0, len(bucket), 1 << 15):
-                part = slice(i, i + (1 << 15))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[part]), pa.array(many[part])], ["bucket", "n"])
+            own = bucket // SLICE
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1, [len(own)]])
+            spans = [slice(a, b) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True) if a < b]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([own[x.start] for x in spans], pa.int32()),
+                 pa.array([planes((bucket[x] % SLICE).astype("<u2")) for x in spans], pa.binary()),
+                 pa.array([planes(many[x].astype("<u4")) for x in spans], pa.binary())],
+                ["slice", "bucket", "n"],
+            )
 
         for batch in batches:
             for pieces in chunks_of(batch.column("text").to_pylist()):
@@ -197,96 +236,94 @@ def word_levels(rows: DataFrame) -> np.ndarray:
             yield from counts()
 
     def pack(batches):
-        own, now = None, None
+        own, now = np.zeros(SLICE, np.int64), None
         for batch in batches:
-            bucket, n = batch.column("bucket").to_numpy(), batch.column("n").to_numpy()
-            level = np.minimum(255, np.where(n == 1, 0, 1 + np.floor(8 * np.log2(n)))).astype(np.uint8)
-            cuts = np.flatnonzero(np.diff(bucket // SLICE)) + 1
-            for at, some in zip(np.split(bucket, cuts), np.split(level, cuts), strict=True):
-                if len(at) and at[0] // SLICE != now:
-                    if own is not None:
-                        yield row(now, own)
-                    own, now = np.zeros(SLICE, np.uint8), int(at[0] // SLICE)
-                if len(at):
-                    own[at % SLICE] = some
-        if own is not None:
+            for number, bucket, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now not in (None, number):
+                    yield row(now, own)
+                    own = np.zeros(SLICE, np.int64)
+                now = number
+                own[from_planes(bucket, "<u2")] += from_planes(n, "<u4")  # a bucket is in a row once
+        if now is not None:
             yield row(now, own)
 
     def row(number, own):
-        return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([own.tobytes()])], ["slice", "levels"])
+        level = np.where(own < 2, 0, 1 + np.floor(8 * np.log2(np.maximum(own, 1))))
+        levels = np.minimum(255, level).astype(np.uint8).tobytes()
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([levels])], ["slice", "levels"])
 
-    counted = rows.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    own_slice = F.expr(f"bucket div {SLICE}")
-    dealt = counted.repartition(own_slice).sortWithinPartitions("bucket")
+    counted = rows.select("text").mapInArrow(count, "slice int, bucket binary, n binary")
+    dealt = counted.repartition("slice").sortWithinPartitions("slice")
     table = np.zeros(BUCKETS, np.uint8)
     for number, own in dealt.mapInArrow(pack, "slice int, levels binary").collect():  # BUCKETS bytes at most
         table[number * SLICE : (number + 1) * SLICE] = np.frombuffer(own, np.uint8)
     return table
 
 
-ENTRY = ["word", "n", "pos", "k", *SIGNATURES, "doc", "line"]
-#: As entries travel: word and line, and size and position, share a number each.
-PACKED = ["wl", "np", "k", *SIGNATURES, "doc"]
-PACKED_SCHEMA = ", ".join(f"{c} long" for c in PACKED)
-WORD = "shiftright(wl, 32)"
+#: What an entry knows, and how it travels: many entries of a part in one row, an array each.
+KINDS = {"word": "<u4", "n": "<i4", "pos": "<i4", "k": "<i8", "doc": "<i8", "line": "<i4"}
+ENTRY = [*KINDS, "sig"]
+ENTRIES = "part long, " + ", ".join(f"{c} binary" for c in ENTRY)
+#: Entries of lists that are too long for one task travel one by one.
+SINGLE = ["word", "n", "pos", "k", "doc", "line", "sig", "sig2", "sig3", "sig4"]
+SINGLE_SCHEMA = ", ".join(f"{c} long" for c in SINGLE)
 
 
-def packed(e: dict[str, np.ndarray]) -> list[pa.Array]:
-    both = [(e["word"].astype(np.int64) << 32) | e["line"], (e["n"].astype(np.int64) << 32) | e["pos"]]
-    return [pa.array(x) for x in [*both, *(e[c] for c in PACKED[2:])]]
+def singles(e: dict[str, np.ndarray]) -> list[pa.Array]:
+    return [*(pa.array(e[c].astype(np.int64)) for c in KINDS), *(pa.array(x) for x in e["sig"].view(np.int64).T)]
 
 
-def may_match(e: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, t: float) -> np.ndarray:
-    """Length, positional and signature filters for pairs of entries of one list."""
-    a, b = e["n"][i], e["n"][j]
-    need = np.ceil(t / (1 + t) * (a + b) - 1e-9).astype(np.int64)
-    ok = np.minimum(a, b) >= t * np.maximum(a, b) - 1e-9
-    ok &= np.minimum(a - e["pos"][i], b - e["pos"][j]) >= need
-    ok &= e["k"][i] != e["k"][j]
-    left = np.flatnonzero(ok)
-    i, j, apart = i[left], j[left], (a + b - 2 * need)[left]
-    wide_i, wide_j = a[left] >= WIDE, b[left] >= WIDE
-    parts = [np.bitwise_count((e[x][i] ^ e[x][j]).view(np.uint64)).astype(np.int64) for x in SIGNATURES]
+def from_singles(batch) -> dict[str, np.ndarray]:
+    e = {c: batch.column(c).to_numpy().astype(kind) for c, kind in KINDS.items()}
+    return e | {"sig": np.stack([batch.column(c).to_numpy().view(np.uint64) for c in SINGLE[len(KINDS) :]], 1)}
 
-    def whole(at, wide):
-        return np.where(wide, e["sig"][at] ^ e["sig2"][at] ^ e["sig3"][at] ^ e["sig4"][at], e["sig"][at])
 
-    fits = np.bitwise_count((whole(i, wide_i) ^ whole(j, wide_j)).view(np.uint64)) <= apart
-    fits &= np.where(wide_i & wide_j, sum(parts), np.where(wide_i | wide_j, 0, parts[1])) <= apart
-    ok[left[~fits]] = False
-    return ok
+def shared(words: np.ndarray, t: float) -> np.ndarray:
+    """Words that two sets of so many words in all must share."""
+    return np.ceil(t / (1 + t) * words - 1e-9).astype(np.int64)
 
 
 def list_pairs(e: dict[str, np.ndarray], t: float, other: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(earlier, later) entries of the same list that may match; entries are in (word, document, line) order.
+    """Pairs of entries of the same list that may match; entries are in (word, n) order.
 
-    ``other``: pair only entries of different blocks.
+    ``other``: pair only entries of different blocks. An entry meets the longer
+    ones of its list as far as their sizes fit, by the positional and signature filters.
     """
-    word = e["word"]
-    cuts = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1, [len(word)]])
-    size = np.diff(cuts)
-    run = np.repeat(size, size)
-    found = []
-    small = run <= NEAR
-    for d in range(1, int(min(size.max(initial=0), NEAR))):
-        i = np.flatnonzero(small[:-d] & (word[:-d] == word[d:]))
-        if not len(i):
-            break
-        i = i[may_match(e, i, i + d, t)]
-        found.append((i, i + d))
-    for a, b in zip(cuts[:-1][size > NEAR].tolist(), cuts[1:][size > NEAR].tolist(), strict=True):
-        for first in range(a, b, 256):
-            j, i = np.meshgrid(np.arange(first, min(first + 256, b)), np.arange(a, min(first + 256, b)), indexing="ij")
-            below = i < j
-            i, j = i[below], j[below]
-            ok = may_match(e, i, j, t)
-            found.append((i[ok], j[ok]))
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+    n, k, sig = e["n"].astype(np.int64), e["k"], e["sig"]
+    left = n - e["pos"]
+    whole = sig[:, 0] ^ sig[:, 1] ^ sig[:, 2] ^ sig[:, 3]
+    size = signature_words(n)
+    most = int(n.max(initial=0))
+    word = e["word"].astype(np.uint64) << np.uint64(32)
+    largest = np.minimum(most, np.floor((n + 1e-9) / t)).astype(np.uint64)
+    end = np.searchsorted(word | n.astype(np.uint64), word | largest, side="right")
+    one = np.flatnonzero(left >= shared(2 * n, t))  # the shorter of two has at least this many left
+    one = one[end[one] > one + 1]
+    many = end[one] - one - 1
+    done = np.cumsum(many)
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    begin = 0
+    while begin < len(one):
+        stop = max(begin + 1, int(np.searchsorted(done, done[begin] - many[begin] + PAIRS, side="right")))
+        count = many[begin:stop]
+        i = np.repeat(one[begin:stop], count)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
+        begin = stop
+        both = n[i] + n[j]
+        least = shared(both, t)
+        ok = np.flatnonzero(np.minimum(left[i], left[j]) >= least)
+        i, j, apart = i[ok], j[ok], (both - 2 * least)[ok]
+        ok = np.flatnonzero(np.bitwise_count(whole[i] ^ whole[j]) <= apart)
+        i, j, apart = i[ok], j[ok], apart[ok]
+        bits, by = sig[i] ^ sig[j], np.minimum(size[i], size[j])
+        halves = np.bitwise_count(bits[:, :2] ^ bits[:, 2:]).sum(1, dtype=np.int64)
+        ok = np.where(by > 1, halves, 0) <= apart
+        ok &= np.where(by > 2, np.bitwise_count(bits).sum(1, dtype=np.int64), 0) <= apart
+        ok &= k[i] != k[j]
+        if other is not None:
+            ok &= other[i] != other[j]
+        found.append((i[ok], j[ok]))
     i, j = (np.concatenate(x) for x in zip(*found, strict=True))
-    if other is not None:
-        apart = other[i] != other[j]
-        i, j = i[apart], j[apart]
     return i, j
 
 
@@ -294,10 +331,14 @@ def pair_batch(
     e: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, tries: int | None, asked: np.ndarray | None = None
 ) -> pa.RecordBatch:
     """Rows (later, earlier, more): the earliest candidates of each later entry (of those in the bit table ``asked``)."""
+    doc, line, k = e["doc"], e["line"], e["k"]
+    turn = (line[j] < line[i]) | ((line[j] == line[i]) & (k[j] < k[i]))
+    turn = (doc[j] < doc[i]) | ((doc[j] == doc[i]) & turn)
+    i, j = np.where(turn, j, i), np.where(turn, i, j)
     if asked is not None:
-        wanted = is_set(asked, key_spot(e["k"][j]))
+        wanted = is_set(asked, key_spot(k[j]))
         i, j = i[wanted], j[wanted]
-    order = np.lexsort((i, j))
+    order = np.lexsort((k[i], line[i], doc[i], j))
     i, j = i[order], j[order]
     more = np.zeros(len(i), bool)
     if tries and len(j):
@@ -305,51 +346,91 @@ def pair_batch(
         nth = np.arange(len(j)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(j)]])))
         more = np.repeat(np.diff(np.concatenate([starts, [len(j)]])) > tries, np.diff(np.concatenate([starts, [len(j)]])))
         i, j, more = i[nth < tries], j[nth < tries], more[nth < tries]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(e["k"][j]), pa.array(e["k"][i]), pa.array(more)], ["later", "earlier", "more"]
-    )
+    return pa.RecordBatch.from_arrays([pa.array(k[j]), pa.array(k[i]), pa.array(more)], ["later", "earlier", "more"])
+
+
+def _pick(e: dict[str, np.ndarray], at) -> dict[str, np.ndarray]:
+    return {c: v[at] for c, v in e.items()}
+
+
+def _joined(some: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    return {c: np.concatenate([e[c] for e in some]) for c in ENTRY}
+
+
+def _in_lists(e: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    return _pick(e, np.argsort((e["word"].astype(np.int64) << 31) | e["n"]))
 
 
 def entries_of(classes: DataFrame, t: float, words_of_interest: np.ndarray | None = None) -> DataFrame:
-    """Each class under the words of its prefix, or under those of a bit table only."""
+    """Each class under the words of its prefix, or under those of a bit table only: rows of many entries.
+
+    Words are dealt to parts by hash; parts are as many as keep one to some DEALT entries.
+    """
+    total = classes.agg(F.sum(F.length("prefix"))).first()[0] or 0
+    parts = max(min(4 * width_of(classes.sparkSession), PARTS), total // 4 // DEALT)
+    own = {"n": "n", "k": "k1", "doc": "doc", "line": "line"}
+
+    def taken(batch):
+        """Words and positions of the entries, which class each is of, and columns of the classes that have some."""
+        n, skip = batch.column("n").to_numpy(), batch.column("skip").to_numpy()
+        count = prefix_length(n, t) - skip
+        at = np.repeat(np.arange(len(n)), count)
+        words = np.frombuffer(b"".join(batch.column("prefix").to_pylist()), "<u4")
+        pos = np.arange(len(at)) - np.repeat(np.cumsum(count) - count - skip, count)
+        sig = signatures_of(np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u8"), n)
+        some = slice(None)
+        if words_of_interest is not None:
+            hit = is_set(words_of_interest, key_spot(words.astype(np.int64)))
+            at, words, pos = at[hit], words[hit], pos[hit]
+            some = np.bincount(at, minlength=len(n)) > 0
+            at = (np.cumsum(some) - 1)[at]
+        return words, pos.astype(np.int32), at, {c: batch.column(x).to_numpy()[some] for c, x in own.items()} | {"sig": sig[some]}
+
+    def dealt(held):
+        words, pos, at, rows = zip(*held, strict=True)
+        many = np.array([len(r["n"]) for r in rows])
+        at = np.concatenate([x + first for x, first in zip(at, np.cumsum(many) - many, strict=True)])
+        words = np.concatenate(words)
+        order = np.argsort(words)
+        words, at = words[order], at[order]
+        part = words.astype(np.int64) * parts >> 32
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]]).tolist()
+        spans = [slice(x, min(x + ROW, b)) for a, b in zip(cuts[:-1], cuts[1:], strict=True) for x in range(a, b, ROW)]
+        columns = {"word": words, "pos": np.concatenate(pos)[order]}
+        columns |= {c: np.concatenate([r[c] for r in rows])[at] for c in own}
+        sig = np.concatenate([r["sig"] for r in rows])
+        for x in range(0, len(spans), 256):
+            some = spans[x : x + 256]
+            used = [(sig[at[s]], np.arange(4) < signature_words(columns["n"][s])[:, None]) for s in some]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part[s.start] for s in some], pa.int64()),
+                 *(pa.array([planes(columns[c][s].astype(kind)) for s in some], pa.binary()) for c, kind in KINDS.items()),
+                 pa.array([four[words].tobytes() for four, words in used], pa.binary())],
+                ["part", *ENTRY],
+            )
 
     def run(batches):
+        held, n = [], 0
         for batch in batches:
-            n, skip = batch.column("n").to_numpy(), batch.column("skip").to_numpy()
-            count = prefix_length(n, t) - skip
-            at = np.repeat(np.arange(len(n)), count)
-            words = np.frombuffer(b"".join(batch.column("prefix").to_pylist()), "<u4").astype(np.int64)
-            pos = np.arange(len(at)) - np.repeat(np.cumsum(count) - count - skip, count)
-            if words_of_interest is not None:
-                some = is_set(words_of_interest, key_spot(words))
-                at, words, pos = at[some], words[some], pos[some]
-            own = {c: batch.column(c).to_numpy()[at] for c in ("k1", *SIGNATURES, "doc", "line")}
-            e = {"word": words, "n": n[at], "pos": pos, "k": own.pop("k1"), **own}
-            yield pa.RecordBatch.from_arrays(packed(e), PACKED)
-
-    return classes.where("length(prefix) > 0").select("n", "skip", "prefix", "k1", *SIGNATURES, "doc", "line").mapInArrow(run, PACKED_SCHEMA)
-
-
-def prefix_words(classes: DataFrame, keys: np.ndarray) -> DataFrame:
-    """The prefix words of the classes of a bit table of keys."""
-    def run(batches):
-        for batch in batches:
-            some = is_set(keys, key_spot(batch.column("k1").to_numpy()))
-            words = np.frombuffer(b"".join(batch.column("prefix").filter(pa.array(some)).to_pylist()), "<u4")
-            yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int64))], ["word"])
-
-    return classes.where("length(prefix) > 0").select("k1", "prefix").mapInArrow(run, "word long").distinct()
+            held.append(taken(batch))
+            n += len(held[-1][0])
+            if n >= DEALT:
+                yield from dealt(held)
+                held, n = [], 0
+        if n:
+            yield from dealt(held)
 
+    return classes.where("length(prefix) > 0").select("n", "skip", "prefix", "k1", "sig", "doc", "line").mapInArrow(run, ENTRIES)
 
-def _columns(batch) -> dict[str, np.ndarray]:
-    e = {c: batch.column(c).to_numpy() for c in PACKED}
-    low = np.int64((1 << 32) - 1)
-    wl, np_ = e.pop("wl"), e.pop("np")
-    return e | {"word": wl >> 32, "line": wl & low, "n": np_ >> 32, "pos": np_ & low}
 
+def prefix_words(classes: DataFrame) -> DataFrame:
+    """The prefix words of the classes."""
+    def run(batches):
+        for batch in batches:
+            words = np.frombuffer(b"".join(batch.column("prefix").to_pylist()), "<u4")
+            yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int64))], ["word"])
 
-def _pick(e: dict[str, np.ndarray], at) -> dict[str, np.ndarray]:
-    return {c: v[at] for c, v in e.items()}
+    return classes.where("length(prefix) > 0").select("prefix").mapInArrow(run, "word long").distinct()
 
 
 CANDIDATE = "later long, earlier long, more boolean"
@@ -359,71 +440,59 @@ def candidates(
     entries: DataFrame, t: float, tries: int | None, folder: str, most: int = LIST, asked: np.ndarray | None = None
 ) -> DataFrame:
     """Candidate pairs of all lists. Lists longer than ``most`` are joined block by block."""
-    names = [*CANDIDATE.replace(",", "").split()[::2], *PACKED]
+    names = [*CANDIDATE.replace(",", "").split()[::2], *SINGLE]
 
-    def mixed(pairs: pa.RecordBatch | None, long: dict | None) -> pa.RecordBatch:
-        if pairs is not None:
-            n = len(pairs)
-            return pa.RecordBatch.from_arrays([*pairs.columns, *[pa.nulls(n, pa.int64()) for _ in PACKED]], names)
-        n = len(long["k"])
-        return pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), *packed(long)], names
-        )
-
-    def gathered(batches):
-        """Arrow batches put together to some ten thousand rows."""
-        parts, rows = [], 0
-        for batch in batches:
-            parts.append(_columns(batch))
-            rows += len(batch)
-            if rows >= AT_ONCE:
-                yield {c: np.concatenate([p[c] for p in parts]) for c in ENTRY}
-                parts, rows = [], 0
-        if parts:
-            yield {c: np.concatenate([p[c] for p in parts]) for c in ENTRY}
+    def found(e):
+        """Candidates of whole lists; those too long are written out."""
+        e = _in_lists(e)
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(e["word"])) + 1, [len(e["word"])]])
+        size = np.repeat(np.diff(cuts), np.diff(cuts))
+        yield from single(_pick(e, size > most))
+        e = _pick(e, (size > 1) & (size <= most))
+        pairs = pair_batch(e, *list_pairs(e, t), tries, asked)
+        if len(pairs):
+            blank = [pa.nulls(len(pairs), pa.int64()) for _ in SINGLE]
+            yield pa.RecordBatch.from_arrays([*pairs.columns, *blank], names)
+
+    def single(e):
+        for x in range(0, len(e["word"]), AT_ONCE):
+            rows = singles(_pick(e, slice(x, x + AT_ONCE)))
+            blank = [pa.nulls(len(rows[0]), kind) for kind in (pa.int64(), pa.int64(), pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*blank, *rows], names)
 
     def run(batches):
-        held, long = None, None
-        for e in gathered(batches):
-            if held is not None:
-                e = {c: np.concatenate([held[c], v]) for c, v in e.items()}
-                held = None
-            if not len(e["word"]):
-                continue
-            if long is not None:  # the list that began earlier and is too long
-                stop = int(np.searchsorted(e["word"], long, side="right"))
-                if stop:
-                    yield mixed(None, _pick(e, slice(0, stop)))
-                if stop == len(e["word"]):
-                    continue
-                e, long = _pick(e, slice(stop, None)), None
-            last = int(np.searchsorted(e["word"], e["word"][-1]))
-            if len(e["word"]) - last > most:
-                long = e["word"][-1]
-                yield mixed(None, _pick(e, slice(last, None)))
-            else:
-                held = _pick(e, slice(last, None))
-            yield from closed(_pick(e, slice(0, last)))
-        if held is not None:
-            yield from closed(held)
-
-    def closed(e):
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(e["word"])) + 1, [len(e["word"])]])
-        size = np.diff(cuts)
-        run_size = np.repeat(size, size)
-        if (run_size > most).any():
-            yield mixed(None, _pick(e, run_size > most))
-        e = _pick(e, (run_size > 1) & (run_size <= most))
-        if len(e["word"]):
-            pairs = pair_batch(e, *list_pairs(e, t), tries, asked)
-            if len(pairs):
-                yield mixed(pairs, None)
-
-    word = F.expr(WORD)
-    dealt = entries.repartition(word).sortWithinPartitions(word, "doc", "wl", "k")
-    out = stored(dealt.mapInArrow(run, f"{CANDIDATE}, {PACKED_SCHEMA}"), f"{folder}/pairs")
+        held, n, now, room, long = [], 0, None, 4 * DEALT, np.empty(0, "<u4")
+        for batch in batches:
+            for part, *data, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part != now:
+                    if n >= AT_ONCE:
+                        yield from found(_joined(held))
+                        held, n = [], 0
+                    now, room, long = part, 4 * DEALT + n, np.empty(0, "<u4")
+                e = {c: from_planes(x, kind) for (c, kind), x in zip(KINDS.items(), data, strict=True)}
+                e["sig"] = signatures_of(np.frombuffer(sig, "<u8"), e["n"])
+                if len(long):
+                    is_long = np.isin(e["word"], long)
+                    yield from single(_pick(e, is_long))
+                    e = _pick(e, ~is_long)
+                held.append(e)
+                n += len(e["word"])
+                if n > room:  # lists that are already known to be too long need not be held
+                    e = _joined(held)
+                    word, many = np.unique(e["word"], return_counts=True)
+                    long = np.concatenate([long, word[many > most]])
+                    is_long = np.isin(e["word"], long)
+                    yield from single(_pick(e, is_long))
+                    held = [_pick(e, ~is_long)]
+                    n = len(held[0]["word"])
+                    room = max(4 * DEALT, 2 * n)
+        if n:
+            yield from found(_joined(held))
+
+    dealt = entries.repartition("part").sortWithinPartitions("part")
+    out = stored(dealt.mapInArrow(run, f"{CANDIDATE}, {SINGLE_SCHEMA}"), f"{folder}/pairs")
     pairs = out.where("later IS NOT NULL").select("later", "earlier", "more")
-    long = out.where("later IS NULL").select(word.alias("word"), *PACKED)
+    long = out.where("later IS NULL").select(*SINGLE)
     if long.isEmpty():
         return pairs
     # Blocks b and c of a list meet in one task for every pair b <= c.
@@ -432,22 +501,18 @@ def candidates(
         long.join(cut.hint("merge"), "word")
         .withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("word", *PACKED, "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+        .select(*SINGLE, "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
     )
 
-    def meet(tables):
-        for table in tables:
-            e = _columns(table)
-            order = np.lexsort((e["k"], e["line"], e["doc"]))
-            e = _pick(e, order)
-            own = table.column("own").to_numpy()[order]
-            same = table.column("low")[0].as_py() == table.column("high")[0].as_py()
-            yield pair_batch(e, *list_pairs(e, t, None if same else own), tries, asked)
-
-    met = spread.groupBy("word", "low", "high").applyInArrow(
-        lambda table: pa.Table.from_batches(list(meet([table]))), CANDIDATE
-    )
-    return pairs.unionByName(met)
+    def meet(table):
+        table = table.combine_chunks()
+        e = from_singles(table) | {"own": table.column("own").to_numpy()}
+        e = _in_lists(e)
+        same = table.column("low")[0].as_py() == table.column("high")[0].as_py()
+        pairs = list_pairs(e, t, None if same else e["own"])
+        return pa.Table.from_batches([pair_batch(e, *pairs, tries, asked)])
+
+    return pairs.unionByName(spread.groupBy("word", "low", "high").applyInArrow(meet, CANDIDATE))
 
 
 def verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, levels, t: float, folder: str) -> DataFrame:
@@ -457,10 +522,9 @@ def verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, levels, t: f
     question is sent on, found by a bit table of bounded size.
     """
     wanted = pairs.select(F.col("later").alias("k1")).unionByName(pairs.select(F.col("earlier").alias("k1"))).distinct()
-    first = stored(
-        classes.select("k1", "k2", "doc", "line").join(wanted.hint("merge"), "k1", "left_semi"), f"{folder}/wanted"
-    )
-
+    first = stored(classes.select("k1", "doc", "line").join(wanted, "k1", "left_semi"), f"{folder}/wanted")
+    if first.count() <= FEW:
+        rows = rows.join(F.broadcast(first.select("doc").distinct()), "doc", "left_semi")
     table = bit_table(first.select("doc", "line"), spot_of)
 
     def asked(batches):
@@ -490,8 +554,9 @@ def verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, levels, t: f
             ["k1", "doc", "line", "tokens"],
         )
 
-    kept = rows.mapInArrow(asked, "k1 long, doc long, line int, tokens binary").distinct()
-    sets = stored(kept.join(first.hint("merge"), ["k1", "doc", "line"]).select("k1", "tokens"), f"{folder}/sets")
+    kept = rows.mapInArrow(asked, "k1 long, doc long, line int, tokens binary")
+    own = kept.join(first.hint("merge"), ["k1", "doc", "line"]).distinct()  # rows may repeat an id
+    sets = stored(own.select("k1", "tokens"), f"{folder}/sets")
 
     def compare(batches):
         for batch in batches:
@@ -582,13 +647,12 @@ def kept_lines(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(s.k1), pa.array(s.k2), pa.array(docs[s.doc]), pa.array(s.line),
                      pa.array(s.n.astype(np.int32)), pa.array(skip.astype(np.int32)),
-                     *(pa.array(getattr(s, name)) for name in SIGNATURES), prefix],
-                    ["k1", "k2", "doc", "line", "n", "skip", *SIGNATURES, "prefix"],
+                     s.signatures(), prefix],
+                    ["k1", "k2", "doc", "line", "n", "skip", "sig", "prefix"],
                 )
 
-    signatures = ", ".join(f"{name} long" for name in SIGNATURES)
-    lines = rows.mapInArrow(read, f"k1 long, k2 long, doc long, line int, n int, skip int, {signatures}, prefix binary")
-    first = F.min(F.struct("doc", "line", "n", "skip", *SIGNATURES, "prefix")).alias("first")
+    lines = rows.mapInArrow(read, "k1 long, k2 long, doc long, line int, n int, skip int, sig binary, prefix binary")
+    first = F.min(F.struct("doc", "line", "n", "skip", "sig", "prefix")).alias("first")
     classes = stored(lines.groupBy("k1", "k2").agg(first).select("k1", "k2", "first.*"), f"{folder}/classes")
     gone, open_ = None, None
     for number, some in enumerate(tries):
@@ -599,7 +663,8 @@ def kept_lines(
             # Earlier candidates failed and there were more: the lists that the open classes are in, found by
             # bit tables of their keys and words. What these let through beside them is only tried in vain.
             keys = bit_table(open_, key_spot)
-            again = entries_of(classes, similarity, bit_table(prefix_words(classes, keys), key_spot))
+            words = stored(prefix_words(classes.join(open_, "k1", "left_semi")), f"{place}/words")
+            again = entries_of(classes, similarity, bit_table(words, key_spot))
             pairs = candidates(again, similarity, some, place, most, keys)
         checked = stored(verified(rows, classes, pairs, levels, similarity, place), f"{place}/checked")
         found = checked.where("hit").select(F.col("later").alias("k1"))

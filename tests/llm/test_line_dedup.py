@@ -1,10 +1,13 @@
+import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from estatelake.llm import queries
-from estatelake.llm.line_dedup import LineSets, kept_lines, without_repeats
+from estatelake.llm import line_dedup, queries
+from estatelake.llm.line_dedup import LineSets, entries_of, kept_lines, without_repeats
 
 
 def plain(docs, t=0.8):
@@ -89,3 +92,69 @@ def test_word_hashes_tell_words_apart():
     ids = LineSets(pieces, None).ids.tolist()
     assert len(set(ids)) == len(words) and ids[: len(words)] == ids[len(words) :][::-1]
     assert LineSets([(0, 0, "")], None).ids.tolist() == [] and LineSets([(0, 0, " \n ")], None).ids.tolist() == []
+
+
+def long_lines(seed, n=60):
+    """Lines of 5 to 300 words, so signatures of every size, and copies with up to a quarter of the words changed."""
+    pick = random.Random(seed)
+    vocabulary = [f"v{i}" for i in range(900)]
+    pool = [pick.sample(vocabulary, pick.choice([5, 30, 33, 60, 125, 130, 300])) for _ in range(25)]
+    docs = []
+    for i in range(n):
+        lines = []
+        for _ in range(pick.randint(1, 4)):
+            words = list(pick.choice(pool))
+            for _ in range(pick.randint(0, len(words) // 4)):
+                words[pick.randrange(len(words))] = pick.choice(vocabulary)
+            lines.append(" ".join(words[: pick.randint(len(words) * 4 // 5, len(words))]))
+        docs.append((i, "\n".join(lines)))
+    return docs
+
+
+def test_lines_of_every_signature(spark, tmp_path):
+    docs = long_lines(5)
+    want = plain(docs)
+    assert 0 < sum(map(len, want.values())) < sum(text.count("\n") + 1 for _, text in docs)
+    assert run(spark, docs, tmp_path) == want
+
+
+@pytest.mark.parametrize("kw", [{}, {"most": 3, "tries": (1, None)}])
+def test_few_entries_at_once(spark, tmp_path, monkeypatch, kw):
+    # Many rows of entries a part, parts that do not fit, and lists found too long before and after that.
+    monkeypatch.setattr(line_dedup, "AT_ONCE", 16)
+    monkeypatch.setattr(line_dedup, "DEALT", 16)
+    monkeypatch.setattr(line_dedup, "ROW", 3)
+    monkeypatch.setattr(line_dedup, "FEW", 0)
+    docs = fixture(6)
+    assert run(spark, docs, tmp_path, **kw) == plain(docs)
+
+
+def test_pairs_cut_into_runs_are_the_same(monkeypatch):
+    pieces = [(doc, 0, text) for doc, text in fixture(7)]
+    s = LineSets(pieces, np.full(line_dedup.BUCKETS, 9, np.uint8))
+    count = line_dedup.prefix_length(s.n, 0.5)
+    at = np.repeat(np.arange(len(s.n)), count)
+    pos = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+    word = (s.ids[s.start[at] + pos] >> np.uint64(32)).astype("<u4")
+    e = {"word": word, "n": s.n[at].astype("<i4"), "pos": pos.astype("<i4"), "k": s.k1[at], "doc": s.doc[at], "line": s.line[at]}
+    e = line_dedup._in_lists(e | {"sig": line_dedup.signatures_of(s.signature, s.n)[at]})
+    whole = set(zip(*map(list, line_dedup.list_pairs(e, 0.5)), strict=True))
+    monkeypatch.setattr(line_dedup, "PAIRS", 1)
+    assert whole and set(zip(*map(list, line_dedup.list_pairs(e, 0.5)), strict=True)) == whole
+
+
+def test_entries_move_many_to_a_row(spark, tmp_path):
+    run(spark, long_lines(8, 200), tmp_path)
+    classes = spark.read.parquet(f"{tmp_path}/classes")
+    entries = classes.agg(F.sum(F.length("prefix"))).first()[0] // 4
+    assert entries_of(classes, 0.8).count() * 20 < entries
+
+
+def test_levels_are_those_of_whole_counts(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "COUNTED", 100)
+    texts = [f"a{i} b{i} a{i % 7}" for i in range(1000)] + [" ".join(["often"] * 5000)]
+    levels = line_dedup.word_levels(spark.createDataFrame([(x,) for x in texts], "text string").repartition(3))
+    ids = LineSets([(0, 0, " ".join(texts))], None).ids
+    bucket = (ids & np.uint64(line_dedup.BUCKETS - 1)).astype(int).tolist()
+    want = {b: 0 if n == 1 else 1 + int(8 * math.log2(n)) for b, n in Counter(bucket).items()}
+    assert all(levels[b] == n for b, n in want.items()) and int((levels > 0).sum()) == sum(n > 0 for n in want.values())
