@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -43,25 +44,28 @@ def cut_pieces(
     """
     small_batches(docs.sparkSession)
 
-    def cut(batches):
-        own = text_ids(tokenizer)
-        end = int(end_id).to_bytes(4, "little")
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+
+    def texts(batches):
         for batch in batches:
-            rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = own.of(text) + end
-                count = len(data) // 4
-                start, stop, piece = 0, (count - 1) % capacity + 1, 0
-                while start < count:
-                    rows.append((doc_id, piece, start, stop - start, data[start * 4 : stop * 4]))
-                    start, stop, piece = stop, stop + capacity, piece + 1
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-            for i in range(0, len(rows), 2000):
-                part = rows[i : i + 2000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[k] for r in part], kind) for k, kind in enumerate(kinds)],
-                    ["doc_id", "piece", "start", "length", "ids"],
-                )
+            yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+
+    def pieces(batches):
+        end = int(end_id).to_bytes(4, "little")
+        for doc_id, ids in text_ids(tokenizer).of_rows(texts(batches)):
+            data = ids + end
+            count = len(data) // 4
+            start, stop, piece = 0, (count - 1) % capacity + 1, 0
+            while start < count:
+                yield doc_id, piece, start, stop - start, data[start * 4 : stop * 4]
+                start, stop, piece = stop, stop + capacity, piece + 1
+
+    def cut(batches):
+        for part in batched(pieces(batches), 2000):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values, kind) for values, kind in zip(zip(*part, strict=True), kinds, strict=True)],
+                ["doc_id", "piece", "start", "length", "ids"],
+            )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids binary")

@@ -17,6 +17,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from estatelake.llm.common import scratch, small_batches, stored, text_of, width_of
+from estatelake.llm.common import TEXT_ROWS, scratch, small_batches, stored, text_of, width_of
 from estatelake.llm.tokens import text_ids
 
 MAGIC = b"ESTBITS1"
@@ -151,16 +152,20 @@ def write_token_files(
     cuts = rows.select("doc_id").stat.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts)
     cuts = np.unique(np.array(cuts, dtype=np.float64))
 
+    def texts(batches):
+        for batch in batches:
+            yield from zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
+
     def encode(batches):
         own = text_ids(tokenizer)
         end = int(end_id).to_bytes(4, "little")
         small = own.vocabulary <= 1 << 16
-        for batch in batches:
-            ids = batch.column("doc_id")
-            packed = []
-            for text in batch.column("text").to_pylist():
-                data = own.of(text) + end
-                packed.append(np.frombuffer(data, "<u4").astype("<u2").tobytes() if small else data)
+        for part in batched(own.of_rows(texts(batches)), TEXT_ROWS):
+            doc_ids, data = zip(*part, strict=True)
+            ids = pa.array(doc_ids, pa.int64())
+            packed = [x + end for x in data]
+            if small:
+                packed = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in packed]
             where = np.searchsorted(cuts, ids.fill_null(-(1 << 62)).to_numpy(), side="right").astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(where), ids, pa.array(packed, pa.binary())], ["part", "doc_id", "ids"]

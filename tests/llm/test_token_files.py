@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from estatelake.llm import queries
+from estatelake.llm import queries, tokens
 from estatelake.llm.token_files import Shard, pack, read_token_files, shard_bytes, unpack, write_token_files
 from estatelake.llm.tokens import TextIds
 
@@ -25,6 +25,53 @@ def test_ids_equal_the_library(name, tables):
         assert np.frombuffer(own.of(text), "<u4").tolist() == want, text
 
 
+WHITES = ["a  b", "a   b ", " \n x", "\n\n's 't", "  'salt''ll 're're'd1'm", "x\xa0 y\x85", "a'", "a'l", "'", "''", "12 34'5s", " é  'é", "\n", "tail  "]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_many_texts_at_once_equal_the_library(name, monkeypatch):
+    """Texts split together, in small groups, in parts, and with pieces forgotten in between."""
+    own = TextIds(queries.tokenizer_file(name))
+    pick = random.Random(9)
+    texts = ODD + WHITES + ["".join(pick.choice("ab'sTLémrdv ²5\n\t\x0b\x1f\x85\xa0ſ-.,'  ") for _ in range(pick.randint(0, 90))) for _ in range(600)]
+    texts += ["\n".join(texts[20:400])]
+    want = [own.tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+    for chars, kept in ((1 << 30, 1 << 30), (300, 50), (40, 500), (1, 1)):
+        monkeypatch.setattr(tokens, "GROUP_CHARS", chars)
+        monkeypatch.setattr(tokens, "KEPT_PIECES", kept)
+        rows = list(own.of_rows(enumerate(texts)))
+        assert [k for k, _ in rows] == list(range(len(texts)))
+        for text, (_, ids), ok in zip(texts, rows, want, strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == ok, text
+        assert len(own.pieces) == len(own.stops) - 1 == len(own.uses)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_known_pieces_cost_no_python_step_each(name):
+    """Repeats of a piece within a group of texts are looked up once, and pieces that come again are not forgotten."""
+    own, looked = TextIds(queries.tokenizer_file(name)), []
+
+    class Seen(type(own.pieces)):
+        def __getitem__(self, piece):
+            looked.append(piece)
+            return super().__getitem__(piece)
+
+    own.pieces = Seen()
+    words = ["alpha", "beta", "gamma"] * 500
+    assert len(list(own.of_rows([(i, " ".join(words)) for i in range(20)]))) == 20
+    assert len(looked) < 10
+
+
+def test_pieces_that_come_again_are_kept(monkeypatch):
+    own = TextIds(queries.tokenizer_file("byte_bpe_50k.json"))
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 8)
+    for text in ("often once", "often twice", "often x y z u v w"):
+        own.of(text)
+    assert len(own.pieces) >= 8
+    own.of("new")
+    assert set(own.pieces) == {"often", "new"}
+
+
 @pytest.mark.parametrize("width", [1, 5, 8, 13, 16, 17, 31, 32])
 def test_bits_round_trip(width):
     ids = np.random.default_rng(width).integers(0, 1 << width, 70_001).astype(np.uint32)
